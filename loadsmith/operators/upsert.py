@@ -42,7 +42,7 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *,
     batch_keys = batch.select(*keys).where(nn).distinct()
     if decide_broadcast(batch_keys, broadcast, max_broadcast_rows):
         batch_keys = F.broadcast(batch_keys)
-    kept = target.join(batch_keys, keys, "left_anti")
+    kept = target.join(batch_keys, keys, "left_anti").select(*target.columns)
     return kept.unionByName(batch.select(*target.columns))
 
 

@@ -92,6 +92,11 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     touched = [r[0] for r in batch.select(bucket_col).distinct().collect()]  # <= buckets values
     target = spark.table(table).where(F.col(bucket_col).isin(touched))
     result = upsert_frame(target, batch.select(*target.columns), keys + [bucket_col])
-    result = materialize(result)  # never overwrite partitions while still reading them
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    result.repartition(bucket_col).write.mode("overwrite").insertInto(table)
+    result = materialize(result.select(*target.columns))  # never overwrite what is being read
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")        # replace only the partitions written
+    try:
+        result.repartition(bucket_col).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, previous)
