@@ -1,14 +1,19 @@
-"""Size checks that gate broadcasts.
+"""Size checks that gate broadcasts, and materialization.
 
-A side is broadcast only after ``rows_at_most`` has proven it holds at most
-``max_rows`` rows.  The probe reads at most ``max_rows + 1`` rows, so it costs
-little whatever the size of the input.  Without that proof the join is left to
-the planner and AQE, which re-plan from measured shuffle sizes.
+A side is broadcast only after a check has proven it holds at most
+``max_rows`` rows: either ``rows_at_most`` (reads at most ``max_rows + 1``
+rows, so it costs little whatever the input size) or ``key_stats`` (one
+aggregation that also proves the keys unique).  Without that proof the join
+is left to the planner and AQE, which re-plan from measured shuffle sizes.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Rows of a projected lookup (key + a few values, ~100 bytes a row) that may be
 # broadcast: about 50 MB per executor.
@@ -28,13 +33,38 @@ def decide_broadcast(df: DataFrame, broadcast, max_rows: int) -> bool:
     return rows_at_most(df, max_rows)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the session's checkpoint folder and cut its lineage.
+def not_null(keys) -> "F.Column":
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def key_stats(df: DataFrame, keys) -> tuple[int, int]:
+    """(distinct non-null keys, rows of the most frequent key), in one job.
 
-    Uses reliable checkpointing (``spark.checkpoint.dir``, a shared folder on a
-    cluster) so a lost executor does not lose the data.
+    The per-key count is aggregated map-side first, so a hot key costs one
+    row per task in the shuffle.
     """
+    per_key = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("__n").alias("top")).first()
+    return int(row["keys"]), int(row["top"] or 0)
+
+
+def scratch_path(spark, name: str = "table") -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
     from loadsmith.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/loadsmith-{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
+
+    Cuts the lineage (later uses read the files instead of recomputing), is
+    computed exactly once (unlike an unpersisted RDD checkpoint), survives
+    executor loss (the folder is shared on a cluster) and gives the planner
+    real sizes.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    # The schema is known: no footer reads to infer it.
+    return df.sparkSession.read.schema(df.schema).parquet(path)

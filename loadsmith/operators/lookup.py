@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadsmith.operators._sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, materialize, rows_at_most,
+    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, materialize, not_null, rows_at_most,
 )
 from loadsmith.operators.checks import DataCheckError, unique_violations
 
@@ -64,16 +64,23 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
     vals = _values(values)
     lk_names = [f"__lk{i}" for i in range(len(pairs))]
     lv_names = [f"__lv{j}" for j in range(len(vals))]
+    # Null keys never match: drop them from the lookup side before any shuffle.
     lk = lookup.select(*[F.col(r).alias(n) for (_, r), n in zip(pairs, lk_names)],
-                       *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names)])
+                       *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names)]
+                       ).where(not_null(lk_names))
     if on_duplicate == "error":
-        dup = unique_violations(lk, lk_names)
-        if not dup.isEmpty():
+        # One aggregation proves the keys unique and counts them.
+        n_keys, top = key_stats(lk, lk_names)
+        if top > 1:
+            dup = unique_violations(lk, lk_names)
             raise DataCheckError(f"lookup keys {[r for _, r in pairs]} are not unique: "
                                  f"{[r.asDict() for r in dup.limit(5).collect()]}")
-    elif on_duplicate != "fanout":
+        small = n_keys <= max_broadcast_rows if broadcast == "auto" else bool(broadcast)
+    elif on_duplicate == "fanout":
+        small = decide_broadcast(lk, broadcast, max_broadcast_rows)
+    else:
         raise ValueError("on_duplicate must be 'error' or 'fanout'")
-    if decide_broadcast(lk, broadcast, max_broadcast_rows):
+    if small:
         lk = F.broadcast(lk)
     cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(n) for (l, _), n in zip(pairs, lk_names)])
     joined = df.join(lk, cond, "left")
@@ -113,13 +120,13 @@ def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | N
     ok = other.select(F.col(other_key).alias("__ex_k")).where(F.col("__ex_k").isNotNull())
     hits = None
     if probe == "other":
-        ids = materialize(ok.distinct())
+        ids = materialize(ok.distinct(), "ids")
         hits = _membership(ids)
         if rows_at_most(ids, max_broadcast_rows):
             hits = F.broadcast(hits)
     elif probe == "left":
         left_ids = materialize(df.select(F.col(key).alias("__ex_k"))
-                               .where(F.col("__ex_k").isNotNull()).distinct())
+                               .where(F.col("__ex_k").isNotNull()).distinct(), "ids")
         if rows_at_most(left_ids, max_broadcast_rows):
             found = ok.join(F.broadcast(left_ids), "__ex_k", "left_semi").distinct()
             hits = F.broadcast(_membership(found))

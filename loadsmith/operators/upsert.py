@@ -13,8 +13,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.operators._sizing import DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast
-from loadsmith.operators.checks import assert_same_schema, assert_unique
+from loadsmith.operators._sizing import DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats
+from loadsmith.operators.checks import (
+    DataCheckError, assert_same_schema, unique_violations,
+)
 
 
 def _names(cols) -> list[str]:
@@ -32,15 +34,23 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *,
     a non-null key twice (the result would no longer be keyed).
     """
     keys = _names(keys)
+    if check_schema:
+        assert_same_schema(batch, target)
+    small = None
     if check_unique:
-        assert_unique(batch, keys)
+        # One aggregation proves the batch keyed and counts its keys.
+        n_keys, top = key_stats(batch.select(*keys), keys)
+        if top > 1:
+            raise DataCheckError(f"batch holds duplicate keys {keys}: "
+                                 f"{[r.asDict() for r in unique_violations(batch, keys).limit(5).collect()]}")
+        small = n_keys <= max_broadcast_rows if broadcast == "auto" else bool(broadcast)
     if target is None:
         return batch
-    if check_schema:
-        assert_same_schema(batch, target)
     nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     batch_keys = batch.select(*keys).where(nn).distinct()
-    if decide_broadcast(batch_keys, broadcast, max_broadcast_rows):
+    if small is None:
+        small = decide_broadcast(batch_keys, broadcast, max_broadcast_rows)
+    if small:
         batch_keys = F.broadcast(batch_keys)
     kept = target.join(batch_keys, keys, "left_anti").select(*target.columns)
     return kept.unionByName(batch.select(*target.columns))

@@ -26,7 +26,7 @@ def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | N
     src = typed_source(customer_raw, schemas.CUSTOMER_RAW)
     batch = incremental_scan(src, target, schemas.WATERMARKS[NAME])
     today, run_ts = run_date(as_of), run_timestamp(as_of)
-    joined = lookup_join(batch, typed_source(dim_country, schemas.DIM_COUNTRY),
+    joined = lookup_join(batch, typed_source(dim_country, schemas.DIM_COUNTRY, spread_small=False),
                          [("COUNTRY", "COUNTRY_CODE")],
                          {name: (name, default) for name, default in rules.COUNTRY_DEFAULTS},
                          broadcast=broadcast)

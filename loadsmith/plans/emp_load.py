@@ -27,7 +27,7 @@ def build(emp: DataFrame, dept: DataFrame, as_of=None, *, broadcast="auto",
         run_timestamp(as_of).alias("LOAD_DATE"),
     )
     kept = derived.where(F.col("DEPTNO").isNotNull())
-    joined = lookup_join(kept, typed_source(dept, schemas.DEPT), "DEPTNO",
+    joined = lookup_join(kept, typed_source(dept, schemas.DEPT, spread_small=False), "DEPTNO",
                          {"DEPT_NAME": ("DNAME", rules.UNKNOWN),
                           "DEPT_LOCATION": ("LOC", rules.UNKNOWN)},
                          broadcast=broadcast, on_duplicate=on_duplicate)

@@ -20,6 +20,7 @@ from loadsmith.functions.text import (
     at_position, concat_strict, email_after_at, email_domain_or, phone_check, prefix,
     remove_char, text_length,
 )
+from loadsmith.operators._sizing import materialize
 from loadsmith.operators.checks import (
     not_null_violations, relationship_violations, unique_violations,
 )
@@ -176,7 +177,7 @@ def q_keyed_upsert(spark, sf):
 
 
 def q_change_tag(spark, sf):
-    target = pq.val_first_run(spark, sf)
+    target = materialize(pq.val_first_run(spark, sf), "target")
     return pq.val_second_batch(spark, sf, target, audit=True)
 
 

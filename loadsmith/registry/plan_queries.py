@@ -3,7 +3,10 @@
 Incremental plans run twice: a first load of the rows up to a cut time, then
 a second run over the whole (partly modified) source against that target,
 applied with the keyed upsert.  Each query returns the table state after the
-last run.
+last run.  As in a real load, the first run's target and the second run's
+batch are written once (under ``spark.checkpoint.dir``) and read back, so the
+watermark bound, the change tag, the key checks and the union all read stored
+rows instead of recomputing them.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith import schemas
+from loadsmith.operators._sizing import materialize
 from loadsmith.operators.upsert import upsert_frame
 from loadsmith.plans import (
     customer_data_load, customer_load, emp_load, stg_employee, validation_stage,
@@ -47,8 +51,8 @@ def cdl_second_batch(spark, sf, target: DataFrame) -> DataFrame:
 
 
 def q_customer_data_load(spark: SparkSession, sf: str) -> DataFrame:
-    target = cdl_first_run(spark, sf)
-    batch = cdl_second_batch(spark, sf, target)
+    target = materialize(cdl_first_run(spark, sf), "target")
+    batch = materialize(cdl_second_batch(spark, sf, target), "batch")
     return upsert_frame(target, batch, schemas.KEYS["customer_data_load"], check_schema=True)
 
 
@@ -63,8 +67,8 @@ def _cl_inputs(spark, sf):
 
 def q_customer_load(spark: SparkSession, sf: str) -> DataFrame:
     first, second, dim = _cl_inputs(spark, sf)
-    target = customer_load.build(first, dim, None, "2001-01-20 12:00:00")
-    batch = customer_load.build(second, dim, target, si.RUN_CUSTOMER)
+    target = materialize(customer_load.build(first, dim, None, "2001-01-20 12:00:00"), "target")
+    batch = materialize(customer_load.build(second, dim, target, si.RUN_CUSTOMER), "batch")
     return upsert_frame(target, batch, schemas.KEYS["customer_load"])
 
 
@@ -81,8 +85,8 @@ def val_second_batch(spark, sf, target: DataFrame, audit: bool = False) -> DataF
 
 
 def q_validation_stage(spark: SparkSession, sf: str) -> DataFrame:
-    target = val_first_run(spark, sf)
-    batch = val_second_batch(spark, sf, target)
+    target = materialize(val_first_run(spark, sf), "target")
+    batch = materialize(val_second_batch(spark, sf, target), "batch")
     return upsert_frame(target, batch, [validation_stage.KEY])
 
 

@@ -20,6 +20,10 @@ RECOMMENDED_CONF = {
     # lookup keys) are split into several tasks at runtime.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A fused stage with dozens of CASE chains compiles to one method bigger
+    # than the JVM will JIT (8000 bytes); such a stage then runs interpreted
+    # and is ~4x slower.  Above this size Spark keeps per-operator codegen.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }

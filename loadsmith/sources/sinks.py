@@ -59,7 +59,7 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     checks, the key probe and the write read it without recomputing the scan.
     """
     spark = batch.sparkSession
-    batch = materialize(batch)
+    batch = materialize(batch, "batch")
     target = spark.table(table) if table_exists(spark, table) else None
     if check_schema:
         assert_same_schema(batch, target)
@@ -84,7 +84,7 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     """
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
-    batch = materialize(batch.withColumn(bucket_col, key_bucket(keys, buckets)))
+    batch = materialize(batch.withColumn(bucket_col, key_bucket(keys, buckets)), "batch")
     if not table_exists(spark, table):
         (batch.repartition(bucket_col).write.partitionBy(bucket_col).format("parquet")
          .option("path", path).saveAsTable(table))
@@ -92,7 +92,7 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     touched = [r[0] for r in batch.select(bucket_col).distinct().collect()]  # <= buckets values
     target = spark.table(table).where(F.col(bucket_col).isin(touched))
     result = upsert_frame(target, batch.select(*target.columns), keys + [bucket_col])
-    result = materialize(result.select(*target.columns))  # never overwrite what is being read
+    result = materialize(result.select(*target.columns), "result")  # never overwrite what is read
     key = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(key)
     spark.conf.set(key, "dynamic")        # replace only the partitions written

@@ -26,12 +26,28 @@ def read_source(spark: SparkSession, name_or_path: str, schema: T.StructType | N
         raise MissingInputError(f"input {name_or_path!r} cannot be read: {exc}") from exc
 
 
-def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: bool = False
-                 ) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Scan-parallelism floor for small inputs.
+
+    A source read as fewer partitions than the session has cores (one small
+    file, one row group) would run every narrow step in that many tasks.  Only
+    then is it spread round-robin; a large source (many splits) is returned
+    as is, so at scale this adds no shuffle.
+    """
+    spark = df.sparkSession
+    floor = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < floor:
+        return df.repartition(floor)
+    return df
+
+
+def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: bool = False,
+                 min_partitions: int | None = None, spread_small: bool = True) -> DataFrame:
     """Select the declared columns in order (pruned at the scan).
 
     Raises ``MissingInputError`` naming every missing column.  With ``cast`` and a
-    ``StructType`` each column is cast to its declared type.
+    ``StructType`` each column is cast to its declared type.  Small inputs are
+    spread over the session's cores (``spread``).
     """
     if isinstance(schema, T.StructType):
         names = [f.name for f in schema.fields]
@@ -43,8 +59,10 @@ def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: b
     if missing:
         raise MissingInputError(f"input lacks columns {missing}; has {df.columns}")
     if cast and types:
-        return df.select(*[F.col(n).cast(types[n]).alias(n) for n in names])
-    return df.select(*names)
+        out = df.select(*[F.col(n).cast(types[n]).alias(n) for n in names])
+    else:
+        out = df.select(*names)
+    return spread(out, min_partitions) if spread_small else out
 
 
 def watermark_bound(target: DataFrame, wm: str) -> str | None:
