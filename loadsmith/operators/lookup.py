@@ -50,7 +50,7 @@ def _values(values) -> list[tuple[str, str, object]]:
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
                 broadcast="auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                on_duplicate: str = "error") -> DataFrame:
+                on_duplicate: str = "error", restrict="auto") -> DataFrame:
     """Left-join ``lookup`` and add its columns with defaults for misses.
 
     ``on``: a column name, or pairs ``(left_col, lookup_col)``.
@@ -59,6 +59,14 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
     ``on_duplicate``: ``"error"`` checks that lookup keys are unique first (a
     duplicate would multiply left rows); ``"fanout"`` keeps plain SQL
     semantics.  Null keys never match.
+
+    ``restrict``: for a large lookup and a small left side (an incremental
+    batch), first keep only the lookup rows whose key the left side uses: the
+    left keys are broadcast, the lookup streams through a semi join with no
+    shuffle, and the (small) result is written once, checked and broadcast.
+    Duplicates among lookup keys no left row uses cannot multiply anything, so
+    the check is exact.  ``"auto"`` does this when the lookup is not provably
+    small but the left side is; ``True``/``False`` force it.
     """
     pairs = _key_pairs(on)
     vals = _values(values)
@@ -68,6 +76,13 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
     lk = lookup.select(*[F.col(r).alias(n) for (_, r), n in zip(pairs, lk_names)],
                        *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names)]
                        ).where(not_null(lk_names))
+    if restrict == "auto":
+        restrict = (not rows_at_most(lk, max_broadcast_rows)
+                    and rows_at_most(df, max_broadcast_rows))
+    if restrict:
+        left_keys = df.select(*[F.col(l).alias(n) for (l, _), n in zip(pairs, lk_names)]
+                              ).where(not_null(lk_names)).distinct()
+        lk = materialize(lk.join(F.broadcast(left_keys), lk_names, "left_semi"), "lookup")
     if on_duplicate == "error":
         # One aggregation proves the keys unique and counts them.
         n_keys, top = key_stats(lk, lk_names)

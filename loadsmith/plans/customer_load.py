@@ -15,16 +15,16 @@ from loadsmith.functions.dates import day_diff, month_diff, run_date, run_timest
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.functions.text import email_domain_or
 from loadsmith.operators.lookup import lookup_join
-from loadsmith.sources.sinks import table_exists, upsert_table
+from loadsmith.sources.sinks import stored_watermark, table_exists, upsert_table
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 NAME = "customer_load"
 
 
 def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | None = None,
-          as_of=None, *, broadcast="auto") -> DataFrame:
+          as_of=None, *, bound: str | None = None, broadcast="auto") -> DataFrame:
     src = typed_source(customer_raw, schemas.CUSTOMER_RAW)
-    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME])
+    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound)
     today, run_ts = run_date(as_of), run_timestamp(as_of)
     joined = lookup_join(batch, typed_source(dim_country, schemas.DIM_COUNTRY, spread_small=False),
                          [("COUNTRY", "COUNTRY_CODE")],
@@ -61,5 +61,6 @@ def load(customer_raw: DataFrame, dim_country: DataFrame, table: str, root: str,
          as_of=None) -> str:
     spark = customer_raw.sparkSession
     target = spark.table(table) if table_exists(spark, table) else None
-    batch = build(customer_raw, dim_country, target, as_of)
-    return upsert_table(batch, table, schemas.KEYS[NAME], root)
+    wm = schemas.WATERMARKS[NAME]
+    batch = build(customer_raw, dim_country, target, as_of, bound=stored_watermark(spark, table, wm))
+    return upsert_table(batch, table, schemas.KEYS[NAME], root, watermark=wm)

@@ -19,7 +19,7 @@ from loadsmith.functions import rules
 from loadsmith.functions.dates import run_timestamp
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.operators.lookup import change_tag
-from loadsmith.sources.sinks import table_exists, upsert_table
+from loadsmith.sources.sinks import stored_watermark, table_exists, upsert_table
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 NAME = "validation_stage"
@@ -27,9 +27,9 @@ KEY = "DATA_SRC_VAL_STAGE_ID"
 
 
 def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None, *,
-          audit: bool = False) -> DataFrame:
+          bound: str | None = None, audit: bool = False) -> DataFrame:
     src = typed_source(data_src_val, schemas.DATA_SRC_VAL)
-    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME])
+    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound)
     keyed = batch.select(
         surrogate_key("DATA_SRC_VAL_ID", "DATA_SRC_ID", "VAL_RULE_ID").alias(KEY), *src.columns)
     tagged = change_tag(keyed, target, "DATA_SRC_VAL_ID", name="__found")
@@ -46,5 +46,6 @@ def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None,
 def load(data_src_val: DataFrame, table: str, root: str, as_of=None) -> str:
     spark = data_src_val.sparkSession
     target = spark.table(table) if table_exists(spark, table) else None
-    batch = build(data_src_val, target, as_of)
-    return upsert_table(batch, table, [KEY], root)
+    wm = schemas.WATERMARKS[NAME]
+    batch = build(data_src_val, target, as_of, bound=stored_watermark(spark, table, wm))
+    return upsert_table(batch, table, [KEY], root, watermark=wm)

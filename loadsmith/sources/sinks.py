@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadsmith.operators._sizing import materialize
 from loadsmith.operators.checks import assert_same_schema
@@ -51,20 +52,49 @@ def write_snapshot(df: DataFrame, table: str, root: str, run_id: str | None = No
     return path
 
 
+WATERMARK_PROPERTY = "loadsmith.watermark."
+
+
+def stored_watermark(spark: SparkSession, table: str, wm: str) -> str | None:
+    """The high-water mark of ``wm`` recorded by the last load, if any."""
+    if not table_exists(spark, table):
+        return None
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return props.get(WATERMARK_PROPERTY + wm)
+
+
+def record_watermark(spark: SparkSession, table: str, wm: str, value: str | None) -> None:
+    if value is not None:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{WATERMARK_PROPERTY}{wm}' = '{value}')")
+
+
 def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema: bool = False,
-                 run_id: str | None = None) -> str:
+                 run_id: str | None = None, watermark: str | None = None) -> str:
     """Apply ``batch`` to ``table`` keyed on ``keys``; create it on the first run.
 
-    The batch is checkpointed once (shared ``spark.checkpoint.dir``) so the
+    The batch is written once under the shared ``spark.checkpoint.dir`` so the
     checks, the key probe and the write read it without recomputing the scan.
+    With ``watermark``, the new high-water mark (the larger of the recorded one
+    and the batch's own maximum, read from the small batch) is recorded as a
+    table property, so the next run need not scan the target for it.
     """
     spark = batch.sparkSession
     batch = materialize(batch, "batch")
-    target = spark.table(table) if table_exists(spark, table) else None
+    exists = table_exists(spark, table)
+    target = spark.table(table) if exists else None
     if check_schema:
         assert_same_schema(batch, target)
+    previous = stored_watermark(spark, table, watermark) if watermark and exists else None
     result = upsert_frame(target, batch, keys)
-    return write_snapshot(result, table, root, run_id)
+    path = write_snapshot(result, table, root, run_id)
+    if watermark:
+        batch_max = batch.agg(F.max(F.col(watermark)).cast("string").alias("m")).first()["m"]
+        candidates = [v for v in (previous, batch_max) if v is not None]
+        if candidates:
+            numeric = isinstance(batch.schema[watermark].dataType, T.NumericType)
+            newest = max(candidates, key=float if numeric else str)  # ISO text sorts by time
+            record_watermark(spark, table, watermark, newest)
+    return path
 
 
 def key_bucket(keys, buckets: int):

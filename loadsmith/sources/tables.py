@@ -75,7 +75,8 @@ def watermark_bound(target: DataFrame, wm: str) -> str | None:
 
 
 def incremental_scan(src: DataFrame, target: DataFrame | None, wm: str, *,
-                     lookback: str | None = None, target_wm: str | None = None) -> DataFrame:
+                     lookback: str | None = None, target_wm: str | None = None,
+                     bound: str | None = None) -> DataFrame:
     """Rows of ``src`` newer than the newest row already in ``target``.
 
     * no target (first run) or an empty target: the whole source;
@@ -83,11 +84,14 @@ def incremental_scan(src: DataFrame, target: DataFrame | None, wm: str, *,
       column's type so the predicate reaches the Parquet scan (row groups and
       partitions outside the range are skipped);
     * ``lookback`` (e.g. ``"1 HOUR"``) widens the window for late rows; rows
-      already loaded are then replaced by the keyed upsert, not duplicated.
+      already loaded are then replaced by the keyed upsert, not duplicated;
+    * ``bound``: the high-water mark when the caller already knows it (kept
+      as a table property by ``upsert_table``), so the target is not scanned.
     """
     if target is None:
         return src
-    bound = watermark_bound(target, target_wm or wm)
+    if bound is None:
+        bound = watermark_bound(target, target_wm or wm)
     if bound is None:
         return src
     lit = F.lit(bound).cast(src.schema[wm].dataType)

@@ -61,3 +61,43 @@ def test_checks(spark):
     with pytest.raises(DataCheckError):
         assert_relationships(child, "fk", parent, "pk")
     assert_unique(child.where("id < 3"), "id")
+
+
+def test_plan_load_two_runs_records_watermark(spark, scratch):
+    """validation_stage.load twice on catalog tables; the second run uses the stored mark."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from loadsmith import schemas
+    from loadsmith.plans import validation_stage
+    from loadsmith.sources.sinks import stored_watermark
+
+    def row(vid, ts):
+        return (vid, 1, 1, 1, "OK", ts, ts, Decimal("1.000"), "t", 1, 1, ts, "u")
+
+    ts = dt.datetime
+    run1 = spark.createDataFrame([row(1, ts(2024, 1, 1)), row(2, ts(2024, 1, 2))], schemas.DATA_SRC_VAL)
+    validation_stage.load(run1, "t_val", f"{scratch}/t_val", as_of="2024-01-03 00:00:00")
+    assert stored_watermark(spark, "t_val", "LAST_UPDT_TS") == "2024-01-02 00:00:00"
+    run2 = spark.createDataFrame([row(1, ts(2024, 1, 1)), row(2, ts(2024, 1, 5)), row(3, ts(2024, 1, 4))],
+                                 schemas.DATA_SRC_VAL)
+    validation_stage.load(run2, "t_val", f"{scratch}/t_val", as_of="2024-01-06 00:00:00")
+    out = {r.DATA_SRC_VAL_ID: r for r in spark.table("t_val").collect()}
+    assert len(out) == 3
+    assert out[2].LOAD_TS == ts(2024, 1, 5) and out[3].LOAD_TS == ts(2024, 1, 6)
+    assert out[1].LOAD_TS == ts(2024, 1, 3)
+    assert stored_watermark(spark, "t_val", "LAST_UPDT_TS") == "2024-01-05 00:00:00"
+
+
+def test_lookup_restricted_to_batch_keys(spark):
+    """A large lookup is semi-joined to the batch keys; duplicates elsewhere are ignored."""
+    from loadsmith.operators import lookup_join
+
+    lookup = spark.range(0, 2000).selectExpr("id AS k", "concat('v', id) AS v").union(
+        spark.createDataFrame([(1999, "dup")], "k long, v string"))
+    batch = spark.createDataFrame([(1,), (2,), (5000,)], "k long")
+    out = lookup_join(batch, lookup, "k", {"V": ("v", "NONE")}, max_broadcast_rows=100)
+    assert sorted((r.k, r.V) for r in out.collect()) == [(1, "v1"), (2, "v2"), (5000, "NONE")]
+    with pytest.raises(DataCheckError):
+        lookup_join(spark.createDataFrame([(1999,)], "k long"), lookup, "k", {"V": ("v", "NONE")},
+                    max_broadcast_rows=100)
