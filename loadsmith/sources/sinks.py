@@ -39,11 +39,24 @@ def _version_path(root: str, run_id: str | None) -> str:
     return f"{root.rstrip('/')}/v={run_id or uuid.uuid4().hex}"
 
 
-def write_snapshot(df: DataFrame, table: str, root: str, run_id: str | None = None) -> str:
-    """Write ``df`` to a new version folder under ``root`` and point ``table`` at it."""
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def write_snapshot(df: DataFrame, table: str, root: str, run_id: str | None = None, *,
+                   replace_version: bool = False) -> str:
+    """Write ``df`` to a new version folder under ``root`` and point ``table`` at it.
+
+    ``replace_version`` lets a retried run overwrite its own unfinished version
+    folder (never the one the table points at).
+    """
     spark = df.sparkSession
     path = _version_path(root, run_id)
-    df.write.mode("errorifexists").parquet(path)
+    if replace_version and table_exists(spark, table) and \
+            table_location(spark, table).rstrip("/").endswith(path.rstrip("/").split("/")[-1]):
+        raise ValueError(f"{path} is the current version of {table}")
+    df.write.mode("overwrite" if replace_version else "errorifexists").parquet(path)
     if table_exists(spark, table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {table}")
