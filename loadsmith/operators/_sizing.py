@@ -15,9 +15,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a projected lookup (key + a few values, ~100 bytes a row) that may be
-# broadcast: about 50 MB per executor.
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+# Rows that may be broadcast.  A hashed relation costs ~30 bytes a row for a
+# long key and ~600 for a 32-character string key (measured), so this bounds a
+# broadcast at about 6-120 MB.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:

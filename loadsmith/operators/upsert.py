@@ -47,7 +47,8 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *,
     if target is None:
         return batch
     nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    batch_keys = batch.select(*keys).where(nn).distinct()
+    # No distinct: an anti join ignores duplicate keys on its build side.
+    batch_keys = batch.select(*keys).where(nn)
     if small is None:
         small = decide_broadcast(batch_keys, broadcast, max_broadcast_rows)
     if small:
