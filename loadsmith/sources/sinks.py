@@ -129,7 +129,7 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     keys = [keys] if isinstance(keys, str) else list(keys)
     batch = materialize(batch.withColumn(bucket_col, key_bucket(keys, buckets)), "batch")
     if not table_exists(spark, table):
-        (batch.repartition(bucket_col).write.partitionBy(bucket_col).format("parquet")
+        (batch.hint("rebalance", bucket_col).write.partitionBy(bucket_col).format("parquet")
          .option("path", path).saveAsTable(table))
         return
     touched = [r[0] for r in batch.select(bucket_col).distinct().collect()]  # <= buckets values
@@ -140,6 +140,8 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     previous = spark.conf.get(key)
     spark.conf.set(key, "dynamic")        # replace only the partitions written
     try:
-        result.repartition(bucket_col).write.mode("overwrite").insertInto(table)
+        # Cluster rows by bucket (few files per bucket); AQE splits a hot
+        # bucket (all null keys share one) over several tasks.
+        result.hint("rebalance", bucket_col).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(key, previous)

@@ -1,0 +1,86 @@
+"""Property tests on random rows with edge values (few examples, many rows each)."""
+
+import datetime as dt
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from loadsmith import schemas
+from loadsmith.functions import rules
+from loadsmith.functions.dates import run_date
+from loadsmith.operators import lookup_join, upsert_frame
+
+SETTINGS = settings(max_examples=6, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+TODAY = dt.date(2024, 6, 15)
+
+emails = st.sampled_from([None, "a@b.com", "", " ", "x"])
+phones = st.sampled_from([None, "555-1234", ""])
+dates = st.sampled_from([None, TODAY - dt.timedelta(days=1), TODAY, TODAY + dt.timedelta(days=1),
+                         dt.date(2000, 2, 29)])
+salaries = st.sampled_from([None, Decimal("-1.00"), Decimal("0.00"), Decimal("0.01"),
+                            Decimal("5000.50"), Decimal("20000.00")])
+employee = st.tuples(emails, phones, dates, salaries)
+
+
+@SETTINGS
+@given(st.lists(employee, min_size=50, max_size=200))
+def test_pushable_equals_label_filter_employees(spark, rows):
+    df = spark.createDataFrame(
+        [(i, "f", "l", e, p, h, "IT_PROG", s, None, None, None) for i, (e, p, h, s) in enumerate(rows)],
+        schemas.EMPLOYEES)
+    today = run_date("2024-06-15 00:00:00")
+    labels = df.where((rules.employee_status(today=today) == "ACTIVE")
+                      & (rules.data_quality_flag(today=today) == "VALID"))
+    pushable = df.where(rules.active_valid_pushable(today=today))
+    assert sorted(r[0] for r in labels.select("EMPLOYEE_ID").collect()) == \
+        sorted(r[0] for r in pushable.select("EMPLOYEE_ID").collect())
+
+
+master = st.tuples(st.sampled_from([None, 1]),
+                   st.sampled_from([None, "noemail@unknown.com", " NOEMAIL@Unknown.com ", "a@b", "", " "]),
+                   st.sampled_from([None, "A", "I", "S", "X", "a", ""]),
+                   st.sampled_from([None, dt.datetime(2024, 1, 1, 12)]))
+
+
+@SETTINGS
+@given(st.lists(master, min_size=50, max_size=200))
+def test_pushable_equals_label_filter_customers(spark, rows):
+    df = spark.createDataFrame(
+        [(c, i, "f", "l", e, "5551234567", None, s, r, r) for i, (c, e, s, r) in enumerate(rows)],
+        "CUSTOMER_ID long, ROW long, FIRST_NAME string, LAST_NAME string, EMAIL string, PHONE string, "
+        "ADDRESS_ID long, STATUS string, REGISTRATION_DATE timestamp_ntz, LAST_MODIFIED_DATE timestamp_ntz")
+    derived = df.select("ROW", "CUSTOMER_ID", rules.master_email().alias("EMAIL"),
+                        rules.master_status().alias("STATUS"), "REGISTRATION_DATE")
+    labels = derived.where(rules.master_valid_labels())
+    pushable = df.where(rules.master_valid_pushable())
+    assert sorted(r[0] for r in labels.select("ROW").collect()) == \
+        sorted(r[0] for r in pushable.select("ROW").collect())
+
+
+@SETTINGS
+@given(st.sets(st.integers(0, 60), max_size=40), st.sets(st.integers(0, 60), max_size=20),
+       st.integers(0, 3))
+def test_upsert_idempotent_and_keyed(spark, target_keys, batch_keys, version):
+    target = spark.createDataFrame([(k, "t") for k in sorted(target_keys)], "k long, v string")
+    batch = spark.createDataFrame([(k, f"b{version}") for k in sorted(batch_keys)], "k long, v string")
+    once = upsert_frame(target, batch, "k")
+    rows = {r.k: r.v for r in once.collect()}
+    assert set(rows) == target_keys | batch_keys
+    assert all(rows[k] == f"b{version}" for k in batch_keys)
+    assert sorted(map(tuple, upsert_frame(once, batch, "k").collect())) == sorted(map(tuple, once.collect()))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 30)), min_size=1, max_size=80),
+       st.sets(st.integers(0, 30), max_size=20))
+def test_lookup_keeps_every_left_row(spark, left_keys, lookup_keys):
+    left = spark.createDataFrame([(i, k) for i, k in enumerate(left_keys)], "row long, k long")
+    lk = spark.createDataFrame([(k, f"n{k}") for k in sorted(lookup_keys)], "k long, name string")
+    out = lookup_join(left, lk, "k", {"NAME": ("name", "NONE")})
+    got = {r.row: r.NAME for r in out.collect()}
+    assert len(got) == len(left_keys) and out.count() == len(left_keys)
+    for i, k in enumerate(left_keys):
+        assert got[i] == (f"n{k}" if k in lookup_keys else "NONE")
