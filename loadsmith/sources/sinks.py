@@ -81,10 +81,41 @@ def record_watermark(spark: SparkSession, table: str, wm: str, value: str | None
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{WATERMARK_PROPERTY}{wm}' = '{value}')")
 
 
+MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
+
+
+def table_provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == "Provider"), "").lower()
+
+
+def merge_into(batch: DataFrame, table: str, keys) -> None:
+    """``MERGE INTO`` for table formats that support it (known key replaces the
+    row, new key inserts).  The batch is matched on all ``keys``."""
+    spark = batch.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    provider = table_provider(spark, table)
+    if provider not in MERGE_PROVIDERS:
+        raise ValueError(f"{table} is a {provider or 'unknown'} table; MERGE needs one of "
+                         f"{MERGE_PROVIDERS}; use upsert_table")
+    view = f"loadsmith_batch_{uuid.uuid4().hex}"
+    batch.createOrReplaceTempView(view)
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    try:
+        spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} "
+                  f"WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema: bool = False,
-                 run_id: str | None = None, watermark: str | None = None) -> str:
+                 run_id: str | None = None, watermark: str | None = None,
+                 method: str = "auto") -> str:
     """Apply ``batch`` to ``table`` keyed on ``keys``; create it on the first run.
 
+    ``method``: ``"merge"`` (MERGE INTO, for formats that support it),
+    ``"snapshot"`` (new version folder + repoint, for plain Parquet) or
+    ``"auto"`` (merge when the table's provider supports it).
     The batch is written once under the shared ``spark.checkpoint.dir`` so the
     checks, the key probe and the write read it without recomputing the scan.
     With ``watermark``, the new high-water mark (the larger of the recorded one
@@ -98,8 +129,17 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     if check_schema:
         assert_same_schema(batch, target)
     previous = stored_watermark(spark, table, watermark) if watermark and exists else None
-    result = upsert_frame(target, batch, keys)
-    path = write_snapshot(result, table, root, run_id)
+    if method == "auto":
+        method = "merge" if exists and table_provider(spark, table) in MERGE_PROVIDERS else "snapshot"
+    if method == "merge":
+        upsert_frame(None, batch, keys)          # the batch-key check only
+        merge_into(batch, table, keys)
+        path = table_location(spark, table)
+    elif method == "snapshot":
+        result = upsert_frame(target, batch, keys)
+        path = write_snapshot(result, table, root, run_id)
+    else:
+        raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
     if watermark:
         batch_max = batch.agg(F.max(F.col(watermark)).cast("string").alias("m")).first()["m"]
         candidates = [v for v in (previous, batch_max) if v is not None]

@@ -101,3 +101,16 @@ def test_lookup_restricted_to_batch_keys(spark):
     with pytest.raises(DataCheckError):
         lookup_join(spark.createDataFrame([(1999,)], "k long"), lookup, "k", {"V": ("v", "NONE")},
                     max_broadcast_rows=100)
+
+
+def test_merge_is_refused_for_parquet_and_auto_falls_back(spark, scratch):
+    from loadsmith.sources.sinks import merge_into, table_provider
+
+    first = spark.createDataFrame([(1, "a")], "k long, v string")
+    upsert_table(first, "t_auto", "k", f"{scratch}/t_auto", run_id="1")
+    assert table_provider(spark, "t_auto") == "parquet"
+    with pytest.raises(ValueError, match="MERGE"):
+        merge_into(first, "t_auto", "k")
+    upsert_table(spark.createDataFrame([(1, "b")], "k long, v string"), "t_auto", "k",
+                 f"{scratch}/t_auto", run_id="2", method="auto")
+    assert [tuple(r) for r in spark.table("t_auto").collect()] == [(1, "b")]
