@@ -34,5 +34,6 @@ def build(emp: DataFrame, dept: DataFrame, as_of=None, *, broadcast="auto",
     return joined.select(*schemas.EMP_LOAD_COLS)
 
 
-def load(emp: DataFrame, dept: DataFrame, table: str, as_of=None) -> None:
-    write_full(build(emp, dept, as_of), table)
+def load(emp: DataFrame, dept: DataFrame, table: str, as_of=None, root: str | None = None) -> None:
+    """Rebuild ``table``; with ``root``, as a new version folder (atomic repoint)."""
+    write_full(build(emp, dept, as_of), table, root)

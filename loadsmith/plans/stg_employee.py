@@ -80,5 +80,6 @@ def build(employees: DataFrame, as_of=None, *, keep_invalid: bool = False) -> Da
     return out.select(*schemas.STG_EMPLOYEE_COLS)
 
 
-def load(employees: DataFrame, table: str, as_of=None) -> None:
-    write_full(build(employees, as_of), table)
+def load(employees: DataFrame, table: str, as_of=None, root: str | None = None) -> None:
+    """Rebuild ``table``; with ``root``, as a new version folder (atomic repoint)."""
+    write_full(build(employees, as_of), table, root)

@@ -15,6 +15,7 @@ hash bucket of the key and only the buckets the batch touches are rewritten
 from __future__ import annotations
 
 import uuid
+import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadsmith.operators._sizing import materialize
-from loadsmith.operators.checks import assert_same_schema
+from loadsmith.operators.checks import assert_same_schema, not_null_violations
 from loadsmith.operators.upsert import upsert_frame
 
 
@@ -30,8 +31,16 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def write_full(df: DataFrame, table: str) -> None:
-    """Full rebuild: replace the table with ``df`` (source must not be the table)."""
+def write_full(df: DataFrame, table: str, root: str | None = None, run_id: str | None = None) -> None:
+    """Full rebuild: replace the table with ``df``.
+
+    With ``root`` the rows go to a new version folder and the table is
+    repointed (readers never see a half-written table); without it the table
+    is overwritten in place (``df`` must not read the table).
+    """
+    if root is not None:
+        write_snapshot(df, table, root, run_id)
+        return
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
@@ -124,6 +133,10 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     """
     spark = batch.sparkSession
     batch = materialize(batch, "batch")
+    key_list = [keys] if isinstance(keys, str) else list(keys)
+    if not not_null_violations(batch, key_list).isEmpty():
+        warnings.warn(f"batch for {table} has rows with a null key {key_list}; they never match "
+                      f"and are appended on every run", stacklevel=2)
     exists = table_exists(spark, table)
     target = spark.table(table) if exists else None
     if check_schema:

@@ -35,10 +35,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     as is, so at scale this adds no shuffle.
     """
     spark = df.sparkSession
-    floor = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < floor:
-        return df.repartition(floor)
-    return df
+    try:
+        floor = min_partitions or spark.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(floor) if parts < floor else df
 
 
 def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: bool = False,

@@ -114,3 +114,16 @@ def test_merge_is_refused_for_parquet_and_auto_falls_back(spark, scratch):
     upsert_table(spark.createDataFrame([(1, "b")], "k long, v string"), "t_auto", "k",
                  f"{scratch}/t_auto", run_id="2", method="auto")
     assert [tuple(r) for r in spark.table("t_auto").collect()] == [(1, "b")]
+
+
+def test_full_rebuild_versioned_and_null_key_warning(spark, scratch):
+    from loadsmith.plans import standins as si
+    from loadsmith.plans import stg_employee
+
+    emp = si.employees(si.table(spark, "/root/testdata/sf0.001", "orders"))
+    stg_employee.load(emp, "t_stg", si.RUN_STD, root=f"{scratch}/t_stg")
+    stg_employee.load(emp, "t_stg", si.RUN_STD, root=f"{scratch}/t_stg")
+    assert spark.table("t_stg").count() == stg_employee.build(emp, si.RUN_STD).count()
+    with pytest.warns(UserWarning, match="null key"):
+        upsert_table(spark.createDataFrame([(None, "x")], "k long, v string"), "t_nullk", "k",
+                     f"{scratch}/t_nullk")
