@@ -19,7 +19,7 @@ JOB_CODES = ["IT_PROG", "IT_SUPPORT", "SA_REP", "SA_MAN", "FI_ACCOUNT", "FI_MGR"
              "ST_CLERK", "ST_MAN", "AD_PRES"]
 CREDIT_LIMITS = [None, 0.0, 3000.0, 7000.0, 11000.0, 13000.0]
 RAW_STATUS = ["A", "A", "S", "C", "X"]
-DEPT_MAX_KEY = 20                      # nations >= 20 have no department/country row
+MISSING_OFFSET = 100_000_000            # added to some references so their lookup misses
 RUN_STD = "2000-06-15 00:00:00"       # staging plan run clock
 RUN_EMP = "2024-06-15 00:00:00"
 RUN_CUSTOMER = "2001-08-01 00:00:00"
@@ -66,12 +66,14 @@ def emp(customer: DataFrame) -> DataFrame:
         F.date_add(F.lit("1990-01-01").cast("date"), _mod(k, 9000).cast("int")).alias("HIREDATE"),
         F.when(_mod(k, 11) == 0, None).otherwise(F.col("c_acctbal")).alias("SAL"),
         F.when(_mod(k, 3) == 0, None).otherwise(_mod(k, 500).cast("double")).alias("COMM"),
-        F.when(_mod(k, 13) == 0, None).otherwise(F.col("c_nationkey").cast("long")).alias("DEPTNO"),
+        F.when(_mod(k, 13) == 0, None)
+         .when(_mod(k, 17) == 0, F.col("c_nationkey").cast("long") + MISSING_OFFSET)
+         .otherwise(F.col("c_nationkey").cast("long")).alias("DEPTNO"),
     )
 
 
 def dept(nation: DataFrame) -> DataFrame:
-    return nation.where(F.col("n_nationkey") < DEPT_MAX_KEY).select(
+    return nation.select(
         F.col("n_nationkey").cast("long").alias("DEPTNO"), F.col("n_name").alias("DNAME"),
         F.concat(F.lit("REGION_"), _s(F.col("n_regionkey"))).alias("LOC"))
 
@@ -126,7 +128,8 @@ def customer_master(orders: DataFrame, modified_before: str | None = None) -> Da
          .when(_mod(k, 9) == 0, F.concat(F.lit(" "), _s(_mod(k, 100000)), F.lit(" ")))
          .otherwise(F.concat(F.lit(" 555"), F.lpad(_s(_mod(k, 10000000)), 7, "0"), F.lit(" ")))
          .alias("PHONE"),
-        F.when(_mod(k, 7) == 0, None).otherwise(F.col("o_custkey")).alias("ADDRESS_ID"),
+        F.when(_mod(k, 7) == 0, None).when(_mod(k, 10) == 0, F.col("o_custkey") + MISSING_OFFSET)
+         .otherwise(F.col("o_custkey")).alias("ADDRESS_ID"),
         F.when(_mod(k, 43) == 0, F.lit("X")).otherwise(status).alias("STATUS"),
         F.when(_mod(k, 47) == 0, None).otherwise(reg).alias("REGISTRATION_DATE"),
         modified.alias("LAST_MODIFIED_DATE"),
@@ -135,7 +138,7 @@ def customer_master(orders: DataFrame, modified_before: str | None = None) -> Da
 
 def address_master(customer: DataFrame) -> DataFrame:
     k = _k("c_custkey")
-    return customer.where(_mod(k, 10) != 0).select(
+    return customer.select(
         k.alias("ADDRESS_ID"), F.col("c_name").alias("STREET"),
         F.concat(F.lit("CITY_"), _s(F.col("c_nationkey"))).alias("CITY"),
         F.col("c_mktsegment").alias("STATE"),
@@ -175,8 +178,9 @@ def customer_raw(customer: DataFrame, orders: DataFrame, modified_before: str |
          .alias("CITY"),
         F.when(_mod(k, 15) == 0, None).otherwise(F.col("c_mktsegment")).alias("STATE"),
         F.when(_mod(k, 16) == 0, None).otherwise(F.lpad(_s(_mod(k, 100000)), 5, "0")).alias("ZIP_CODE"),
-        F.when(_mod(k, 17) == 0, None).otherwise(F.concat(F.lit("C"), _s(F.col("c_nationkey"))))
-         .alias("COUNTRY"),
+        F.when(_mod(k, 17) == 0, None)
+         .when(_mod(k, 23) == 0, F.concat(F.lit("X"), _s(F.col("c_nationkey"))))
+         .otherwise(F.concat(F.lit("C"), _s(F.col("c_nationkey")))).alias("COUNTRY"),
         F.when(F.col("c_mktsegment") == "BUILDING", "R").when(F.col("c_mktsegment") == "MACHINERY", "W")
          .when(F.col("c_mktsegment") == "AUTOMOBILE", "C").otherwise("H").alias("CUSTOMER_TYPE"),
         limits.alias("CREDIT_LIMIT"),
@@ -193,8 +197,7 @@ def customer_raw(customer: DataFrame, orders: DataFrame, modified_before: str |
 
 
 def dim_country(nation: DataFrame, region: DataFrame) -> DataFrame:
-    n = nation.where(F.col("n_nationkey") < DEPT_MAX_KEY)
-    named = lookup_join(n, region, [("n_regionkey", "r_regionkey")], {"REGION": ("r_name", None)})
+    named = lookup_join(nation, region, [("n_regionkey", "r_regionkey")], {"REGION": ("r_name", None)})
     return named.select(
         F.concat(F.lit("C"), _s(F.col("n_nationkey"))).alias("COUNTRY_CODE"),
         F.col("n_name").alias("COUNTRY_NAME"), "REGION",

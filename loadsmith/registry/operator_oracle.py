@@ -66,8 +66,8 @@ WHERE EMPLOYEE_STATUS = 'ACTIVE' AND DATA_QUALITY_FLAG = 'VALID'"""),
 
     "lookup_left_defaults": f"""SELECT c_custkey AS CUSTOMER_ID, coalesce(n.n_name, 'UNKNOWN') AS NATION_NAME,
   coalesce(n.n_regionkey, -1) AS REGION_KEY
-FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < {si.DEPT_MAX_KEY}) n
-  ON c_nationkey = n.n_nationkey""",
+FROM customer LEFT JOIN nation n
+  ON CASE WHEN c_custkey % 6 = 0 THEN c_nationkey + 100 ELSE c_nationkey END = n.n_nationkey""",
 
     "lookup_raw_code_default": with_([("raw", customer_raw()), ("dim", DIM_COUNTRY)],
         """SELECT CUSTOMER_ID, coalesce(COUNTRY, 'US') AS COUNTRY_CODE,

@@ -105,8 +105,10 @@ def q_quality_flag_filter(spark, sf):
 # --- joins ------------------------------------------------------------------------
 
 def q_lookup_left_defaults(spark, sf):
-    nation = _t(spark, sf, "nation").where(F.col("n_nationkey") < si.DEPT_MAX_KEY)
-    out = lookup_join(_t(spark, sf, "customer"), nation, [("c_nationkey", "n_nationkey")],
+    cust = _t(spark, sf, "customer")
+    ref = F.when(_mod(F.col("c_custkey"), 6) == 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
+    out = lookup_join(cust.withColumn("NATION_REF", ref), _t(spark, sf, "nation"),
+                      [("NATION_REF", "n_nationkey")],
                       {"NATION_NAME": ("n_name", rules.UNKNOWN), "REGION_KEY": ("n_regionkey", -1)})
     return out.select(F.col("c_custkey").alias("CUSTOMER_ID"), "NATION_NAME", "REGION_KEY")
 
