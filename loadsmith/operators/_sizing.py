@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows that may be broadcast.  A hashed relation costs ~30 bytes a row for a
 # long key and ~600 for a 32-character string key (measured), so this bounds a
@@ -69,3 +70,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     df.write.parquet(path)
     # The schema is known: no footer reads to infer it.
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Null join keys never match, yet a shuffle join sends all of them to one task.
+# The salt spreads them over this many tasks without changing any match.
+NULL_SALT_BUCKETS = 64
+
+
+def null_key_salt(df: DataFrame, keys, buckets: int = NULL_SALT_BUCKETS) -> "F.Column":
+    """Salt for the probing side of a shuffle join: a deterministic hash of the
+    whole row for rows with a null key, 0 otherwise (the other side uses 0)."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
+    return F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))

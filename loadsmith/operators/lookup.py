@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadsmith.operators._sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, materialize, not_null, rows_at_most,
+    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, materialize, not_null, null_key_salt,
+    rows_at_most,
 )
 from loadsmith.operators.checks import DataCheckError, unique_violations
 
@@ -95,10 +96,14 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
         small = decide_broadcast(lk, broadcast, max_broadcast_rows)
     else:
         raise ValueError("on_duplicate must be 'error' or 'fanout'")
-    if small:
-        lk = F.broadcast(lk)
     cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(n) for (l, _), n in zip(pairs, lk_names)])
-    joined = df.join(lk, cond, "left")
+    if small:
+        joined = df.join(F.broadcast(lk), cond, "left")
+    else:
+        # Shuffle join: spread rows with a null key (they cannot match) over many tasks.
+        salted = df.withColumn("__salt", null_key_salt(df, [l for l, _ in pairs]))
+        joined = salted.join(lk.withColumn("__lk_salt", F.lit(0)),
+                             cond & (F.col("__salt") == F.col("__lk_salt")), "left")
     outs = []
     for (name, _, default), n in zip(vals, lv_names):
         c = F.col(n) if default is None else F.coalesce(F.col(n), F.lit(default))
@@ -133,11 +138,12 @@ def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | N
     """
     other_key = other_key or key
     ok = other.select(F.col(other_key).alias("__ex_k")).where(F.col("__ex_k").isNotNull())
-    hits = None
+    hits, small = None, True
     if probe == "other":
         ids = materialize(ok.distinct(), "ids")
         hits = _membership(ids)
-        if rows_at_most(ids, max_broadcast_rows):
+        small = rows_at_most(ids, max_broadcast_rows)
+        if small:
             hits = F.broadcast(hits)
     elif probe == "left":
         left_ids = materialize(df.select(F.col(key).alias("__ex_k"))
@@ -146,12 +152,19 @@ def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | N
             found = ok.join(F.broadcast(left_ids), "__ex_k", "left_semi").distinct()
             hits = F.broadcast(_membership(found))
         else:
-            hits = _membership(ok.join(left_ids, "__ex_k", "left_semi").distinct())
+            hits, small = _membership(ok.join(left_ids, "__ex_k", "left_semi").distinct()), False
     elif probe is None:
-        hits = _membership(ok.distinct())
+        hits, small = _membership(ok.distinct()), False
     else:
         raise ValueError("probe must be 'other', 'left' or None")
-    joined = df.join(hits, F.col(key) == F.col("__ex_k"), "left")
+    if small:
+        joined = df.join(hits, F.col(key) == F.col("__ex_k"), "left")
+    else:
+        # Shuffle join: spread rows with a null key (they cannot match) over many tasks.
+        salted = df.withColumn("__salt", null_key_salt(df, [key]))
+        joined = salted.join(hits.withColumn("__ex_salt", F.lit(0)),
+                             (F.col(key) == F.col("__ex_k")) & (F.col("__salt") == F.col("__ex_salt")),
+                             "left")
     flag = F.when(F.col("__ex_hit").isNotNull(), F.lit(yes)).otherwise(F.lit(no))
     return joined.select(*[F.col(c) for c in df.columns], flag.alias(name))
 

@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.operators._sizing import DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats
+from loadsmith.operators._sizing import (
+    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, null_key_salt,
+)
 from loadsmith.operators.checks import (
     DataCheckError, assert_same_schema, unique_violations,
 )
@@ -52,8 +54,16 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *,
     if small is None:
         small = decide_broadcast(batch_keys, broadcast, max_broadcast_rows)
     if small:
-        batch_keys = F.broadcast(batch_keys)
-    kept = target.join(batch_keys, keys, "left_anti").select(*target.columns)
+        kept = target.join(F.broadcast(batch_keys), keys, "left_anti")
+    else:
+        # Shuffle join: spread target rows with a null key (appended rows that
+        # never match) over many tasks instead of one.
+        renamed = batch_keys.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)],
+                                    F.lit(0).alias("__bk_salt"))
+        cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__bk{i}") for i, k in enumerate(keys)])
+        salted = target.withColumn("__salt", null_key_salt(target, keys))
+        kept = salted.join(renamed, cond & (F.col("__salt") == F.col("__bk_salt")), "left_anti")
+    kept = kept.select(*target.columns)
     return kept.unionByName(batch.select(*target.columns))
 
 

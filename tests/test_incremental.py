@@ -126,3 +126,23 @@ def test_lookup_keeps_left_rows_and_rejects_duplicates(spark):
     with pytest.raises(DataCheckError):
         lookup_join(left, dup, "k", {"NAME": ("name", "NONE")})
     assert lookup_join(left, dup, "k", {"NAME": ("name", "NONE")}, on_duplicate="fanout").count() == 4
+
+
+def test_shuffle_paths_salt_null_keys(spark):
+    """Without broadcast, null keys are salted; results equal the broadcast path."""
+    from loadsmith.operators import existence_flag
+    from tests.conftest import plan_text
+
+    left = spark.createDataFrame([(i, None if i % 3 == 0 else i % 7) for i in range(300)], "row long, k long")
+    lk = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "k long, name string")
+    shuffled = lookup_join(left, lk, "k", {"NAME": ("name", "NONE")}, broadcast=False, restrict=False)
+    broadcast = lookup_join(left, lk, "k", {"NAME": ("name", "NONE")}, broadcast=True, restrict=False)
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, broadcast.collect()))
+    assert "xxhash64" in plan_text(shuffled)
+    flags = existence_flag(left, "k", lk, "k", name="F", probe=None)
+    assert sorted((r.row, r.F) for r in flags.collect()) == \
+        sorted((r.row, "Y" if r.k is not None and r.k < 5 else "N") for r in left.collect())
+    target = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (2, "d")], "k long, v string")
+    batch = spark.createDataFrame([(2, "D"), (3, "e")], "k long, v string")
+    out = upsert_frame(target, batch, "k", broadcast=False, check_unique=False)
+    assert sorted(map(str, out.collect())) == sorted(map(str, upsert_frame(target, batch, "k").collect()))
