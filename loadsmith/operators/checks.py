@@ -7,7 +7,6 @@ most one row to decide.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame

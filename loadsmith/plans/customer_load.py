@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loadsmith import schemas
 from loadsmith.functions import rules
-from loadsmith.functions.dates import day_diff, month_diff, run_date, run_timestamp, trunc_day
+from loadsmith.functions.dates import month_diff, run_date, run_timestamp, trunc_day
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.functions.text import email_domain_or
 from loadsmith.operators.lookup import lookup_join

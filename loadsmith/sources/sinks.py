@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

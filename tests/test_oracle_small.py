@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver runs sf0.01)."""
 
 import collections
-import os
 
 import duckdb
 import pytest

@@ -5,7 +5,6 @@ from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from loadsmith import schemas
 from loadsmith.functions import rules
