@@ -45,9 +45,25 @@ def key_stats(df: DataFrame, keys) -> tuple[int, int]:
     The per-key count is aggregated map-side first, so a hot key costs one
     row per task in the shuffle.
     """
-    per_key = df.where(not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("__n").alias("top")).first()
-    return int(row["keys"]), int(row["top"] or 0)
+    keys_, top, _ = _stats(df.where(not_null(keys)), keys)
+    return keys_, top
+
+
+def _stats(df: DataFrame, keys) -> tuple[int, int, int]:
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("__n").alias("top"),
+                      F.sum("__n").alias("rows")).first()
+    return int(row["keys"]), int(row["top"] or 0), int(row["rows"] or 0)
+
+
+def small_key_stats(df: DataFrame, keys, max_rows: int) -> tuple[int, int] | None:
+    """``key_stats`` when ``df`` has at most ``max_rows`` rows, else None.
+
+    One job that reads at most ``max_rows + 1`` rows: when the sample is not
+    full it is the whole input, so its statistics are exact.
+    """
+    keys_, top, rows = _stats(df.limit(max_rows + 1), keys)
+    return (keys_, top) if rows <= max_rows else None
 
 
 def scratch_path(spark, name: str = "table") -> str:

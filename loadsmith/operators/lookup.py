@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loadsmith.operators._sizing import (
     DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, materialize, not_null, null_key_salt,
-    rows_at_most,
+    rows_at_most, small_key_stats,
 )
 from loadsmith.operators.checks import DataCheckError, unique_violations
 
@@ -77,23 +77,26 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
     lk = lookup.select(*[F.col(r).alias(n) for (_, r), n in zip(pairs, lk_names)],
                        *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names)]
                        ).where(not_null(lk_names))
+    # One bounded job: when the lookup is small, its exact key statistics.
+    stats = small_key_stats(lk, lk_names, max_broadcast_rows) if restrict != True else None  # noqa: E712
     if restrict == "auto":
-        restrict = (not rows_at_most(lk, max_broadcast_rows)
-                    and rows_at_most(df, max_broadcast_rows))
+        restrict = stats is None and rows_at_most(df, max_broadcast_rows)
     if restrict:
         left_keys = df.select(*[F.col(l).alias(n) for (l, _), n in zip(pairs, lk_names)]
                               ).where(not_null(lk_names)).distinct()
         lk = materialize(lk.join(F.broadcast(left_keys), lk_names, "left_semi"), "lookup")
+        stats = None
     if on_duplicate == "error":
         # One aggregation proves the keys unique and counts them.
-        n_keys, top = key_stats(lk, lk_names)
+        n_keys, top = stats if stats is not None else key_stats(lk, lk_names)
         if top > 1:
             dup = unique_violations(lk, lk_names)
             raise DataCheckError(f"lookup keys {[r for _, r in pairs]} are not unique: "
                                  f"{[r.asDict() for r in dup.limit(5).collect()]}")
         small = n_keys <= max_broadcast_rows if broadcast == "auto" else bool(broadcast)
     elif on_duplicate == "fanout":
-        small = decide_broadcast(lk, broadcast, max_broadcast_rows)
+        small = (stats is not None) if broadcast == "auto" and not restrict else \
+            decide_broadcast(lk, broadcast, max_broadcast_rows)
     else:
         raise ValueError("on_duplicate must be 'error' or 'fanout'")
     cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(n) for (l, _), n in zip(pairs, lk_names)])
