@@ -137,6 +137,8 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
         warnings.warn(f"batch for {table} has rows with a null key {key_list}; they never match "
                       f"and are appended on every run", stacklevel=2)
     exists = table_exists(spark, table)
+    if exists and batch.isEmpty():
+        return table_location(spark, table)      # nothing new: no rewrite of the target
     target = spark.table(table) if exists else None
     if check_schema:
         assert_same_schema(batch, target)
