@@ -15,7 +15,9 @@ from loadsmith.functions.dates import month_diff, run_date, run_timestamp, trunc
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.functions.text import email_domain_or
 from loadsmith.operators.lookup import lookup_join
-from loadsmith.sources.sinks import stored_watermark, table_exists, upsert_table
+from loadsmith.sources.sinks import (
+    stored_watermark, table_exists, upsert_table, upsert_table_buckets,
+)
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 NAME = "customer_load"
@@ -58,9 +60,16 @@ def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | N
 
 
 def load(customer_raw: DataFrame, dim_country: DataFrame, table: str, root: str,
-         as_of=None) -> str:
+         as_of=None, *, buckets: int | None = None):
+    """Upsert the batch into ``table``: a new version under ``root``, or with
+    ``buckets`` a table partitioned by key bucket where only touched buckets
+    are rewritten."""
     spark = customer_raw.sparkSession
     target = spark.table(table) if table_exists(spark, table) else None
     wm = schemas.WATERMARKS[NAME]
+    if target is not None and buckets:
+        target = target.drop("_key_bucket")
     batch = build(customer_raw, dim_country, target, as_of, bound=stored_watermark(spark, table, wm))
+    if buckets:
+        return upsert_table_buckets(batch, table, schemas.KEYS[NAME], root, buckets=buckets, watermark=wm)
     return upsert_table(batch, table, schemas.KEYS[NAME], root, watermark=wm)

@@ -19,7 +19,9 @@ from loadsmith.functions import rules
 from loadsmith.functions.dates import run_timestamp
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.operators.lookup import change_tag
-from loadsmith.sources.sinks import stored_watermark, table_exists, upsert_table
+from loadsmith.sources.sinks import (
+    stored_watermark, table_exists, upsert_table, upsert_table_buckets,
+)
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 NAME = "validation_stage"
@@ -43,9 +45,15 @@ def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None,
     return out.select(*cols)
 
 
-def load(data_src_val: DataFrame, table: str, root: str, as_of=None) -> str:
+def load(data_src_val: DataFrame, table: str, root: str, as_of=None, *,
+         buckets: int | None = None):
+    """Upsert the batch into ``table`` (see ``customer_load.load`` for ``buckets``)."""
     spark = data_src_val.sparkSession
     target = spark.table(table) if table_exists(spark, table) else None
     wm = schemas.WATERMARKS[NAME]
+    if target is not None and buckets:
+        target = target.drop("_key_bucket")
     batch = build(data_src_val, target, as_of, bound=stored_watermark(spark, table, wm))
+    if buckets:
+        return upsert_table_buckets(batch, table, [KEY], root, buckets=buckets, watermark=wm)
     return upsert_table(batch, table, [KEY], root, watermark=wm)

@@ -155,29 +155,34 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     else:
         raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
     if watermark:
-        batch_max = batch.agg(F.max(F.col(watermark)).cast("string").alias("m")).first()["m"]
-        candidates = [v for v in (previous, batch_max) if v is not None]
-        if candidates:
-            numeric = isinstance(batch.schema[watermark].dataType, T.NumericType)
-            newest = max(candidates, key=float if numeric else str)  # ISO text sorts by time
-            record_watermark(spark, table, watermark, newest)
+        _advance_watermark(batch, table, watermark, previous)
     return path
 
 
+def _advance_watermark(batch: DataFrame, table: str, watermark: str, previous: str | None) -> None:
+    """Record the larger of the previous mark and the (small) batch's maximum."""
+    batch_max = batch.agg(F.max(F.col(watermark)).cast("string").alias("m")).first()["m"]
+    candidates = [v for v in (previous, batch_max) if v is not None]
+    if candidates:
+        numeric = isinstance(batch.schema[watermark].dataType, T.NumericType)
+        newest = max(candidates, key=float if numeric else str)  # ISO text sorts by time
+        record_watermark(batch.sparkSession, table, watermark, newest)
+
+
 def key_bucket(keys, buckets: int):
     keys = [keys] if isinstance(keys, str) else list(keys)
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
 def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, buckets: int = 1024,
-                         bucket_col: str = "_key_bucket") -> None:
+                         bucket_col: str = "_key_bucket", watermark: str | None = None) -> None:
     """Upsert that rewrites only the key buckets present in the batch.
 
     The table is stored partitioned by ``bucket_col = pmod(xxhash64(keys), buckets)``.
     The set of touched buckets is bounded by ``buckets``; the target read is
     pruned to them (partition filter), the upsert runs per bucket, and dynamic
     partition overwrite replaces just those partitions.  All null keys share
-    one bucket.
+    one bucket.  ``watermark`` as in ``upsert_table``.
     """
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -185,17 +190,24 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     if not table_exists(spark, table):
         (batch.hint("rebalance", bucket_col).write.partitionBy(bucket_col).format("parquet")
          .option("path", path).saveAsTable(table))
+        if watermark:
+            _advance_watermark(batch, table, watermark, None)
         return
+    if batch.isEmpty():
+        return                                   # nothing new: no partition rewritten
+    previous = stored_watermark(spark, table, watermark) if watermark else None
     touched = [r[0] for r in batch.select(bucket_col).distinct().collect()]  # <= buckets values
     target = spark.table(table).where(F.col(bucket_col).isin(touched))
     result = upsert_frame(target, batch.select(*target.columns), keys + [bucket_col])
     result = materialize(result.select(*target.columns), "result")  # never overwrite what is read
     key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
+    mode_before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")        # replace only the partitions written
     try:
         # Cluster rows by bucket (few files per bucket); AQE splits a hot
         # bucket (all null keys share one) over several tasks.
         result.hint("rebalance", bucket_col).write.mode("overwrite").insertInto(table)
     finally:
-        spark.conf.set(key, previous)
+        spark.conf.set(key, mode_before)
+    if watermark:
+        _advance_watermark(batch, table, watermark, previous)

@@ -35,3 +35,16 @@ def test_customer_load_two_loads(spark, scratch):
     after = spark.table("t_cl").select("CUSTOMER_ID", "UPDATED_DATE").collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))
     assert spark.table("t_cl").where(F.col("DW_LOAD_TIMESTAMP") == F.lit("2001-09-01").cast("timestamp_ntz")).count() == 0
+
+
+def test_validation_stage_bucket_load_equals_query(spark, scratch):
+    from loadsmith.plans import validation_stage
+
+    events = si.table(spark, SF, "events")
+    cut = F.lit(si.VAL_CUT).cast("timestamp_ntz")
+    first = si.data_src_val(events).where(F.col("VAL_EXEC_START_TS") <= cut)
+    second = si.data_src_val(events, modified_before=si.VAL_CUT)
+    validation_stage.load(first, "t_vb", f"{scratch}/t_vb", as_of=si.RUN_VAL_1, buckets=16)
+    validation_stage.load(second, "t_vb", f"{scratch}/t_vb", as_of=si.RUN_VAL_2, buckets=16)
+    spark.catalog.refreshTable("t_vb")
+    _same(spark.table("t_vb").drop("_key_bucket"), pq.q_validation_stage(spark, SF))
