@@ -32,6 +32,12 @@ def q_stg_employee(spark: SparkSession, sf: str) -> DataFrame:
     return stg_employee.build(si.employees(si.table(spark, sf, "orders")), as_of=si.RUN_STD)
 
 
+def q_stg_employee_all_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The staging frame before the ACTIVE-and-VALID filter: every row with its flags."""
+    return stg_employee.build(si.employees(si.table(spark, sf, "orders")), as_of=si.RUN_STD,
+                              keep_invalid=True)
+
+
 def _cdl_inputs(spark, sf):
     orders = si.table(spark, sf, "orders")
     first = si.customer_master(orders).where(
@@ -93,6 +99,7 @@ def q_validation_stage(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
+    "stg_employee_all_rows": q_stg_employee_all_rows,
     "customer_data_load": q_customer_data_load,
     "customer_load": q_customer_load,
     "validation_stage": q_validation_stage,
