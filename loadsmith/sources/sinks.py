@@ -155,11 +155,11 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     else:
         raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
     if watermark:
-        _advance_watermark(batch, table, watermark, previous)
+        advance_watermark(batch, table, watermark, previous)
     return path
 
 
-def _advance_watermark(batch: DataFrame, table: str, watermark: str, previous: str | None) -> None:
+def advance_watermark(batch: DataFrame, table: str, watermark: str, previous: str | None) -> None:
     """Record the larger of the previous mark and the (small) batch's maximum."""
     batch_max = batch.agg(F.max(F.col(watermark)).cast("string").alias("m")).first()["m"]
     candidates = [v for v in (previous, batch_max) if v is not None]
@@ -191,7 +191,7 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
         (batch.hint("rebalance", bucket_col).write.partitionBy(bucket_col).format("parquet")
          .option("path", path).saveAsTable(table))
         if watermark:
-            _advance_watermark(batch, table, watermark, None)
+            advance_watermark(batch, table, watermark, None)
         return
     if batch.isEmpty():
         return                                   # nothing new: no partition rewritten
@@ -210,4 +210,4 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     finally:
         spark.conf.set(key, mode_before)
     if watermark:
-        _advance_watermark(batch, table, watermark, previous)
+        advance_watermark(batch, table, watermark, previous)

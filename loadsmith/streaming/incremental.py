@@ -26,7 +26,7 @@ from loadsmith import schemas
 from loadsmith.operators._sizing import materialize, scratch_path
 from loadsmith.operators.upsert import upsert_frame
 from loadsmith.sources.sinks import (
-    record_watermark, stored_watermark, table_exists, table_location, write_snapshot,
+    advance_watermark, stored_watermark, table_exists, table_location, write_snapshot,
 )
 
 BuildBatch = Callable[[DataFrame, DataFrame | None, str | None], DataFrame]
@@ -56,10 +56,7 @@ def stream_keyed_load(spark: SparkSession, source_path: str, source_schema: T.St
             return
         result = upsert_frame(target, batch, keys)
         write_snapshot(result, table, root, run_id=version, replace_version=True)
-        batch_max = batch.agg({watermark: "max"}).collect()[0][0]
-        candidates = [str(v) for v in (bound, batch_max) if v is not None]
-        if candidates:
-            record_watermark(spark, table, watermark, max(candidates))
+        advance_watermark(batch, table, watermark, bound)
 
     writer = (spark.readStream.schema(source_schema).parquet(source_path)
               .writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint))
