@@ -24,9 +24,13 @@ NAME = "customer_load"
 
 
 def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | None = None,
-          as_of=None, *, bound: str | None = None, broadcast="auto") -> DataFrame:
-    src = typed_source(customer_raw, schemas.CUSTOMER_RAW)
-    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound)
+          as_of=None, *, bound: str | None = None, partition_col: str | None = None,
+          broadcast="auto") -> DataFrame:
+    src = typed_source(customer_raw, schemas.CUSTOMER_RAW, keep=[partition_col] if partition_col else [])
+    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound,
+                             partition_col=partition_col)
+    if partition_col:
+        batch, src = batch.drop(partition_col), src.drop(partition_col)
     today, run_ts = run_date(as_of), run_timestamp(as_of)
     joined = lookup_join(batch, typed_source(dim_country, schemas.DIM_COUNTRY, spread_small=False),
                          [("COUNTRY", "COUNTRY_CODE")],

@@ -29,9 +29,13 @@ KEY = "DATA_SRC_VAL_STAGE_ID"
 
 
 def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None, *,
-          bound: str | None = None, audit: bool = False) -> DataFrame:
-    src = typed_source(data_src_val, schemas.DATA_SRC_VAL)
-    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound)
+          bound: str | None = None, partition_col: str | None = None, audit: bool = False
+          ) -> DataFrame:
+    src = typed_source(data_src_val, schemas.DATA_SRC_VAL, keep=[partition_col] if partition_col else [])
+    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound,
+                             partition_col=partition_col)
+    if partition_col:
+        batch, src = batch.drop(partition_col), src.drop(partition_col)
     keyed = batch.select(
         surrogate_key("DATA_SRC_VAL_ID", "DATA_SRC_ID", "VAL_RULE_ID").alias(KEY), *src.columns)
     tagged = change_tag(keyed, target, "DATA_SRC_VAL_ID", name="__found")

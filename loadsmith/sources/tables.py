@@ -44,12 +44,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: bool = False,
-                 min_partitions: int | None = None, spread_small: bool = True) -> DataFrame:
+                 min_partitions: int | None = None, spread_small: bool = True,
+                 keep: Sequence[str] = ()) -> DataFrame:
     """Select the declared columns in order (pruned at the scan).
 
     Raises ``MissingInputError`` naming every missing column.  With ``cast`` and a
     ``StructType`` each column is cast to its declared type.  Small inputs are
-    spread over the session's cores (``spread``).
+    spread over the session's cores (``spread``).  ``keep`` names extra columns
+    to carry along (e.g. a partition column used by the scan filter).
     """
     if isinstance(schema, T.StructType):
         names = [f.name for f in schema.fields]
@@ -60,10 +62,11 @@ def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: b
     missing = [n for n in names if n not in have]
     if missing:
         raise MissingInputError(f"input lacks columns {missing}; has {df.columns}")
+    extra = [k for k in keep if k not in names]
     if cast and types:
-        out = df.select(*[F.col(n).cast(types[n]).alias(n) for n in names])
+        out = df.select(*[F.col(n).cast(types[n]).alias(n) for n in names], *extra)
     else:
-        out = df.select(*names)
+        out = df.select(*names, *extra)
     return spread(out, min_partitions) if spread_small else out
 
 
@@ -78,7 +81,7 @@ def watermark_bound(target: DataFrame, wm: str) -> str | None:
 
 def incremental_scan(src: DataFrame, target: DataFrame | None, wm: str, *,
                      lookback: str | None = None, target_wm: str | None = None,
-                     bound: str | None = None) -> DataFrame:
+                     bound: str | None = None, partition_col: str | None = None) -> DataFrame:
     """Rows of ``src`` newer than the newest row already in ``target``.
 
     * no target (first run) or an empty target: the whole source;
@@ -88,7 +91,10 @@ def incremental_scan(src: DataFrame, target: DataFrame | None, wm: str, *,
     * ``lookback`` (e.g. ``"1 HOUR"``) widens the window for late rows; rows
       already loaded are then replaced by the keyed upsert, not duplicated;
     * ``bound``: the high-water mark when the caller already knows it (kept
-      as a table property by ``upsert_table``), so the target is not scanned.
+      as a table property by ``upsert_table``), so the target is not scanned;
+    * ``partition_col``: a date partition column holding ``to_date(wm)``; the
+      implied ``partition_col >= to_date(bound)`` is added so whole partition
+      folders are skipped (rows with ``wm > bound`` can only be there).
     """
     if target is None:
         return src
@@ -99,4 +105,7 @@ def incremental_scan(src: DataFrame, target: DataFrame | None, wm: str, *,
     lit = F.lit(bound).cast(src.schema[wm].dataType)
     if lookback:
         lit = lit - F.expr(f"INTERVAL {lookback}")
-    return src.where(F.col(wm) > lit)
+    out = src.where(F.col(wm) > lit)
+    if partition_col:
+        out = out.where(F.col(partition_col) >= F.to_date(lit))
+    return out

@@ -146,3 +146,27 @@ def test_shuffle_paths_salt_null_keys(spark):
     batch = spark.createDataFrame([(2, "D"), (3, "e")], "k long, v string")
     out = upsert_frame(target, batch, "k", broadcast=False, check_unique=False)
     assert sorted(map(str, out.collect())) == sorted(map(str, upsert_frame(target, batch, "k").collect()))
+
+
+def test_partitioned_source_prunes_partitions(spark, scratch):
+    path = f"{scratch}/by_day"
+    rows = [_val(i, 1, 1, TS(2024, 1, 1 + i, 12)) for i in range(6)]
+    (spark.createDataFrame(rows, schemas.DATA_SRC_VAL)
+     .withColumn("LOAD_DAY", F.to_date("LAST_UPDT_TS")).write.partitionBy("LOAD_DAY").parquet(path))
+    src = spark.read.parquet(path)
+    out = incremental_scan(src, src, "LAST_UPDT_TS", bound="2024-01-04 12:00:00", partition_col="LOAD_DAY")
+    assert sorted(r.DATA_SRC_VAL_ID for r in out.collect()) == [4, 5]
+    text = plan_text(out)
+    assert "PartitionFilters: [isnotnull(LOAD_DAY" in text and "2024-01-04" in text
+
+
+def test_plan_build_with_partitioned_source(spark, scratch):
+    path = f"{scratch}/val_by_day"
+    rows = [_val(i, 1, 1, TS(2024, 1, 1 + i, 12)) for i in range(6)]
+    (spark.createDataFrame(rows, schemas.DATA_SRC_VAL)
+     .withColumn("LOAD_DAY", F.to_date("LAST_UPDT_TS")).write.partitionBy("LOAD_DAY").parquet(path))
+    src = spark.read.parquet(path)
+    target = validation_stage.build(src.where("LOAD_DAY <= '2024-01-04'"), None, RUN1)
+    batch = validation_stage.build(src, target, RUN2, partition_col="LOAD_DAY")
+    assert sorted(r.DATA_SRC_VAL_ID for r in batch.collect()) == [4, 5]
+    assert "LOAD_DAY" not in batch.columns
