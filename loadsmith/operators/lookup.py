@@ -78,7 +78,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
                        *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names)]
                        ).where(not_null(lk_names))
     # One bounded job: when the lookup is small, its exact key statistics.
-    stats = small_key_stats(lk, lk_names, max_broadcast_rows) if restrict != True else None  # noqa: E712
+    stats = small_key_stats(lk, lk_names, max_broadcast_rows) if restrict is not True else None
     if restrict == "auto":
         restrict = stats is None and rows_at_most(df, max_broadcast_rows)
     if restrict:
