@@ -18,6 +18,7 @@ from loadsmith.operators.lookup import lookup_join
 from loadsmith.sources.sinks import (
     stored_watermark, table_exists, upsert_table, upsert_table_buckets,
 )
+from loadsmith.operators.upsert import latest_per_key
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 NAME = "customer_load"
@@ -64,16 +65,19 @@ def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | N
 
 
 def load(customer_raw: DataFrame, dim_country: DataFrame, table: str, root: str,
-         as_of=None, *, buckets: int | None = None):
+         as_of=None, *, buckets: int | None = None, dedupe: bool = False):
     """Upsert the batch into ``table``: a new version under ``root``, or with
     ``buckets`` a table partitioned by key bucket where only touched buckets
-    are rewritten."""
+    are rewritten.  A batch holding a key twice fails, unless ``dedupe`` keeps
+    the newest row per key (by the watermark column)."""
     spark = customer_raw.sparkSession
     target = spark.table(table) if table_exists(spark, table) else None
     wm = schemas.WATERMARKS[NAME]
     if target is not None and buckets:
         target = target.drop("_key_bucket")
     batch = build(customer_raw, dim_country, target, as_of, bound=stored_watermark(spark, table, wm))
+    if dedupe:      # keep the newest row per key (by watermark) instead of failing
+        batch = latest_per_key(batch, schemas.KEYS[NAME], wm)
     if buckets:
         return upsert_table_buckets(batch, table, schemas.KEYS[NAME], root, buckets=buckets, watermark=wm)
     return upsert_table(batch, table, schemas.KEYS[NAME], root, watermark=wm)

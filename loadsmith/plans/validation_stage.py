@@ -22,6 +22,7 @@ from loadsmith.operators.lookup import change_tag
 from loadsmith.sources.sinks import (
     stored_watermark, table_exists, upsert_table, upsert_table_buckets,
 )
+from loadsmith.operators.upsert import latest_per_key
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 NAME = "validation_stage"
@@ -50,14 +51,17 @@ def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None,
 
 
 def load(data_src_val: DataFrame, table: str, root: str, as_of=None, *,
-         buckets: int | None = None):
-    """Upsert the batch into ``table`` (see ``customer_load.load`` for ``buckets``)."""
+         buckets: int | None = None, dedupe: bool = False):
+    """Upsert the batch into ``table`` (see ``customer_load.load`` for ``buckets``
+    and ``dedupe``)."""
     spark = data_src_val.sparkSession
     target = spark.table(table) if table_exists(spark, table) else None
     wm = schemas.WATERMARKS[NAME]
     if target is not None and buckets:
         target = target.drop("_key_bucket")
     batch = build(data_src_val, target, as_of, bound=stored_watermark(spark, table, wm))
+    if dedupe:      # keep the newest row per key (by watermark) instead of failing
+        batch = latest_per_key(batch, [KEY], wm)
     if buckets:
         return upsert_table_buckets(batch, table, [KEY], root, buckets=buckets, watermark=wm)
     return upsert_table(batch, table, [KEY], root, watermark=wm)

@@ -48,3 +48,25 @@ def test_validation_stage_bucket_load_equals_query(spark, scratch):
     validation_stage.load(second, "t_vb", f"{scratch}/t_vb", as_of=si.RUN_VAL_2, buckets=16)
     spark.catalog.refreshTable("t_vb")
     _same(spark.table("t_vb").drop("_key_bucket"), pq.q_validation_stage(spark, SF))
+
+
+def test_duplicate_batch_keys_fail_or_keep_latest(spark, scratch):
+    import datetime as dt
+    from decimal import Decimal
+
+    import pytest
+
+    from loadsmith import schemas
+    from loadsmith.operators import DataCheckError
+    from loadsmith.plans import validation_stage
+
+    def row(vid, ts, user):
+        return (vid, 1, 1, 1, "OK", ts, ts, Decimal("1.000"), "t", 1, 1, ts, user)
+
+    src = spark.createDataFrame([row(1, dt.datetime(2024, 1, 1), "old"), row(1, dt.datetime(2024, 1, 2), "new"),
+                                 row(2, dt.datetime(2024, 1, 1), "x")], schemas.DATA_SRC_VAL)
+    with pytest.raises(DataCheckError):
+        validation_stage.load(src, "t_dup", f"{scratch}/t_dup", as_of="2024-01-03 00:00:00")
+    validation_stage.load(src, "t_dup2", f"{scratch}/t_dup2", as_of="2024-01-03 00:00:00", dedupe=True)
+    out = {r.DATA_SRC_VAL_ID: r.LAST_UPDT_USER_ID for r in spark.table("t_dup2").collect()}
+    assert out == {1: "new", 2: "x"}
