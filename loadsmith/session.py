@@ -52,8 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the job (a shared file system path).  Only
-    when it is unset (local tests) is a scratch folder created here.
+    On a cluster this must be set by the job (a shared file system path); an
+    unset value is an error there.  Only in local mode (tests) is a scratch
+    folder created when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="loadsmith-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(materialized batches and key sets are written there)")
+        configured = tempfile.mkdtemp(prefix="loadsmith-ckpt-")   # local mode only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
