@@ -71,7 +71,9 @@ def build(employees: DataFrame, as_of=None, *, keep_invalid: bool = False) -> Da
     src = typed_source(employees, schemas.EMPLOYEES)
     today, run_ts = run_date(as_of), run_timestamp(as_of)
     base = src if keep_invalid else src.where(rules.active_valid_pushable(today=today))
-    flagged = existence_flag(base, "EMPLOYEE_ID", src, "MANAGER_ID", name="IS_MANAGER",
+    # Manager ids come from the whole source, read directly (one column, no spread).
+    managers = typed_source(employees, ["MANAGER_ID"], spread_small=False)
+    flagged = existence_flag(base, "EMPLOYEE_ID", managers, "MANAGER_ID", name="IS_MANAGER",
                              yes=rules.YES, no=rules.NO, probe="other")
     out = flagged.select(*src.columns, "IS_MANAGER", *derived_columns(today, run_ts))
     if not keep_invalid:
