@@ -127,3 +127,13 @@ def test_full_rebuild_versioned_and_null_key_warning(spark, scratch):
     with pytest.warns(UserWarning, match="null key"):
         upsert_table(spark.createDataFrame([(None, "x")], "k long, v string"), "t_nullk", "k",
                      f"{scratch}/t_nullk")
+
+
+def test_bucket_upsert_null_keys_append(spark, scratch):
+    first = spark.createDataFrame([(None, "n1"), (None, "n2"), (1, "a")], "k long, v string")
+    upsert_table_buckets(first, "t_bnull", "k", f"{scratch}/t_bnull", buckets=4)
+    second = spark.createDataFrame([(None, "n3"), (1, "A")], "k long, v string")
+    upsert_table_buckets(second, "t_bnull", "k", f"{scratch}/t_bnull", buckets=4)
+    spark.catalog.refreshTable("t_bnull")
+    rows = sorted((r.k if r.k is not None else -1, r.v) for r in spark.table("t_bnull").collect())
+    assert rows == [(-1, "n1"), (-1, "n2"), (-1, "n3"), (1, "A")]
