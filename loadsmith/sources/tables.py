@@ -26,13 +26,19 @@ def read_source(spark: SparkSession, name_or_path: str, schema: T.StructType | N
         raise MissingInputError(f"input {name_or_path!r} cannot be read: {exc}") from exc
 
 
+# A source of fewer splits than this is "a few small files": at most a couple
+# of GB, cheap to spread.  Anything larger is left to its own splits.
+SMALL_INPUT_SPLITS = 16
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Scan-parallelism floor for small inputs.
 
-    A source read as fewer partitions than the session has cores (one small
-    file, one row group) would run every narrow step in that many tasks.  Only
-    then is it spread round-robin; a large source (many splits) is returned
-    as is, so at scale this adds no shuffle.
+    A source read as a handful of splits (one small file, one row group) would
+    run every narrow step in that many tasks.  Only then is it spread
+    round-robin over the session's cores; a source with many splits is
+    returned as is, so at scale (or for a medium table on a large cluster)
+    this adds no shuffle.
     """
     spark = df.sparkSession
     try:
@@ -40,7 +46,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         parts = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(floor) if parts < floor else df
+    return df.repartition(floor) if parts < min(floor, SMALL_INPUT_SPLITS) else df
 
 
 def typed_source(df: DataFrame, schema: T.StructType | Sequence[str], *, cast: bool = False,

@@ -170,3 +170,12 @@ def test_plan_build_with_partitioned_source(spark, scratch):
     batch = validation_stage.build(src, target, RUN2, partition_col="LOAD_DAY")
     assert sorted(r.DATA_SRC_VAL_ID for r in batch.collect()) == [4, 5]
     assert "LOAD_DAY" not in batch.columns
+
+
+def test_spread_only_small_inputs(spark):
+    from loadsmith.sources.tables import spread
+
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 8).rdd.getNumPartitions() == 8
+    many = spark.range(1000).repartition(20)
+    assert spread(many, 64).rdd.getNumPartitions() == 20     # many splits: left alone
