@@ -33,6 +33,7 @@ MODEL_WORDS = 20_000
 LONGEST_GRAM = 4
 SMOOTH = 0.5
 SHARP_WORDS = 30
+MIN_SCORE = 0.5
 RATE_STEPS = 1_000_000
 # Words whose scores one worker keeps.
 CACHE_WORDS = 300_000
@@ -143,26 +144,35 @@ def fit_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     return LanguageModel(tuple(sorted(table)), {k: dict(v) for k, v in table.items()})
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id",
-                      text_col: str = "text", keep=()) -> DataFrame:
-    """(id, the columns in ``keep``, lang_pred, score) of every row."""
-    src = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("the_text"),
-                      *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)])
+def _scored(docs: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
+    """Columns c0, c1, ... of ``docs``, then ``lang_pred`` and ``score``; numbered, so that no name clashes."""
+    src = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_col)}"
     shared = docs.sparkSession.sparkContext.broadcast(model)    # MODEL_WORDS a language
-    names = [c for c in src.columns if c != "the_text"]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         predict = shared.value.scorer().predict
         for batch in batches:
-            made = list(map(predict, batch.column("the_text").to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array([m[0] for m in made], pa.string()),
-                 pa.array([m[1] for m in made], pa.float64())], names=[*names, "lang_pred", "score"])
-
-    schema = src.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    for f in schema:
-        f.nullable = True
-    out = src.mapInArrow(run, schema)
-    return out.toDF(id_col, *keep, "lang_pred", "score")
+            made = [predict(v.as_py()) for v in batch.column(text)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m[0] for m in made], pa.string()),
+                                              pa.array([m[1] for m in made], pa.float64())],
+                                             names=[*batch.schema.names, "lang_pred", "score"])
+
+    unset = [F.lit(None).cast(t).alias(n) for n, t in (("lang_pred", "string"), ("score", "double"))]
+    return src.mapInArrow(run, src.select("*", *unset).schema)
+
+
+def predict_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every row."""
+    out = _scored(docs.select(id_col, text_col), model, text_col)
+    return out.select(F.col("c0").alias(id_col), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, *, text_col: str = "text",
+                    min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs``, all columns, without the undetermined and those scored below ``min_score``."""
+    out = _scored(docs, model, text_col).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -69,10 +69,61 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.line_rules import judged
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return judged(docs)[0].select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                  "base_failed", "kept", "left_words", "removed_lines")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.line_dedup import dedup_lines
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(docs, removed_col="removed_chunks")
+    return out.select("doc_id", "removed_chunks", F.octet_length("text").cast("long").alias("kept_bytes"),
+                      F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.simhash_dedup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")) \
+        .select("doc_id", "fingerprint", "component_id")
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+# The rules that the query judges by.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.url_filters import judge_urls
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"),
+        F.col("url_verdict").alias("verdict"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_compression_quality": op2_compression_quality,
+    "op3_line_rules": op3_line_rules,
     "op4_sentence_pieces": op4_sentence_pieces,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_top_k": op7_top_k,
+    "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
+
+ORACLE_SQL: dict[str, str] = {}
