@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith.llm._tokens import tokenizer_path
+from loadsmith.llm.oracle import ORACLE_SQL  # noqa: F401
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -125,5 +126,3 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
