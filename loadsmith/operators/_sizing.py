@@ -1,102 +1,90 @@
-"""Size checks that gate broadcasts, and materialization.
+"""Key statistics of a stored frame, and the byte bound of a broadcast.
 
-A side is broadcast only after a check has proven it holds at most
-``max_rows`` rows: either ``rows_at_most`` (reads at most ``max_rows + 1``
-rows, so it costs little whatever the input size) or ``key_stats`` (one
-aggregation that also proves the keys unique).  Without that proof the join
-is left to the planner and AQE, which re-plan from measured shuffle sizes.
+Plans do not probe sizes: Catalyst picks broadcast joins from file statistics and AQE
+from measured shuffle bytes.  Writers, which hold a stored batch anyway, take its
+statistics in one aggregation and may then broadcast its keys under a byte bound.
 """
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows that may be broadcast.  A hashed relation costs ~30 bytes a row for a
-# long key and ~600 for a 32-character string key (measured), so this bounds a
-# broadcast at about 6-120 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
+from loadsmith.scratch import materialize, scratch_path  # noqa: F401  (used through this module)
 
+# Distinct keys that may be broadcast: bytes of their values plus a hash table entry each.
+BROADCAST_BYTES = 32 << 20
+ENTRY_BYTES = 64
 
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def decide_broadcast(df: DataFrame, broadcast, max_rows: int) -> bool:
-    """``broadcast``: True (caller vouches), False (never) or "auto" (probe)."""
-    if broadcast is True or broadcast is False:
-        return broadcast
-    if broadcast != "auto":
-        raise ValueError(f"broadcast must be True, False or 'auto', not {broadcast!r}")
-    return rows_at_most(df, max_rows)
-
-
-def not_null(keys) -> "F.Column":
+def not_null(keys) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def key_stats(df: DataFrame, keys) -> tuple[int, int]:
-    """(distinct non-null keys, rows of the most frequent key), in one job.
-
-    The per-key count is aggregated map-side first, so a hot key costs one
-    row per task in the shuffle.
-    """
-    keys_, top, _ = _stats(df.where(not_null(keys)), keys)
-    return keys_, top
-
+@dataclass(frozen=True)
+class KeyFacts:
+    """Of a frame's rows: all, with a null key, distinct non-null keys, rows of the most
+    frequent one, bytes of the distinct keys in a hash table."""
 
-def _stats(df: DataFrame, keys) -> tuple[int, int, int]:
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.max("__n").alias("top"),
-                      F.sum("__n").alias("rows")).first()
-    return int(row["keys"]), int(row["top"] or 0), int(row["rows"] or 0)
+    rows: int
+    null_rows: int
+    keys: int
+    top: int
+    bytes: int
 
+    def fits(self, limit: int = BROADCAST_BYTES) -> bool:
+        return self.bytes <= limit
 
-def small_key_stats(df: DataFrame, keys, max_rows: int) -> tuple[int, int] | None:
-    """``key_stats`` when ``df`` has at most ``max_rows`` rows, else None.
 
-    One job that reads at most ``max_rows + 1`` rows: when the sample is not
-    full it is the whole input, so its statistics are exact.
-    """
-    keys_, top, rows = _stats(df.limit(max_rows + 1), keys)
-    return (keys_, top) if rows <= max_rows else None
+def _width(df: DataFrame, key: str) -> Column:
+    kind = df.schema[key].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(key)
+    return F.lit(16)
 
 
-def scratch_path(spark, name: str = "table") -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
-    from loadsmith.session import ensure_checkpoint_dir
+def key_facts(df: DataFrame, keys) -> KeyFacts:
+    """One job: counts per key are summed map-side, so a hot key costs one row a task."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    width = reduce(lambda a, b: a + b, [_width(df, k) for k in keys]) + F.lit(ENTRY_BYTES)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) \
+        .select("__n", not_null(keys).alias("__keyed"), width.alias("__w"))
+    row = per_key.agg(
+        F.sum("__n").alias("rows"), F.sum(F.when(~F.col("__keyed"), F.col("__n"))).alias("loose"),
+        F.count_if("__keyed").alias("keys"), F.max(F.when(F.col("__keyed"), F.col("__n"))).alias("top"),
+        F.sum(F.when(F.col("__keyed"), F.col("__w"))).alias("bytes")).first()
+    return KeyFacts(*(int(row[c] or 0) for c in ("rows", "loose", "keys", "top", "bytes")))
 
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/loadsmith-{name}-{uuid.uuid4().hex}"
 
+def guard(bad: Column, message: Column) -> Column:
+    """A filter condition that keeps every row and fails the query on one where ``bad`` holds."""
+    return F.coalesce(F.when(bad, F.raise_error(message).cast("boolean")), F.lit(True))
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it back.
 
-    Cuts the lineage (later uses read the files instead of recomputing), is
-    computed exactly once (unlike an unpersisted RDD checkpoint), survives
-    executor loss (the folder is shared on a cluster) and gives the planner
-    real sizes.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    # The schema is known: no footer reads to infer it.
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def shown(keys) -> Column:
+    """The values of ``keys`` as text, for messages."""
+    return F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
 
 
-# Null join keys never match, yet a shuffle join sends all of them to one task.
-# The salt spreads them over this many tasks without changing any match.
-NULL_SALT_BUCKETS = 64
+def mark_repeated(df: DataFrame, keys) -> DataFrame:
+    """``df`` with ``__times``: how often the row's key occurs if more than once, else null.
 
-
-def null_key_salt(df: DataFrame, keys, buckets: int = NULL_SALT_BUCKETS) -> "F.Column":
-    """Salt for the probing side of a shuffle join: a deterministic hash of the
-    whole row for rows with a null key, 0 otherwise (the other side uses 0)."""
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
-    return F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1).otherwise(F.lit(0))
+    The keys that occur twice are a relation of their own (one aggregation with map-side
+    counts); it is empty in a sound frame, and AQE then drops the join.
+    """
+    keys = list(keys)
+    names = [f"__dup{i}" for i in range(len(keys))]
+    twice = df.where(not_null(keys)).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]) \
+        .agg(F.count(F.lit(1)).alias("__times")).where(F.col("__times") > 1)
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(keys, names, strict=True)])
+    return df.join(twice, cond, "left").select(*[F.col(c) for c in df.columns], "__times")
+
+
+def fail_on_repeated(df: DataFrame, keys, what: str) -> DataFrame:
+    """``df`` without ``__times``, failing at run time on a row that has it."""
+    message = F.concat(F.lit(f"{what}: key ("), shown(keys), F.lit(") occurs "), F.col("__times").cast("string"), F.lit(" times"))
+    return df.where(guard(F.col("__times").isNotNull(), message)).drop("__times")

@@ -1,8 +1,7 @@
 """Data checks: not-null, unique, relationships (Q1-Q3).
 
 Each ``*_violations`` function returns the failing rows as a DataFrame (lazy,
-distributed); ``assert_*`` raises ``DataCheckError`` when any exist, reading at
-most one row to decide.
+distributed); ``assert_*`` raises ``DataCheckError`` when any exist.
 """
 
 from __future__ import annotations
@@ -12,8 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.operators._sizing import DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast
-
 
 class DataCheckError(ValueError):
     pass
@@ -40,15 +37,11 @@ def unique_violations(df: DataFrame, keys) -> DataFrame:
             .where(F.col("n") > 1))
 
 
-def relationship_violations(child: DataFrame, fk, parent: DataFrame, pk=None, *,
-                            broadcast="auto",
-                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def relationship_violations(child: DataFrame, fk, parent: DataFrame, pk=None) -> DataFrame:
     """Child rows whose non-null foreign key has no parent row."""
     fks = _names(fk)
     pks = _names(pk) if pk is not None else fks
     parent_keys = parent.select(*[F.col(p).alias(f"__pk{i}") for i, p in enumerate(pks)])
-    if decide_broadcast(parent_keys, broadcast, max_broadcast_rows):
-        parent_keys = F.broadcast(parent_keys)
     nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fks])
     cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__pk{i}") for i, c in enumerate(fks)])
     return child.where(nn).join(parent_keys, cond, "left_anti")

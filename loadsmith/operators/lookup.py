@@ -1,12 +1,12 @@
 """Lookup joins (J1-J3), existence flags (J5) and change tags.
 
-All three are left joins that must never change the number of left rows
-unless asked to.  Physical choice:
+All three are left joins that must never change the number of left rows unless asked to.
+They are lazy: nothing runs and nothing is written before the result is used.  Catalyst
+broadcasts a side whose files are small (``spark.sql.autoBroadcastJoinThreshold``); else
+the join shuffles, AQE may still broadcast a side it has measured, and splits hot keys.
 
-* the lookup side is broadcast only after a probe proves it small
-  (``_sizing.rows_at_most``); the big side is then never shuffled;
-* otherwise the planner and AQE decide (sort-merge join; AQE splits hot keys,
-  including a large block of null keys, with ``skewJoin``).
+Left rows with a null key cannot match.  They go around the join and come back by a
+union, with the defaults, so a large block of them is never shuffled.
 """
 
 from __future__ import annotations
@@ -17,11 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.operators._sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, materialize, not_null, null_key_salt,
-    rows_at_most, small_key_stats,
-)
-from loadsmith.operators.checks import DataCheckError, unique_violations
+from loadsmith.operators._sizing import fail_on_repeated, mark_repeated, not_null
 
 
 def _key_pairs(on) -> list[tuple[str, str]]:
@@ -49,78 +45,48 @@ def _values(values) -> list[tuple[str, str, object]]:
     return out
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *,
-                broadcast="auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                on_duplicate: str = "error", restrict="auto") -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *, on_duplicate: str = "error",
+                null_keys: bool = True) -> DataFrame:
     """Left-join ``lookup`` and add its columns with defaults for misses.
 
     ``on``: a column name, or pairs ``(left_col, lookup_col)``.
     ``values``: ``{out_name: (lookup_col, default)}``; a bare default means the
     lookup column has the output name; ``None`` keeps misses null.
-    ``on_duplicate``: ``"error"`` checks that lookup keys are unique first (a
-    duplicate would multiply left rows); ``"fanout"`` keeps plain SQL
-    semantics.  Null keys never match.
-
-    ``restrict``: for a large lookup and a small left side (an incremental
-    batch), first keep only the lookup rows whose key the left side uses: the
-    left keys are broadcast, the lookup streams through a semi join with no
-    shuffle, and the (small) result is written once, checked and broadcast.
-    Duplicates among lookup keys no left row uses cannot multiply anything, so
-    the check is exact.  ``"auto"`` does this when the lookup is not provably
-    small but the left side is; ``True``/``False`` force it.
+    ``on_duplicate``: ``"error"`` fails the query when a left row meets a lookup key
+    that occurs more than once (it would multiply the row); keys that no left row uses
+    are not looked at, at any size.  ``"fanout"`` keeps plain SQL semantics.
+    Null keys never match; ``null_keys=False`` says that the left side has none.
     """
+    if on_duplicate not in ("error", "fanout"):
+        raise ValueError("on_duplicate must be 'error' or 'fanout'")
     pairs = _key_pairs(on)
     vals = _values(values)
+    lefts = [l for l, _ in pairs]
     lk_names = [f"__lk{i}" for i in range(len(pairs))]
     lv_names = [f"__lv{j}" for j in range(len(vals))]
-    # Null keys never match: drop them from the lookup side before any shuffle.
-    lk = lookup.select(*[F.col(r).alias(n) for (_, r), n in zip(pairs, lk_names)],
-                       *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names)]
-                       ).where(not_null(lk_names))
-    # One bounded job: when the lookup is small, its exact key statistics.
-    stats = small_key_stats(lk, lk_names, max_broadcast_rows) if restrict is not True else None
-    if restrict == "auto":
-        restrict = stats is None and rows_at_most(df, max_broadcast_rows)
-    if restrict:
-        left_keys = df.select(*[F.col(l).alias(n) for (l, _), n in zip(pairs, lk_names)]
-                              ).where(not_null(lk_names)).distinct()
-        lk = materialize(lk.join(F.broadcast(left_keys), lk_names, "left_semi"), "lookup")
-        stats = None
+    lk = lookup.select(*[F.col(r).alias(n) for (_, r), n in zip(pairs, lk_names, strict=True)],
+                       *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names, strict=True)])
+    lk = lk.where(not_null(lk_names))
+    cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(n) for l, n in zip(lefts, lk_names, strict=True)])
+    outs = []
+    for (name, _, default), n in zip(vals, lv_names, strict=True):
+        outs.append((F.col(n) if default is None else F.coalesce(F.col(n), F.lit(default))).alias(name))
+    keyed = df.where(not_null(lefts)) if null_keys else df
     if on_duplicate == "error":
-        # One aggregation proves the keys unique and counts them.
-        n_keys, top = stats if stats is not None else key_stats(lk, lk_names)
-        if top > 1:
-            dup = unique_violations(lk, lk_names)
-            raise DataCheckError(f"lookup keys {[r for _, r in pairs]} are not unique: "
-                                 f"{[r.asDict() for r in dup.limit(5).collect()]}")
-        small = n_keys <= max_broadcast_rows if broadcast == "auto" else bool(broadcast)
-    elif on_duplicate == "fanout":
-        small = (stats is not None) if broadcast == "auto" and not restrict else \
-            decide_broadcast(lk, broadcast, max_broadcast_rows)
-    else:
-        raise ValueError("on_duplicate must be 'error' or 'fanout'")
-    cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(n) for (l, _), n in zip(pairs, lk_names)])
-    if small:
-        joined = df.join(F.broadcast(lk), cond, "left")
+        # After the join: only keys that a left row meets count.
+        joined = fail_on_repeated(keyed.join(mark_repeated(lk, lk_names), cond, "left"), lefts, "lookup keys must be unique")
     else:
-        # Shuffle join: spread rows with a null key (they cannot match) over many tasks.
-        salted = df.withColumn("__salt", null_key_salt(df, [l for l, _ in pairs]))
-        joined = salted.join(lk.withColumn("__lk_salt", F.lit(0)),
-                             cond & (F.col("__salt") == F.col("__lk_salt")), "left")
-    outs = []
-    for (name, _, default), n in zip(vals, lv_names):
-        c = F.col(n) if default is None else F.coalesce(F.col(n), F.lit(default))
-        outs.append(c.alias(name))
-    return joined.select(*[F.col(c) for c in df.columns], *outs)
-
-
-def _membership(keys: DataFrame) -> DataFrame:
-    return keys.withColumn("__ex_hit", F.lit(True))
+        joined = keyed.join(lk, cond, "left")
+    joined = joined.select(*[F.col(c) for c in df.columns], *outs)
+    if not null_keys:
+        return joined
+    loose = df.where(~not_null(lefts)).select(
+        "*", *[F.lit(None).cast(lk.schema[n].dataType).alias(n) for n in lv_names])
+    return joined.unionByName(loose.select(*[F.col(c) for c in df.columns], *outs))
 
 
 def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None, *,
-                   name: str = "EXISTS_FLAG", yes="Y", no="N", probe: str = "other",
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   name: str = "EXISTS_FLAG", yes="Y", no="N", probe: str = "other") -> DataFrame:
     """Add ``name`` = ``yes`` when ``df[key]`` occurs among non-null
     ``other[other_key]``, else ``no`` (a null key gives ``no``).
 
@@ -129,52 +95,24 @@ def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | N
     is aggregated map-side first, so a key held by a third of ``other`` costs
     one row per task.
 
-    ``probe`` picks the side whose distinct keys are checked for size:
-
-    * ``"other"``: broadcast the distinct other keys when small (a few
-      managers among many employees);
-    * ``"left"``: when the distinct left keys are small (an incremental batch
-      against a large target), semi-join ``other`` against them by broadcast,
-      so the large side streams through without a shuffle, then broadcast the
-      (smaller still) matches back;
-    * ``None``: no probe, leave it to the planner and AQE.
+    ``probe="left"`` is for a small ``df`` (an incremental batch) against a large
+    ``other``: ``other`` is semi-joined to the keys of ``df`` first, so with a small
+    stored batch it streams through a broadcast join and is not shuffled.
     """
-    other_key = other_key or key
-    ok = other.select(F.col(other_key).alias("__ex_k")).where(F.col("__ex_k").isNotNull())
-    hits, small = None, True
-    if probe == "other":
-        ids = materialize(ok.distinct(), "ids")
-        hits = _membership(ids)
-        small = rows_at_most(ids, max_broadcast_rows)
-        if small:
-            hits = F.broadcast(hits)
-    elif probe == "left":
-        left_ids = materialize(df.select(F.col(key).alias("__ex_k"))
-                               .where(F.col("__ex_k").isNotNull()).distinct(), "ids")
-        if rows_at_most(left_ids, max_broadcast_rows):
-            found = ok.join(F.broadcast(left_ids), "__ex_k", "left_semi").distinct()
-            hits = F.broadcast(_membership(found))
-        else:
-            hits, small = _membership(ok.join(left_ids, "__ex_k", "left_semi").distinct()), False
-    elif probe is None:
-        hits, small = _membership(ok.distinct()), False
-    else:
-        raise ValueError("probe must be 'other', 'left' or None")
-    if small:
-        joined = df.join(hits, F.col(key) == F.col("__ex_k"), "left")
-    else:
-        # Shuffle join: spread rows with a null key (they cannot match) over many tasks.
-        salted = df.withColumn("__salt", null_key_salt(df, [key]))
-        joined = salted.join(hits.withColumn("__ex_salt", F.lit(0)),
-                             (F.col(key) == F.col("__ex_k")) & (F.col("__salt") == F.col("__ex_salt")),
-                             "left")
+    if probe not in ("other", "left"):
+        raise ValueError("probe must be 'other' or 'left'")
+    ok = other.select(F.col(other_key or key).alias("__ex_k")).where(F.col("__ex_k").isNotNull())
+    keyed = df.where(F.col(key).isNotNull())
+    if probe == "left":
+        ok = ok.join(keyed.select(F.col(key).alias("__ex_k")), "__ex_k", "left_semi")
+    hits = ok.distinct().withColumn("__ex_hit", F.lit(True))
     flag = F.when(F.col("__ex_hit").isNotNull(), F.lit(yes)).otherwise(F.lit(no))
-    return joined.select(*[F.col(c) for c in df.columns], flag.alias(name))
+    joined = keyed.join(hits, F.col(key) == F.col("__ex_k"), "left").select(*[F.col(c) for c in df.columns], flag.alias(name))
+    loose = df.where(F.col(key).isNull()).select(*[F.col(c) for c in df.columns], F.lit(no).alias(name))
+    return joined.unionByName(loose)
 
 
-def change_tag(batch: DataFrame, target: DataFrame | None, key: str, *,
-               name: str = "__found", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-               ) -> DataFrame:
+def change_tag(batch: DataFrame, target: DataFrame | None, key: str, *, name: str = "__found") -> DataFrame:
     """Add boolean ``name``: does the target already hold a row with ``key``?
 
     Only existence is used, so a target holding several rows per key does not
@@ -182,6 +120,4 @@ def change_tag(batch: DataFrame, target: DataFrame | None, key: str, *,
     """
     if target is None:
         return batch.withColumn(name, F.lit(False))
-    tagged = existence_flag(batch, key, target, key, name=name, yes=True, no=False,
-                            probe="left", max_broadcast_rows=max_broadcast_rows)
-    return tagged
+    return existence_flag(batch, key, target, key, name=name, yes=True, no=False, probe="left")

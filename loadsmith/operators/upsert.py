@@ -1,82 +1,77 @@
 """Keyed upsert as a DataFrame (K2): new keys insert, known keys replace.
 
-``upsert_frame`` is pure: target rows whose key is in the batch are dropped
-(anti join) and the batch is appended.  When the batch keys are proven small
-they are broadcast, so the (large) target streams through the anti join with
-no shuffle; otherwise both sides shuffle on the key and AQE handles skew.
+``upsert_frame`` is lazy: target rows whose key is in the batch are dropped (anti join)
+and the batch is appended.  With the batch's ``KeyFacts`` (of a stored batch) the key check
+is done and its keys are broadcast when they fit, so the large target streams through the
+anti join with no shuffle; without, the key check is part of the query and Catalyst and AQE
+choose the join.  Rows with a null key never match and go around the join.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loadsmith.operators._sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, decide_broadcast, key_stats, null_key_salt,
-)
-from loadsmith.operators.checks import (
-    DataCheckError, assert_same_schema, unique_violations,
-)
+from loadsmith.operators._sizing import KeyFacts, fail_on_repeated, mark_repeated, not_null
+from loadsmith.operators.checks import DataCheckError, assert_same_schema, unique_violations
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *,
-                 check_unique: bool = True, check_schema: bool = False,
-                 broadcast="auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                 ) -> DataFrame:
+def assert_keyed(batch: DataFrame, keys, facts: KeyFacts) -> None:
+    """Fail when a non-null key occurs twice in the batch that ``facts`` describe."""
+    if facts.top > 1:
+        raise DataCheckError(f"batch holds duplicate keys {_names(keys)}: "
+                             f"{[r.asDict() for r in unique_violations(batch, keys).limit(5).collect()]}")
+
+
+def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *, check_unique: bool = True,
+                 check_schema: bool = False, facts: KeyFacts | None = None) -> DataFrame:
     """The target after applying ``batch``, keyed on ``keys``.
 
     A null key never matches: such target rows stay and such batch rows are
     appended again on every run.  ``check_unique`` fails on a batch that holds
-    a non-null key twice (the result would no longer be keyed).
+    a non-null key twice (the result would no longer be keyed): at once with
+    ``facts``, else when the result is computed.
     """
     keys = _names(keys)
     if check_schema:
         assert_same_schema(batch, target)
-    small = None
     if check_unique:
-        # One aggregation proves the batch keyed and counts its keys.
-        n_keys, top = key_stats(batch.select(*keys), keys)
-        if top > 1:
-            raise DataCheckError(f"batch holds duplicate keys {keys}: "
-                                 f"{[r.asDict() for r in unique_violations(batch, keys).limit(5).collect()]}")
-        small = n_keys <= max_broadcast_rows if broadcast == "auto" else bool(broadcast)
+        if facts is not None:
+            assert_keyed(batch, keys, facts)
+        else:
+            batch = fail_on_repeated(mark_repeated(batch, keys), keys, "batch keys must be unique")
     if target is None:
         return batch
-    nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     # No distinct: an anti join ignores duplicate keys on its build side.
-    batch_keys = batch.select(*keys).where(nn)
-    if small is None:
-        small = decide_broadcast(batch_keys, broadcast, max_broadcast_rows)
-    if small:
-        kept = target.join(F.broadcast(batch_keys), keys, "left_anti")
-    else:
-        # Shuffle join: spread target rows with a null key (appended rows that
-        # never match) over many tasks instead of one.
-        renamed = batch_keys.select(*[F.col(k).alias(f"__bk{i}") for i, k in enumerate(keys)],
-                                    F.lit(0).alias("__bk_salt"))
-        cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__bk{i}") for i, k in enumerate(keys)])
-        salted = target.withColumn("__salt", null_key_salt(target, keys))
-        kept = salted.join(renamed, cond & (F.col("__salt") == F.col("__bk_salt")), "left_anti")
-    kept = kept.select(*target.columns)
-    return kept.unionByName(batch.select(*target.columns))
+    names = [f"__bk{i}" for i in range(len(keys))]
+    known = batch.where(not_null(keys)).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    if facts is not None and facts.fits():
+        known = F.broadcast(known)
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(keys, names, strict=True)])
+    kept = target.where(not_null(keys)).join(known, cond, "left_anti")
+    loose = target.where(~not_null(keys))
+    return kept.unionByName(loose).unionByName(batch.select(*target.columns))
 
 
 def latest_per_key(batch: DataFrame, keys, order_col: str) -> DataFrame:
-    """Keep one row per key: the one with the greatest ``order_col``.
+    """Keep one row per non-null key: the one with the greatest ``order_col``; rows with a
+    null key are all kept.
 
-    Optional de-duplication of a batch before an upsert (off by default in the
-    plans).  Uses ``max_by`` over a struct so there is one aggregation with a
-    map-side partial step, not a window over whole key groups.
+    A null ``order_col`` comes last; ties are settled by the other columns in order (nulls
+    last), so the choice is the same on every run.  Spark keeps one row per key and task
+    before the shuffle (window group limit), so a hot key costs little.
     """
     keys = _names(keys)
-    others = [c for c in batch.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
-    agg = batch.groupBy(*keys).agg(F.max_by(packed, F.col(order_col)).alias("__row"))
-    return agg.select(*[F.col(k) for k in keys], *[F.col(f"__row.{c}").alias(c) for c in others]) \
-              .select(*batch.columns)
+    sortable = [c for c in batch.columns if c not in (*keys, order_col)
+                and not isinstance(batch.schema[c].dataType, (T.MapType, T.VariantType))]
+    order = [F.col(order_col).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in sortable]]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    newest = batch.where(not_null(keys)).withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
+    return newest.unionByName(batch.where(~not_null(keys)))

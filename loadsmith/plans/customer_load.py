@@ -6,7 +6,7 @@ US afterwards: a null country gives US with the lookup defaults.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith import schemas
@@ -15,28 +15,22 @@ from loadsmith.functions.dates import month_diff, run_date, run_timestamp, trunc
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.functions.text import email_domain_or
 from loadsmith.operators.lookup import lookup_join
-from loadsmith.sources.sinks import (
-    stored_watermark, table_exists, upsert_table, upsert_table_buckets,
-)
-from loadsmith.operators.upsert import latest_per_key
-from loadsmith.sources.tables import incremental_scan, typed_source
+from loadsmith.plans._load import new_rows, run_load
+from loadsmith.sources.tables import as_source, typed_source
 
 NAME = "customer_load"
 
 
 def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | None = None,
           as_of=None, *, bound: str | None = None, partition_col: str | None = None,
-          broadcast="auto") -> DataFrame:
-    src = typed_source(customer_raw, schemas.CUSTOMER_RAW, keep=[partition_col] if partition_col else [])
-    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound,
-                             partition_col=partition_col)
-    if partition_col:
-        batch, src = batch.drop(partition_col), src.drop(partition_col)
+          lookback: str | None = None, scan: bool = True, cast: bool = True) -> DataFrame:
+    """The batch, lazily; ``scan=False`` takes every given row, ``cast=False`` their own types."""
+    batch = new_rows(customer_raw, schemas.CUSTOMER_RAW, target, schemas.WATERMARKS[NAME] if scan else None,
+                     bound=bound, partition_col=partition_col, lookback=lookback, cast=cast)
     today, run_ts = run_date(as_of), run_timestamp(as_of)
-    joined = lookup_join(batch, typed_source(dim_country, schemas.DIM_COUNTRY, spread_small=False),
+    joined = lookup_join(batch, typed_source(dim_country, schemas.DIM_COUNTRY, cast=cast),
                          [("COUNTRY", "COUNTRY_CODE")],
-                         {name: (name, default) for name, default in rules.COUNTRY_DEFAULTS},
-                         broadcast=broadcast)
+                         {name: (name, default) for name, default in rules.COUNTRY_DEFAULTS})
     out = joined.select(
         "CUSTOMER_ID",
         rules.staged_name("FIRST_NAME").alias("FIRST_NAME"),
@@ -61,23 +55,22 @@ def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | N
         run_ts.alias("DW_LOAD_TIMESTAMP"),
         surrogate_key("CUSTOMER_ID", "UPDATED_DATE").alias("DW_RECORD_KEY"),
     )
-    return out.select(*schemas.CUSTOMER_LOAD_COLS)
+    return schemas.as_target(out, schemas.CUSTOMER_LOAD) if cast else out.select(*schemas.CUSTOMER_LOAD_COLS)
 
 
-def load(customer_raw: DataFrame, dim_country: DataFrame, table: str, root: str,
-         as_of=None, *, buckets: int | None = None, dedupe: bool = False):
-    """Upsert the batch into ``table``: a new version under ``root``, or with
-    ``buckets`` a table partitioned by key bucket where only touched buckets
-    are rewritten.  A batch holding a key twice fails, unless ``dedupe`` keeps
-    the newest row per key (by the watermark column)."""
-    spark = customer_raw.sparkSession
-    target = spark.table(table) if table_exists(spark, table) else None
-    wm = schemas.WATERMARKS[NAME]
-    if target is not None and buckets:
-        target = target.drop("_key_bucket")
-    batch = build(customer_raw, dim_country, target, as_of, bound=stored_watermark(spark, table, wm))
-    if dedupe:      # keep the newest row per key (by watermark) instead of failing
-        batch = latest_per_key(batch, schemas.KEYS[NAME], wm)
-    if buckets:
-        return upsert_table_buckets(batch, table, schemas.KEYS[NAME], root, buckets=buckets, watermark=wm)
-    return upsert_table(batch, table, schemas.KEYS[NAME], root, watermark=wm)
+def load(customer_raw, dim_country, table: str, root: str, as_of=None, *, buckets: int | None = None,
+         dedupe: bool = False, partition_col: str | None = None, lookback: str | None = None,
+         require_keys: bool = False, require_countries: bool = False, spark: SparkSession | None = None):
+    """Upsert the rows beyond the watermark into ``table``: a new version under ``root``,
+    or with ``buckets`` a table partitioned by key bucket where only touched buckets are
+    rewritten.  Sources are frames, table names or paths.  A batch holding a key twice
+    fails, unless ``dedupe`` keeps the newest row per key (by the watermark column).
+    ``partition_col`` names the source's day partition of the watermark, ``lookback`` widens
+    the window for late rows, ``require_keys`` refuses null keys,
+    ``require_countries`` a country code without a row in the dimension."""
+    spark = spark or customer_raw.sparkSession
+    dim = as_source(spark, dim_country)
+    return run_load(spark, customer_raw, schemas.CUSTOMER_RAW, NAME, schemas.KEYS[NAME],
+                    lambda rows, target: build(rows, dim, target, as_of, scan=False), table, root,
+                    buckets=buckets, dedupe=dedupe, partition_col=partition_col, lookback=lookback,
+                    require_keys=require_keys, references=[("COUNTRY", dim, "COUNTRY_CODE")] if require_countries else [])

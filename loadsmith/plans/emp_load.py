@@ -17,9 +17,8 @@ from loadsmith.sources.sinks import write_full
 from loadsmith.sources.tables import typed_source
 
 
-def build(emp: DataFrame, dept: DataFrame, as_of=None, *, broadcast="auto",
-          on_duplicate: str = "error") -> DataFrame:
-    src = typed_source(emp, schemas.EMP)
+def build(emp: DataFrame, dept: DataFrame, as_of=None, *, on_duplicate: str = "error", cast: bool = True) -> DataFrame:
+    src = typed_source(emp, schemas.EMP, cast=cast)
     derived = src.select(
         "*",
         rules.comm_adjusted("COMM").alias("COMM_ADJUSTED"),
@@ -27,11 +26,11 @@ def build(emp: DataFrame, dept: DataFrame, as_of=None, *, broadcast="auto",
         run_timestamp(as_of).alias("LOAD_DATE"),
     )
     kept = derived.where(F.col("DEPTNO").isNotNull())
-    joined = lookup_join(kept, typed_source(dept, schemas.DEPT, spread_small=False), "DEPTNO",
+    joined = lookup_join(kept, typed_source(dept, schemas.DEPT, cast=cast), "DEPTNO",
                          {"DEPT_NAME": ("DNAME", rules.UNKNOWN),
                           "DEPT_LOCATION": ("LOC", rules.UNKNOWN)},
-                         broadcast=broadcast, on_duplicate=on_duplicate)
-    return joined.select(*schemas.EMP_LOAD_COLS)
+                         on_duplicate=on_duplicate, null_keys=False)
+    return schemas.as_target(joined, schemas.EMP_LOAD) if cast else joined.select(*schemas.EMP_LOAD_COLS)
 
 
 def load(emp: DataFrame, dept: DataFrame, table: str, as_of=None, root: str | None = None) -> None:

@@ -22,7 +22,7 @@ RAW_STATUS = ["A", "A", "S", "C", "X"]
 MISSING_OFFSET = 100_000_000            # added to some references so their lookup misses
 RUN_STD = "2000-06-15 00:00:00"       # staging plan run clock
 RUN_EMP = "2024-06-15 00:00:00"
-RUN_CUSTOMER = "2001-08-01 00:00:00"
+RUN_CUSTOMER_1, RUN_CUSTOMER = "2001-01-20 12:00:00", "2001-08-01 00:00:00"
 RUN_MASTER_1, RUN_MASTER_2 = "1999-01-01 00:00:00", "2001-09-01 00:00:00"
 MASTER_CUT = "1999-01-01 00:00:00"
 RUN_VAL_1, RUN_VAL_2 = "2024-01-15 12:00:00", "2024-02-01 00:00:00"
@@ -31,7 +31,11 @@ CUSTOMER_CUT = "2001-01-20 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table.  Each is one file with one row group, read by one task; a session may
+    name the read parallelism it wants in ``loadsmith.read.partitions`` (the bench does)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    parts = spark.conf.get("loadsmith.read.partitions", None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def _k(name: str) -> Column:

@@ -66,20 +66,20 @@ def derived_columns(today, run_ts) -> list:
     ]
 
 
-def build(employees: DataFrame, as_of=None, *, keep_invalid: bool = False) -> DataFrame:
+def build(employees: DataFrame, as_of=None, *, keep_invalid: bool = False, cast: bool = True) -> DataFrame:
     """Target rows; ``keep_invalid=True`` returns every row with its flags."""
-    src = typed_source(employees, schemas.EMPLOYEES)
+    src = typed_source(employees, schemas.EMPLOYEES, cast=cast)
     today, run_ts = run_date(as_of), run_timestamp(as_of)
     base = src if keep_invalid else src.where(rules.active_valid_pushable(today=today))
-    # Manager ids come from the whole source, read directly (one column, no spread).
-    managers = typed_source(employees, ["MANAGER_ID"], spread_small=False)
+    # Manager ids come from the whole source, in one column.
+    managers = src.select("MANAGER_ID")
     flagged = existence_flag(base, "EMPLOYEE_ID", managers, "MANAGER_ID", name="IS_MANAGER",
-                             yes=rules.YES, no=rules.NO, probe="other")
+                             yes=rules.YES, no=rules.NO)
     out = flagged.select(*src.columns, "IS_MANAGER", *derived_columns(today, run_ts))
     if not keep_invalid:
         out = out.where((F.col("EMPLOYEE_STATUS") == rules.STATUS_ACTIVE)
                         & (F.col("DATA_QUALITY_FLAG") == rules.QUALITY_VALID))
-    return out.select(*schemas.STG_EMPLOYEE_COLS)
+    return schemas.as_target(out, schemas.STG_EMPLOYEE) if cast else out.select(*schemas.STG_EMPLOYEE_COLS)
 
 
 def load(employees: DataFrame, table: str, as_of=None, root: str | None = None) -> None:

@@ -11,7 +11,7 @@ existence test gives the same values without multiplying rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith import schemas
@@ -19,26 +19,20 @@ from loadsmith.functions import rules
 from loadsmith.functions.dates import run_timestamp
 from loadsmith.functions.keys import surrogate_key
 from loadsmith.operators.lookup import change_tag
-from loadsmith.sources.sinks import (
-    stored_watermark, table_exists, upsert_table, upsert_table_buckets,
-)
-from loadsmith.operators.upsert import latest_per_key
-from loadsmith.sources.tables import incremental_scan, typed_source
+from loadsmith.plans._load import new_rows, run_load
 
 NAME = "validation_stage"
 KEY = "DATA_SRC_VAL_STAGE_ID"
 
 
 def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None, *,
-          bound: str | None = None, partition_col: str | None = None, audit: bool = False
-          ) -> DataFrame:
-    src = typed_source(data_src_val, schemas.DATA_SRC_VAL, keep=[partition_col] if partition_col else [])
-    batch = incremental_scan(src, target, schemas.WATERMARKS[NAME], bound=bound,
-                             partition_col=partition_col)
-    if partition_col:
-        batch, src = batch.drop(partition_col), src.drop(partition_col)
+          bound: str | None = None, partition_col: str | None = None, lookback: str | None = None,
+          audit: bool = False, scan: bool = True, cast: bool = True) -> DataFrame:
+    """The batch, lazily; ``scan=False`` takes every given row, ``cast=False`` their own types."""
+    batch = new_rows(data_src_val, schemas.DATA_SRC_VAL, target, schemas.WATERMARKS[NAME] if scan else None,
+                     bound=bound, partition_col=partition_col, lookback=lookback, cast=cast)
     keyed = batch.select(
-        surrogate_key("DATA_SRC_VAL_ID", "DATA_SRC_ID", "VAL_RULE_ID").alias(KEY), *src.columns)
+        surrogate_key("DATA_SRC_VAL_ID", "DATA_SRC_ID", "VAL_RULE_ID").alias(KEY), *batch.columns)
     tagged = change_tag(keyed, target, "DATA_SRC_VAL_ID", name="__found")
     found = F.col("__found")
     out = tagged.select(
@@ -46,22 +40,21 @@ def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None,
         rules.load_ts_for(found, run_ts=run_timestamp(as_of)).alias("LOAD_TS"),
         rules.strategy_flag(found).alias("UPDATE_STRATEGY_FLAG"),
     )
-    cols = schemas.VALIDATION_STAGE_COLS + (["UPDATE_STRATEGY_FLAG"] if audit else [])
-    return out.select(*cols)
-
-
-def load(data_src_val: DataFrame, table: str, root: str, as_of=None, *,
-         buckets: int | None = None, dedupe: bool = False):
-    """Upsert the batch into ``table`` (see ``customer_load.load`` for ``buckets``
-    and ``dedupe``)."""
-    spark = data_src_val.sparkSession
-    target = spark.table(table) if table_exists(spark, table) else None
-    wm = schemas.WATERMARKS[NAME]
-    if target is not None and buckets:
-        target = target.drop("_key_bucket")
-    batch = build(data_src_val, target, as_of, bound=stored_watermark(spark, table, wm))
-    if dedupe:      # keep the newest row per key (by watermark) instead of failing
-        batch = latest_per_key(batch, [KEY], wm)
-    if buckets:
-        return upsert_table_buckets(batch, table, [KEY], root, buckets=buckets, watermark=wm)
-    return upsert_table(batch, table, [KEY], root, watermark=wm)
+    if audit:
+        return out.select(*schemas.VALIDATION_STAGE_COLS, "UPDATE_STRATEGY_FLAG")
+    return schemas.as_target(out, schemas.VALIDATION_STAGE) if cast else out.select(*schemas.VALIDATION_STAGE_COLS)
+
+
+def load(data_src_val, table: str, root: str, as_of=None, *, buckets: int | None = None, dedupe: bool = False,
+         partition_col: str | None = None, lookback: str | None = None, require_keys: bool = False,
+         spark: SparkSession | None = None):
+    """Upsert the rows beyond the watermark into ``table``: a new version under ``root``,
+    or with ``buckets`` a table partitioned by key bucket where only touched buckets are
+    rewritten.  Sources are frames, table names or paths.  A batch holding a key twice
+    fails, unless ``dedupe`` keeps the newest row per key (by the watermark column).
+    ``partition_col`` names the source's day partition of the watermark, ``lookback`` widens
+    the window for late rows, ``require_keys`` refuses null keys."""
+    spark = spark or data_src_val.sparkSession
+    return run_load(spark, data_src_val, schemas.DATA_SRC_VAL, NAME, [KEY],
+                    lambda rows, target: build(rows, target, as_of, scan=False), table, root, buckets=buckets,
+                    dedupe=dedupe, partition_col=partition_col, lookback=lookback, require_keys=require_keys)

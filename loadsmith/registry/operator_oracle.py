@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from loadsmith.plans import standins as si
-from loadsmith.registry import operator_queries as oq
 from loadsmith.registry.oracle import (
-    ADDRESS, DIM_COUNTRY, EMP, DEPT, EMPLOYEES, cdl_model, customer_master, customer_raw,
-    data_src_val, dt, skey, stg_columns, ts, upsert_sql, val_ctes, val_model, with_,
+    CUSTOMER_TYPES, DEPARTMENT_GROUPS, DEPARTMENT_NAMES, DEPT, DIM_COUNTRY, EMP, EMPLOYEES, EVENT_CUT_TIME, GRADES,
+    MASTER_STATUS, NO_EMAIL_MASTER, NO_EMAIL_RAW, PERCENTILES, RANGES, RUN_CUSTOMER, RUN_STD, RUN_VAL_1, TODAY,
+    activity, after_at, banded, checked_phone, clean_or, commission_tier, customer_master, customer_raw, data_src_val,
+    days_to, decoded, domain_or_default, dt, filled_or, lifecycle, months_to, performance, quality, ranged, risk, skey,
+    tenure_bonus, ts, upsert_sql, utilization, val_ctes, val_rows, with_, years_to,
 )
 
-EVENT_CUT = ts(oq.EVENT_CUT)
+EVENT_CUT = ts(EVENT_CUT_TIME)
 
 EVENT_CUSTOMERS = """SELECT CASE WHEN event_id % 41 = 0 THEN NULL ELSE event_id END AS CUSTOMER_ID,
   CASE WHEN user_id % 13 = 0 THEN NULL WHEN user_id % 17 = 0 THEN ' NOEMAIL@unknown.com'
@@ -39,8 +40,7 @@ FROM orders"""
 
 EVENT_ROWS = "event_id, user_id, event_type, value, ts"
 
-RATIO = "(coalesce(ACCOUNT_BALANCE, 0) / CREDIT_LIMIT)"
-TD = dt(oq.TODAY)
+TD = dt(TODAY)
 
 ORACLE = {
     "typed_scan_project": """SELECT c_custkey AS CUSTOMER_ID, c_name AS CUSTOMER_NAME,
@@ -48,21 +48,17 @@ ORACLE = {
 
     "notnull_filter": with_([("emp", EMP)], "SELECT EMPNO, DEPTNO, SAL FROM emp WHERE DEPTNO IS NOT NULL"),
 
-    "valid_row_filter": with_([("src", EVENT_CUSTOMERS)], """SELECT * FROM (
-  SELECT CUSTOMER_ID, coalesce(lower(trim(EMAIL)), 'noemail@unknown.com') AS EMAIL,
-    CASE WHEN STATUS = 'A' THEN 'ACTIVE' WHEN STATUS = 'I' THEN 'INACTIVE'
-         WHEN STATUS = 'S' THEN 'SUSPENDED' ELSE 'UNKNOWN' END AS STATUS,
-    date_trunc('day', REGISTRATION_DATE) AS REGISTRATION_DATE
-  FROM src) t
-WHERE CUSTOMER_ID IS NOT NULL AND EMAIL != 'noemail@unknown.com'
-  AND STATUS IN ('ACTIVE', 'INACTIVE') AND REGISTRATION_DATE IS NOT NULL"""),
+    "valid_row_filter": with_([("src", EVENT_CUSTOMERS)], f"""SELECT CUSTOMER_ID, lower(trim(EMAIL)) AS EMAIL,
+  {decoded('STATUS', MASTER_STATUS, 'UNKNOWN')} AS STATUS, date_trunc('day', REGISTRATION_DATE) AS REGISTRATION_DATE
+FROM src
+WHERE CUSTOMER_ID IS NOT NULL AND REGISTRATION_DATE IS NOT NULL AND STATUS IN ('A', 'I')
+  AND lower(trim(EMAIL)) <> '{NO_EMAIL_MASTER}'"""),
 
-    "quality_flags": with_([("e", EMPLOYEES)], f"""SELECT EMPLOYEE_ID, DATA_QUALITY_FLAG, EMPLOYEE_STATUS
-FROM (SELECT *, {stg_columns(si.RUN_STD)} FROM e) t"""),
+    "quality_flags": with_([("e", EMPLOYEES)], f"""SELECT EMPLOYEE_ID, {quality(dt(RUN_STD))} AS DATA_QUALITY_FLAG,
+  {activity(dt(RUN_STD))} AS EMPLOYEE_STATUS FROM e"""),
 
-    "quality_flag_filter": with_([("e", EMPLOYEES)], f"""SELECT EMPLOYEE_ID, SALARY, HIRE_DATE
-FROM (SELECT *, {stg_columns(si.RUN_STD)} FROM e) t
-WHERE EMPLOYEE_STATUS = 'ACTIVE' AND DATA_QUALITY_FLAG = 'VALID'"""),
+    "quality_flag_filter": with_([("e", EMPLOYEES)], f"""SELECT EMPLOYEE_ID, SALARY, HIRE_DATE FROM e
+WHERE {activity(dt(RUN_STD))} = 'ACTIVE' AND {quality(dt(RUN_STD))} = 'VALID'"""),
 
     "lookup_left_defaults": f"""SELECT c_custkey AS CUSTOMER_ID, coalesce(n.n_name, 'UNKNOWN') AS NATION_NAME,
   coalesce(n.n_regionkey, -1) AS REGION_KEY
@@ -79,10 +75,9 @@ FROM raw LEFT JOIN dim d ON raw.COUNTRY = d.COUNTRY_CODE"""),
   coalesce(n.n_name, 'UNKNOWN') AS NATION_NAME
 FROM customer LEFT JOIN nation n ON c_nationkey % 5 = n.n_regionkey""",
 
-    "existence_flag": f"""SELECT CUST_KEY, c_name,
-  CASE WHEN CUST_KEY IN (SELECT DISTINCT o_custkey FROM orders
-                         WHERE o_totalprice > {oq.LARGE_ORDER} AND o_custkey IS NOT NULL)
-       THEN 'Y' ELSE 'N' END AS HAS_LARGE_ORDER
+    "existence_flag": """SELECT CUST_KEY, c_name,
+  CASE WHEN CUST_KEY IN (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+       THEN 'Y' ELSE 'N' END AS HAS_ORDER
 FROM (SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS CUST_KEY, c_name FROM customer) c""",
 
     "watermark_scan": f"""SELECT * FROM events
@@ -95,7 +90,7 @@ WHERE ts > (SELECT max(ts) FROM events WHERE ts <= {EVENT_CUT}) - INTERVAL 1 HOU
 WHERE (SELECT max(ts) FROM events WHERE FALSE) IS NULL
    OR ts > (SELECT max(ts) FROM events WHERE FALSE)""",
 
-    "watermark_first_run": with_([("v", data_src_val())], val_model("v", None, si.RUN_VAL_1)),
+    "watermark_first_run": with_([("v", data_src_val())], val_rows("v", None, RUN_VAL_1)),
 
     "keyed_upsert": with_([
         ("t", f"SELECT {EVENT_ROWS} FROM events WHERE ts <= {EVENT_CUT}"),
@@ -108,7 +103,19 @@ FROM events WHERE ts <= {EVENT_CUT} AND event_id % 10 = 0"""),
     "change_tag": with_(val_ctes(audit=True), "SELECT * FROM b2"),
 
     "latest_per_key": f"""SELECT {EVENT_ROWS} FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id, event_type, value) = 1""",
+
+    "latest_per_key_null_order": with_([("v", f"""SELECT VAL_EXEC_ID, DATA_SRC_ID, VAL_EXEC_STAT_CD,
+  CASE WHEN DATA_SRC_ID % 5 <> 0 THEN date_trunc('day', LAST_UPDT_TS) END AS LAST_UPDT_TS FROM ({data_src_val()}) x""")],
+        """SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY DATA_SRC_ID
+  ORDER BY LAST_UPDT_TS DESC NULLS LAST, VAL_EXEC_ID, VAL_EXEC_STAT_CD) = 1"""),
+
+    "latest_per_key_null_key": with_([("v", f"""SELECT VAL_EXEC_ID,
+  CASE WHEN VAL_EXEC_ID % 11 <> 0 THEN DATA_SRC_ID END AS DATA_SRC_ID, VAL_EXEC_STAT_CD, LAST_UPDT_TS
+FROM ({data_src_val()}) x""")],
+        """SELECT * FROM v WHERE DATA_SRC_ID IS NULL UNION ALL
+SELECT * FROM (SELECT * FROM v WHERE DATA_SRC_ID IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY DATA_SRC_ID ORDER BY LAST_UPDT_TS DESC NULLS LAST, VAL_EXEC_ID, VAL_EXEC_STAT_CD) = 1) k"""),
 
     "surrogate_key": f"""SELECT event_id,
   {skey('event_id', 'user_id', 'event_type')} AS EVENT_KEY,
@@ -116,98 +123,61 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
 FROM events""",
 
     "record_hash": """SELECT c_custkey AS CUSTOMER_ID,
-  md5(concat(coalesce(CAST(c_custkey AS VARCHAR), ''),
-             coalesce(CAST(CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS VARCHAR), ''),
-             coalesce(CAST(CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_nationkey END AS VARCHAR), ''),
-             coalesce(CAST(c_acctbal AS VARCHAR), ''), coalesce(c_mktsegment, ''))) AS RECORD_HASH
+  md5(concat(c_custkey, if(c_custkey % 9 = 0, NULL, c_name), if(c_custkey % 4 = 0, NULL, c_nationkey),
+             c_acctbal, c_mktsegment)) AS RECORD_HASH
 FROM customer""",
 
-    "name_cleaning": with_([("n", NAMES)], """SELECT CUSTOMER_ID,
-  CASE WHEN FIRST_NAME IS NULL THEN 'UNKNOWN' ELSE upper(trim(FIRST_NAME)) END AS MASTER_FIRST_NAME,
-  CASE WHEN LAST_NAME IS NULL THEN 'UNKNOWN' ELSE upper(trim(LAST_NAME)) END AS MASTER_LAST_NAME,
-  CASE WHEN FIRST_NAME IS NULL OR trim(FIRST_NAME) = '' THEN 'UNKNOWN' ELSE upper(trim(FIRST_NAME)) END
-    AS STAGED_FIRST_NAME,
-  CASE WHEN LAST_NAME IS NULL OR trim(LAST_NAME) = '' THEN 'UNKNOWN' ELSE upper(trim(LAST_NAME)) END
-    AS STAGED_LAST_NAME,
-  upper(trim(coalesce(FIRST_NAME, ''))) || ' ' || upper(trim(coalesce(LAST_NAME, ''))) AS STAGED_FULL_NAME,
+    "name_cleaning": with_([("n", NAMES)], f"""SELECT CUSTOMER_ID,
+  {clean_or('FIRST_NAME', 'UNKNOWN', 'upper')} AS MASTER_FIRST_NAME, {clean_or('LAST_NAME', 'UNKNOWN', 'upper')} AS MASTER_LAST_NAME,
+  {filled_or('FIRST_NAME', 'UNKNOWN')} AS STAGED_FIRST_NAME, {filled_or('LAST_NAME', 'UNKNOWN')} AS STAGED_LAST_NAME,
+  {clean_or('FIRST_NAME', '', 'upper')} || ' ' || {clean_or('LAST_NAME', '', 'upper')} AS STAGED_FULL_NAME,
   FIRST_NAME || ' ' || LAST_NAME AS FULL_NAME,
   trim(FIRST_NAME) AS FIRST_NAME_CLEAN, trim(LAST_NAME) AS LAST_NAME_CLEAN
 FROM n"""),
 
-    "email_rules": """WITH e AS (SELECT c_custkey AS CUSTOMER_ID,
+    "email_rules": f"""WITH e AS (SELECT c_custkey AS CUSTOMER_ID,
   CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN 'none'
        WHEN c_custkey % 5 = 0 THEN ' X' || CAST(c_custkey AS VARCHAR) || '@Mail.Com '
        ELSE 'c' || CAST(c_custkey AS VARCHAR) || '@Ab' || CAST(c_custkey % 7 AS VARCHAR) || '.Com' END AS EMAIL
 FROM customer)
-SELECT CUSTOMER_ID,
-  coalesce(lower(trim(EMAIL)), 'noemail@unknown.com') AS MASTER_EMAIL,
-  coalesce(lower(trim(EMAIL)), 'no-email@unknown.com') AS STAGED_EMAIL,
-  CASE WHEN position('@' in EMAIL) > 0 THEN substring(EMAIL, position('@' in EMAIL) + 1, length(EMAIL))
-       ELSE 'unknown.com' END AS STAGED_EMAIL_DOMAIN,
-  substring(EMAIL, 1, 10) AS EMAIL_PREFIX,
-  position('@' in EMAIL) AS EMAIL_AT_POSITION,
-  upper(EMAIL) AS EMAIL_UPPER,
-  substring(EMAIL, position('@' in EMAIL) + 1, length(EMAIL)) AS EMAIL_DOMAIN,
+SELECT CUSTOMER_ID, {clean_or('EMAIL', NO_EMAIL_MASTER)} AS MASTER_EMAIL, {clean_or('EMAIL', NO_EMAIL_RAW)} AS STAGED_EMAIL,
+  {domain_or_default('EMAIL')} AS STAGED_EMAIL_DOMAIN, left(EMAIL, 10) AS EMAIL_PREFIX,
+  instr(EMAIL, '@') AS EMAIL_AT_POSITION, upper(EMAIL) AS EMAIL_UPPER, {after_at('EMAIL')} AS EMAIL_DOMAIN,
   length(EMAIL) AS EMAIL_LENGTH
 FROM e""",
 
-    "phone_rules": """WITH p AS (SELECT o_orderkey AS ORDER_ID,
+    "phone_rules": f"""WITH p AS (SELECT o_orderkey AS ORDER_ID,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL
        WHEN o_orderkey % 9 = 0 THEN ' ' || CAST(o_orderkey % 100000 AS VARCHAR) || ' '
        ELSE '555-' || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') || '-'
             || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') END AS PHONE
 FROM orders)
-SELECT ORDER_ID,
-  CASE WHEN PHONE IS NULL THEN 'NO-PHONE' WHEN length(trim(PHONE)) < 10 THEN 'INVALID-PHONE'
-       ELSE trim(PHONE) END AS PHONE_CHECKED,
-  length(PHONE) AS PHONE_LENGTH,
-  replace(PHONE, '-', '') AS PHONE_NUMBER_CLEAN
+SELECT ORDER_ID, {checked_phone('PHONE')} AS PHONE_CHECKED, length(PHONE) AS PHONE_LENGTH,
+  regexp_replace(PHONE, '-', '', 'g') AS PHONE_NUMBER_CLEAN
 FROM p""",
 
-    "code_decode": with_([("e", EMPLOYEES)], """SELECT EMPLOYEE_ID, JOB_ID,
-  CASE WHEN JOB_ID = 'IT_PROG' THEN 'Information Technology' WHEN JOB_ID = 'SA_REP' THEN 'Sales'
-       WHEN JOB_ID = 'ST_CLERK' THEN 'Stock Management' WHEN JOB_ID = 'FI_ACCOUNT' THEN 'Finance'
-       ELSE 'Other' END AS DEPARTMENT_NAME,
-  CASE WHEN JOB_ID IN ('IT_PROG', 'IT_SUPPORT') THEN 'IT' WHEN JOB_ID IN ('SA_REP', 'SA_MAN') THEN 'SALES'
-       WHEN JOB_ID IN ('FI_ACCOUNT', 'FI_MGR') THEN 'FINANCE'
-       WHEN JOB_ID IN ('ST_CLERK', 'ST_MAN') THEN 'OPERATIONS' ELSE 'ADMIN' END AS DEPARTMENT_GROUP,
-  CASE (['R', 'W', 'C', 'Z'])[EMPLOYEE_ID % 4 + 1] WHEN 'R' THEN 'RETAIL' WHEN 'W' THEN 'WHOLESALE'
-       WHEN 'C' THEN 'CORPORATE' ELSE 'OTHER' END AS CUSTOMER_TYPE,
-  CASE (['A', 'I', 'S', 'Q'])[EMPLOYEE_ID % 7 % 4 + 1] WHEN 'A' THEN 'ACTIVE' WHEN 'I' THEN 'INACTIVE'
-       WHEN 'S' THEN 'SUSPENDED' ELSE 'UNKNOWN' END AS STATUS
+    "code_decode": with_([("e", f"""SELECT EMPLOYEE_ID, JOB_ID, (['R', 'W', 'C', 'Z'])[EMPLOYEE_ID % 4 + 1] AS TYPE_CODE,
+  (['A', 'I', 'S', 'Q'])[EMPLOYEE_ID % 7 % 4 + 1] AS STATUS_CODE FROM ({EMPLOYEES}) x""")], f"""SELECT EMPLOYEE_ID, JOB_ID,
+  {decoded('JOB_ID', DEPARTMENT_NAMES, 'Other')} AS DEPARTMENT_NAME, {decoded('JOB_ID', DEPARTMENT_GROUPS, 'ADMIN')} AS DEPARTMENT_GROUP,
+  {decoded('TYPE_CODE', CUSTOMER_TYPES, 'OTHER')} AS CUSTOMER_TYPE, {decoded('STATUS_CODE', MASTER_STATUS, 'UNKNOWN')} AS STATUS
 FROM e"""),
 
-    "salary_bands": with_([("e", EMPLOYEES)], """SELECT EMPLOYEE_ID, SALARY,
-  CASE WHEN SALARY > 10000 THEN 'High' WHEN SALARY > 5000 THEN 'Medium' ELSE 'Low' END AS SALARY_GRADE,
-  CASE WHEN SALARY > 15000 AND coalesce(COMMISSION_PCT, 0) > 0.2 THEN 'Star Performer'
-       WHEN SALARY > 10000 THEN 'High Performer' WHEN SALARY > 5000 THEN 'Average Performer'
-       ELSE 'Entry Level' END AS PERFORMANCE_CATEGORY,
-  CASE WHEN SALARY BETWEEN 0 AND 5000 THEN '0-5K' WHEN SALARY BETWEEN 5001 AND 10000 THEN '5K-10K'
-       WHEN SALARY BETWEEN 10001 AND 15000 THEN '10K-15K'
-       WHEN SALARY BETWEEN 15001 AND 20000 THEN '15K-20K' ELSE '20K+' END AS SALARY_RANGE,
-  CASE WHEN SALARY >= 20000 THEN 'Top 10%' WHEN SALARY >= 15000 THEN 'Top 25%'
-       WHEN SALARY >= 10000 THEN 'Top 50%' ELSE 'Bottom 50%' END AS SALARY_PERCENTILE
+    "salary_bands": with_([("e", EMPLOYEES)], f"""SELECT EMPLOYEE_ID, SALARY, {banded('SALARY', GRADES, repr('Low'))} AS SALARY_GRADE,
+  {performance('SALARY', 'COMMISSION_PCT')} AS PERFORMANCE_CATEGORY, {ranged('SALARY', RANGES, '20K+')} AS SALARY_RANGE,
+  {banded('SALARY', PERCENTILES, repr('Bottom 50%'), '>=')} AS SALARY_PERCENTILE
 FROM e"""),
 
-    "commission_tier": with_([("p", PAY)], """SELECT l_orderkey, l_linenumber,
-  coalesce(COMMISSION_PCT, 0) AS COMMISSION_PCT_CLEAN,
-  CASE WHEN coalesce(COMMISSION_PCT, 0) >= 0.30 THEN 'Tier 1'
-       WHEN coalesce(COMMISSION_PCT, 0) >= 0.20 THEN 'Tier 2'
-       WHEN coalesce(COMMISSION_PCT, 0) >= 0.10 THEN 'Tier 3'
-       WHEN coalesce(COMMISSION_PCT, 0) > 0 THEN 'Tier 4' ELSE 'No Commission' END AS COMMISSION_TIER
+    "commission_tier": with_([("p", PAY)], f"""SELECT l_orderkey, l_linenumber, ifnull(COMMISSION_PCT, 0) AS COMMISSION_PCT_CLEAN,
+  {commission_tier('COMMISSION_PCT')} AS COMMISSION_TIER
 FROM p"""),
 
-    "compensation": with_([("p", PAY)], """SELECT l_orderkey, l_linenumber,
-  CASE WHEN COMM IS NULL THEN 0 ELSE COMM END AS COMM_ADJUSTED,
-  SAL + coalesce(COMM, 0) AS TOTAL_COMP,
-  SAL * (1 + coalesce(COMMISSION_PCT, 0)) AS TOTAL_COMPENSATION
+    "compensation": with_([("p", PAY)], """SELECT l_orderkey, l_linenumber, ifnull(COMM, 0) AS COMM_ADJUSTED,
+  SAL + ifnull(COMM, 0) AS TOTAL_COMP, SAL * (1 + ifnull(COMMISSION_PCT, 0)) AS TOTAL_COMPENSATION
 FROM p"""),
 
-    "credit_risk": with_([("raw", customer_raw())], f"""SELECT CUSTOMER_ID,
-  coalesce(CREDIT_LIMIT, 0) AS CREDIT_LIMIT, coalesce(ACCOUNT_BALANCE, 0) AS ACCOUNT_BALANCE,
-  CASE WHEN coalesce(CREDIT_LIMIT, 0) = 0 THEN 0 ELSE round({RATIO} * 100, 2) END AS CREDIT_UTILIZATION_PCT,
-  CASE WHEN coalesce(CREDIT_LIMIT, 0) = 0 THEN 'NO_CREDIT' WHEN {RATIO} > 0.9 THEN 'HIGH_RISK'
-       WHEN {RATIO} > 0.7 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS RISK_CATEGORY
+    "credit_risk": with_([("raw", customer_raw())], f"""SELECT CUSTOMER_ID, ifnull(CREDIT_LIMIT, 0) AS CREDIT_LIMIT,
+  ifnull(ACCOUNT_BALANCE, 0) AS ACCOUNT_BALANCE, {utilization('ACCOUNT_BALANCE', 'CREDIT_LIMIT')} AS CREDIT_UTILIZATION_PCT,
+  {risk('ACCOUNT_BALANCE', 'CREDIT_LIMIT')} AS RISK_CATEGORY
 FROM raw"""),
 
     "date_parts": with_([("d", DATED)], """SELECT ORDER_ID,
@@ -217,24 +187,14 @@ FROM raw"""),
   date_part('month', HIRE_DATE) AS HIRE_MONTH, date_part('dow', HIRE_DATE) AS HIRE_DAY_OF_WEEK
 FROM d"""),
 
-    "tenure": with_([("d", DATED)], f"""SELECT ORDER_ID,
-  CAST(HIRE_DATE + INTERVAL 1 YEAR AS DATE) AS FIRST_ANNIVERSARY,
-  datediff('year', HIRE_DATE, {TD}) AS YEARS_OF_SERVICE,
-  CASE WHEN datediff('year', HIRE_DATE, {TD}) > 10 THEN SALARY * 0.15
-       WHEN datediff('year', HIRE_DATE, {TD}) > 5 THEN SALARY * 0.10
-       WHEN datediff('year', HIRE_DATE, {TD}) > 2 THEN SALARY * 0.05 ELSE 0 END AS TENURE_BONUS,
-  datediff('day', HIRE_DATE, {TD}) AS DAYS_EMPLOYED,
-  CAST(floor(datediff('day', HIRE_DATE, {TD}) / 365.25) AS BIGINT) AS EMPLOYMENT_YEARS,
-  CASE WHEN LAST_PURCHASE_DATE IS NOT NULL THEN datediff('day', LAST_PURCHASE_DATE, {TD})
-       ELSE NULL END AS DAYS_SINCE_LAST_PURCHASE,
-  datediff('month', REG_TS, {TD}) AS TENURE_MONTHS
+    "tenure": with_([("d", DATED)], f"""SELECT ORDER_ID, CAST(HIRE_DATE + INTERVAL 1 YEAR AS DATE) AS FIRST_ANNIVERSARY,
+  {years_to('HIRE_DATE', TD)} AS YEARS_OF_SERVICE, {tenure_bonus('SALARY', 'HIRE_DATE', TD)} AS TENURE_BONUS,
+  {days_to('HIRE_DATE', TD)} AS DAYS_EMPLOYED, CAST(floor({days_to('HIRE_DATE', TD)} / 365.25) AS BIGINT) AS EMPLOYMENT_YEARS,
+  {days_to('LAST_PURCHASE_DATE', TD)} AS DAYS_SINCE_LAST_PURCHASE, {months_to('REG_TS', TD)} AS TENURE_MONTHS
 FROM d"""),
 
     "lifecycle_status": with_([("raw", customer_raw())], f"""SELECT CUSTOMER_ID, STATUS, LAST_PURCHASE_DATE,
-  CASE WHEN STATUS = 'A' AND LAST_PURCHASE_DATE >= {dt(si.RUN_CUSTOMER)} - INTERVAL 90 DAY THEN 'ACTIVE'
-       WHEN STATUS = 'A' AND LAST_PURCHASE_DATE < {dt(si.RUN_CUSTOMER)} - INTERVAL 90 DAY THEN 'INACTIVE'
-       WHEN STATUS = 'S' THEN 'SUSPENDED' WHEN STATUS = 'C' THEN 'CLOSED'
-       ELSE 'UNKNOWN' END AS LIFECYCLE_STATUS
+  {lifecycle('STATUS', 'LAST_PURCHASE_DATE', dt(RUN_CUSTOMER))} AS LIFECYCLE_STATUS
 FROM raw"""),
 
     "null_defaults": with_([("raw", customer_raw())], """SELECT CUSTOMER_ID,
@@ -247,11 +207,8 @@ FROM raw"""),
   CASE WHEN LAST_PURCHASE_DATE IS NOT NULL THEN 'BOUGHT' ELSE NULL END AS PURCHASE_MARK
 FROM raw"""),
 
-    "update_flag": with_([
-        ("cm1", f"SELECT * FROM ({customer_master()}) x WHERE LAST_MODIFIED_DATE <= {ts(si.MASTER_CUT)}"),
-        ("addr", ADDRESS),
-        ("b", cdl_model("cm1", "addr", si.RUN_MASTER_1, audit=True)),
-    ], "SELECT CUSTOMER_ID, REGISTRATION_DATE, LAST_MODIFIED_DATE, UPDATE_FLAG FROM b"),
+    "update_flag": with_([("m", customer_master())], """SELECT CUSTOMER_ID, REGISTRATION_DATE, LAST_MODIFIED_DATE,
+  if(LAST_MODIFIED_DATE > REGISTRATION_DATE, 1, 0) AS UPDATE_FLAG FROM m"""),
 
     "check_not_null": with_([("emp", EMP)],
         "SELECT EMPNO, SAL, DEPTNO FROM emp WHERE SAL IS NULL OR DEPTNO IS NULL"),

@@ -20,19 +20,18 @@ from loadsmith.functions.text import (
     at_position, concat_strict, email_after_at, email_domain_or, phone_check, prefix,
     remove_char, text_length,
 )
-from loadsmith.operators._sizing import materialize
+from loadsmith.scratch import materialize
 from loadsmith.operators.checks import (
     not_null_violations, relationship_violations, unique_violations,
 )
 from loadsmith.operators.lookup import existence_flag, lookup_join
 from loadsmith.operators.upsert import latest_per_key, upsert_frame
-from loadsmith.plans import customer_data_load, stg_employee, validation_stage
+from loadsmith.plans import validation_stage
 from loadsmith.plans import standins as si
 from loadsmith.registry import plan_queries as pq
 from loadsmith.sources.tables import incremental_scan, typed_source
 
 TODAY = "2001-08-01 00:00:00"    # literal run date for the rule queries
-LARGE_ORDER = 400000.0
 EVENT_CUT = "2024-01-15 00:00:00"
 
 
@@ -90,8 +89,10 @@ def q_valid_row_filter(spark, sf):
 
 def q_quality_flags(spark, sf):
     """Every employee row with its quality flag and status (before the filter)."""
-    full = stg_employee.build(si.employees(_t(spark, sf, "orders")), si.RUN_STD, keep_invalid=True)
-    return full.select("EMPLOYEE_ID", "DATA_QUALITY_FLAG", "EMPLOYEE_STATUS")
+    today = run_date(si.RUN_STD)
+    return si.employees(_t(spark, sf, "orders")).select(
+        "EMPLOYEE_ID", rules.data_quality_flag(today=today).alias("DATA_QUALITY_FLAG"),
+        rules.employee_status(today=today).alias("EMPLOYEE_STATUS"))
 
 
 def q_quality_flag_filter(spark, sf):
@@ -135,8 +136,7 @@ def q_existence_flag(spark, sf):
     cust = _t(spark, sf, "customer").select(
         _null_when(_mod(F.col("c_custkey"), 50) == 0, F.col("c_custkey")).alias("CUST_KEY"),
         F.col("c_name"))
-    big = _t(spark, sf, "orders").where(F.col("o_totalprice") > LARGE_ORDER)
-    return existence_flag(cust, "CUST_KEY", big, "o_custkey", name="HAS_LARGE_ORDER")
+    return existence_flag(cust, "CUST_KEY", _t(spark, sf, "orders"), "o_custkey", name="HAS_ORDER")
 
 
 # --- incremental scan, upsert, change tag -------------------------------------------
@@ -160,7 +160,7 @@ def q_watermark_empty_target(spark, sf):
 
 def q_watermark_first_run(spark, sf):
     src = si.data_src_val(_t(spark, sf, "events"))
-    return validation_stage.build(src, None, si.RUN_VAL_1)
+    return validation_stage.build(src, None, si.RUN_VAL_1, cast=False)
 
 
 def _event_rows(df):
@@ -187,6 +187,24 @@ def q_latest_per_key(spark, sf):
     return latest_per_key(_event_rows(_t(spark, sf, "events")), "user_id", "ts")
 
 
+def _val_rows(spark, sf):
+    rows = si.data_src_val(_t(spark, sf, "events"))
+    return rows.select("VAL_EXEC_ID", "DATA_SRC_ID", "VAL_EXEC_STAT_CD", "LAST_UPDT_TS")
+
+
+def q_latest_per_key_null_order(spark, sf):
+    """Times are null for some rows, and for every row of some sources; ties go by the other columns."""
+    unknown = (_mod(F.col("DATA_SRC_ID"), 5) == 0) | F.col("LAST_UPDT_TS").isNull()
+    rows = _val_rows(spark, sf).withColumn("LAST_UPDT_TS", _null_when(unknown, F.date_trunc("day", "LAST_UPDT_TS").cast("timestamp_ntz")))
+    return latest_per_key(rows, "DATA_SRC_ID", "LAST_UPDT_TS")
+
+
+def q_latest_per_key_null_key(spark, sf):
+    """Rows without a key are all kept."""
+    rows = _val_rows(spark, sf).withColumn("DATA_SRC_ID", _null_when(_mod(F.col("VAL_EXEC_ID"), 11) == 0, F.col("DATA_SRC_ID")))
+    return latest_per_key(rows, "DATA_SRC_ID", "LAST_UPDT_TS")
+
+
 # --- keys ----------------------------------------------------------------------------
 
 def q_surrogate_key(spark, sf):
@@ -395,9 +413,8 @@ def q_null_defaults(spark, sf):
 
 
 def q_update_flag(spark, sf):
-    first, _, addr = pq._cdl_inputs(spark, sf)
-    out = customer_data_load.build(first, addr, None, si.RUN_MASTER_1, audit=True)
-    return out.select("CUSTOMER_ID", "REGISTRATION_DATE", "LAST_MODIFIED_DATE", "UPDATE_FLAG")
+    src = si.customer_master(_t(spark, sf, "orders"))
+    return src.select("CUSTOMER_ID", "REGISTRATION_DATE", "LAST_MODIFIED_DATE", rules.update_flag().alias("UPDATE_FLAG"))
 
 
 # --- data checks ------------------------------------------------------------------------
@@ -435,6 +452,8 @@ QUERIES = {
     "keyed_upsert": q_keyed_upsert,
     "change_tag": q_change_tag,
     "latest_per_key": q_latest_per_key,
+    "latest_per_key_null_order": q_latest_per_key_null_order,
+    "latest_per_key_null_key": q_latest_per_key_null_key,
     "surrogate_key": q_surrogate_key,
     "record_hash": q_record_hash,
     "name_cleaning": q_name_cleaning,

@@ -11,31 +11,39 @@ rows instead of recomputing them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith import schemas
-from loadsmith.operators._sizing import materialize
+from loadsmith.scratch import materialize, scratch_path
 from loadsmith.operators.upsert import upsert_frame
 from loadsmith.plans import (
     customer_data_load, customer_load, emp_load, stg_employee, validation_stage,
 )
 from loadsmith.plans import standins as si
+from loadsmith.sources.sinks import BUCKET_COL, table_location
 
 
 def q_emp_load(spark: SparkSession, sf: str) -> DataFrame:
     return emp_load.build(si.emp(si.table(spark, sf, "customer")),
-                          si.dept(si.table(spark, sf, "nation")), as_of=si.RUN_EMP)
+                          si.dept(si.table(spark, sf, "nation")), as_of=si.RUN_EMP, cast=False)
 
 
 def q_stg_employee(spark: SparkSession, sf: str) -> DataFrame:
-    return stg_employee.build(si.employees(si.table(spark, sf, "orders")), as_of=si.RUN_STD)
+    return stg_employee.build(si.employees(si.table(spark, sf, "orders")), as_of=si.RUN_STD, cast=False)
 
 
 def q_stg_employee_all_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The staging frame before the ACTIVE-and-VALID filter: every row with its flags."""
     return stg_employee.build(si.employees(si.table(spark, sf, "orders")), as_of=si.RUN_STD,
-                              keep_invalid=True)
+                              keep_invalid=True, cast=False)
+
+
+def q_stg_employee_decimal(spark: SparkSession, sf: str) -> DataFrame:
+    """The staging plan as it loads: sources cast to their declared types, target in its own."""
+    return stg_employee.build(si.employees(si.table(spark, sf, "orders")), as_of=si.RUN_STD)
 
 
 def _cdl_inputs(spark, sf):
@@ -46,19 +54,10 @@ def _cdl_inputs(spark, sf):
     return first, second, si.address_master(si.table(spark, sf, "customer"))
 
 
-def cdl_first_run(spark, sf) -> DataFrame:
-    first, _, addr = _cdl_inputs(spark, sf)
-    return customer_data_load.build(first, addr, None, si.RUN_MASTER_1)
-
-
-def cdl_second_batch(spark, sf, target: DataFrame) -> DataFrame:
-    _, second, addr = _cdl_inputs(spark, sf)
-    return customer_data_load.build(second, addr, target, si.RUN_MASTER_2)
-
-
 def q_customer_data_load(spark: SparkSession, sf: str) -> DataFrame:
-    target = materialize(cdl_first_run(spark, sf), "target")
-    batch = materialize(cdl_second_batch(spark, sf, target), "batch")
+    first, second, addr = _cdl_inputs(spark, sf)
+    target = materialize(customer_data_load.build(first, addr, None, si.RUN_MASTER_1, cast=False), "target")
+    batch = materialize(customer_data_load.build(second, addr, target, si.RUN_MASTER_2, cast=False), "batch")
     return upsert_frame(target, batch, schemas.KEYS["customer_data_load"], check_schema=True)
 
 
@@ -71,23 +70,31 @@ def _cl_inputs(spark, sf):
     return first, second, dim
 
 
-def q_customer_load(spark: SparkSession, sf: str) -> DataFrame:
+def q_customer_load(spark: SparkSession, sf: str, cast: bool = False) -> DataFrame:
     first, second, dim = _cl_inputs(spark, sf)
-    target = materialize(customer_load.build(first, dim, None, "2001-01-20 12:00:00"), "target")
-    batch = materialize(customer_load.build(second, dim, target, si.RUN_CUSTOMER), "batch")
+    target = materialize(customer_load.build(first, dim, None, si.RUN_CUSTOMER_1, cast=cast), "target")
+    batch = materialize(customer_load.build(second, dim, target, si.RUN_CUSTOMER, cast=cast), "batch")
     return upsert_frame(target, batch, schemas.KEYS["customer_load"])
 
 
-def val_first_run(spark, sf) -> DataFrame:
+def q_customer_load_decimal(spark: SparkSession, sf: str) -> DataFrame:
+    """The two customer loads on declared types."""
+    return q_customer_load(spark, sf, cast=True)
+
+
+def _val_inputs(spark, sf):
     events = si.table(spark, sf, "events")
-    src = si.data_src_val(events).where(
+    first = si.data_src_val(events).where(
         F.col("VAL_EXEC_START_TS") <= F.lit(si.VAL_CUT).cast("timestamp_ntz"))
-    return validation_stage.build(src, None, si.RUN_VAL_1)
+    return first, si.data_src_val(events, modified_before=si.VAL_CUT)
+
+
+def val_first_run(spark, sf) -> DataFrame:
+    return validation_stage.build(_val_inputs(spark, sf)[0], None, si.RUN_VAL_1, cast=False)
 
 
 def val_second_batch(spark, sf, target: DataFrame, audit: bool = False) -> DataFrame:
-    src = si.data_src_val(si.table(spark, sf, "events"), modified_before=si.VAL_CUT)
-    return validation_stage.build(src, target, si.RUN_VAL_2, audit=audit)
+    return validation_stage.build(_val_inputs(spark, sf)[1], target, si.RUN_VAL_2, audit=audit, cast=False)
 
 
 def q_validation_stage(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,6 +103,53 @@ def q_validation_stage(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_frame(target, batch, [validation_stage.KEY])
 
 
+# --- the writers: real loads into catalog tables, read back ----------------------
+
+def _fresh(name: str) -> str:
+    return f"loadsmith_{name}_{uuid.uuid4().hex[:12]}"
+
+
+def _read_back(spark, table: str) -> DataFrame:
+    """The table's rows, from its files; its catalog entry goes, so that runs leave none."""
+    rows = spark.read.schema(spark.table(table).schema).parquet(table_location(spark, table))
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
+def q_full_rebuild_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two full rebuilds of the employee table; the second replaces the first."""
+    table, root = _fresh("emp"), scratch_path(spark, "emp")
+    employees, dept = si.emp(si.table(spark, sf, "customer")), si.dept(si.table(spark, sf, "nation"))
+    emp_load.load(employees.where("EMPNO % 2 = 0"), dept, table, si.RUN_STD, root=root)
+    emp_load.load(employees, dept, table, si.RUN_EMP, root=root)
+    return _read_back(spark, table)
+
+
+def q_first_load_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The first load of a table that does not exist yet."""
+    table = _fresh("val")
+    validation_stage.load(_val_inputs(spark, sf)[0], table, scratch_path(spark, "val"), si.RUN_VAL_1)
+    return _read_back(spark, table)
+
+
+def q_snapshot_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two customer master loads by new table versions."""
+    table, root = _fresh("cdl"), scratch_path(spark, "cdl")
+    first, second, addr = _cdl_inputs(spark, sf)
+    customer_data_load.load(first, addr, table, root, si.RUN_MASTER_1)
+    customer_data_load.load(second, addr, table, root, si.RUN_MASTER_2)
+    return _read_back(spark, table)
+
+
+def q_bucket_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two validation loads into a table of key buckets."""
+    table, root = _fresh("valb"), scratch_path(spark, "valb")
+    first, second = _val_inputs(spark, sf)
+    validation_stage.load(first, table, root, si.RUN_VAL_1, buckets=16)
+    validation_stage.load(second, table, root, si.RUN_VAL_2, buckets=16)
+    return _read_back(spark, table).drop(BUCKET_COL)
+
+
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
@@ -103,4 +157,10 @@ QUERIES = {
     "customer_data_load": q_customer_data_load,
     "customer_load": q_customer_load,
     "validation_stage": q_validation_stage,
+    "stg_employee_decimal": q_stg_employee_decimal,
+    "customer_load_decimal": q_customer_load_decimal,
+    "full_rebuild_roundtrip": q_full_rebuild_roundtrip,
+    "first_load_roundtrip": q_first_load_roundtrip,
+    "snapshot_upsert_roundtrip": q_snapshot_upsert_roundtrip,
+    "bucket_upsert_roundtrip": q_bucket_upsert_roundtrip,
 }

@@ -2,11 +2,14 @@
 
 Types follow use in the original models (money as decimal(12,2), rates as
 decimal(5,4), watermarks as timestamp_ntz).  The plans select these columns in
-this order; casting to the types is the typed scan's job (``cast=True``).
+this order and cast them to these types (``typed_source``); ``as_target`` gives a
+target's columns their types.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 L, S, D, TS = T.LongType(), T.StringType(), T.DateType(), T.TimestampNTZType()
@@ -42,30 +45,44 @@ DATA_SRC_VAL = _struct(("DATA_SRC_VAL_ID", L), ("DATA_SRC_ID", L), ("VAL_RULE_ID
                        ("VAL_EXEC_RESULT_THRSHLD_CNT", L), ("LAST_UPDT_TS", TS),
                        ("LAST_UPDT_USER_ID", S))
 
-# Output column lists, in target order.
-EMP_LOAD_COLS = [f.name for f in EMP.fields] + [
-    "COMM_ADJUSTED", "TOTAL_COMP", "LOAD_DATE", "DEPT_NAME", "DEPT_LOCATION"]
-STG_EMPLOYEE_COLS = [f.name for f in EMPLOYEES.fields] + [
-    "SALARY_GRADE", "COMMISSION_PCT_CLEAN", "FULL_NAME", "LOAD_TIMESTAMP", "HIRE_DATE_TRUNC",
-    "DEPARTMENT_NAME", "EMAIL_PREFIX", "FIRST_ANNIVERSARY", "YEARS_OF_SERVICE", "IS_TOP_LEVEL",
-    "PERFORMANCE_CATEGORY", "DEPARTMENT_ID_CLEAN", "PHONE_LENGTH", "EMAIL_AT_POSITION",
-    "EMAIL_UPPER", "TOTAL_COMPENSATION", "TENURE_BONUS", "DAYS_EMPLOYED", "FIRST_NAME_CLEAN",
-    "LAST_NAME_CLEAN", "PHONE_NUMBER_CLEAN", "DEPARTMENT_GROUP", "SALARY_RANGE", "EMAIL_DOMAIN",
-    "HIRE_QUARTER", "HIRE_YEAR", "HIRE_MONTH", "HIRE_DAY_OF_WEEK", "EMPLOYMENT_YEARS",
-    "SALARY_PERCENTILE", "COMMISSION_TIER", "IS_MANAGER", "RECORD_HASH", "DATA_QUALITY_FLAG",
-    "EMPLOYEE_STATUS"]
-CUSTOMER_DATA_LOAD_COLS = [
-    "CUSTOMER_ID", "FIRST_NAME", "LAST_NAME", "EMAIL", "PHONE", "ADDRESS_ID", "STREET", "CITY",
-    "STATE", "ZIP_CODE", "COUNTRY", "STATUS", "REGISTRATION_DATE", "LAST_MODIFIED_DATE",
-    "LOAD_TIMESTAMP"]
-CUSTOMER_LOAD_COLS = [
-    "CUSTOMER_ID", "FIRST_NAME", "LAST_NAME", "FULL_NAME", "EMAIL", "EMAIL_DOMAIN", "PHONE",
-    "ADDRESS", "CITY", "STATE", "ZIP_CODE", "COUNTRY_CODE", "COUNTRY_NAME", "REGION",
-    "CURRENCY_CODE", "CUSTOMER_TYPE", "CREDIT_LIMIT", "ACCOUNT_BALANCE", "CREDIT_UTILIZATION_PCT",
-    "RISK_CATEGORY", "REGISTRATION_DATE", "LAST_PURCHASE_DATE", "REGISTRATION_DATE_KEY",
-    "DAYS_SINCE_LAST_PURCHASE", "LIFECYCLE_STATUS", "CUSTOMER_TENURE_MONTHS", "CREATED_DATE",
-    "UPDATED_DATE", "DW_LOAD_TIMESTAMP", "DW_RECORD_KEY"]
-VALIDATION_STAGE_COLS = ["DATA_SRC_VAL_STAGE_ID"] + [f.name for f in DATA_SRC_VAL.fields] + ["LOAD_TS"]
+# Targets, in column order (fixed names).
+BONUS, PAY, PERCENT = T.DecimalType(16, 4), T.DecimalType(18, 6), T.DecimalType(18, 2)
+EMP_LOAD = T.StructType([*EMP.fields, *_struct(
+    ("COMM_ADJUSTED", MONEY), ("TOTAL_COMP", T.DecimalType(13, 2)), ("LOAD_DATE", TS), ("DEPT_NAME", S),
+    ("DEPT_LOCATION", S)).fields])
+STG_EMPLOYEE = T.StructType([*EMPLOYEES.fields, *_struct(
+    ("SALARY_GRADE", S), ("COMMISSION_PCT_CLEAN", RATE), ("FULL_NAME", S), ("LOAD_TIMESTAMP", TS),
+    ("HIRE_DATE_TRUNC", TS), ("DEPARTMENT_NAME", S), ("EMAIL_PREFIX", S), ("FIRST_ANNIVERSARY", D),
+    ("YEARS_OF_SERVICE", L), ("IS_TOP_LEVEL", S), ("PERFORMANCE_CATEGORY", S), ("DEPARTMENT_ID_CLEAN", L),
+    ("PHONE_LENGTH", L), ("EMAIL_AT_POSITION", L), ("EMAIL_UPPER", S), ("TOTAL_COMPENSATION", PAY),
+    ("TENURE_BONUS", BONUS), ("DAYS_EMPLOYED", L), ("FIRST_NAME_CLEAN", S), ("LAST_NAME_CLEAN", S),
+    ("PHONE_NUMBER_CLEAN", S), ("DEPARTMENT_GROUP", S), ("SALARY_RANGE", S), ("EMAIL_DOMAIN", S),
+    ("HIRE_QUARTER", L), ("HIRE_YEAR", L), ("HIRE_MONTH", L), ("HIRE_DAY_OF_WEEK", L), ("EMPLOYMENT_YEARS", L),
+    ("SALARY_PERCENTILE", S), ("COMMISSION_TIER", S), ("IS_MANAGER", S), ("RECORD_HASH", S),
+    ("DATA_QUALITY_FLAG", S), ("EMPLOYEE_STATUS", S)).fields])
+CUSTOMER_DATA_LOAD = _struct(
+    ("CUSTOMER_ID", L), ("FIRST_NAME", S), ("LAST_NAME", S), ("EMAIL", S), ("PHONE", S), ("ADDRESS_ID", L),
+    ("STREET", S), ("CITY", S), ("STATE", S), ("ZIP_CODE", S), ("COUNTRY", S), ("STATUS", S),
+    ("REGISTRATION_DATE", TS), ("LAST_MODIFIED_DATE", TS), ("LOAD_TIMESTAMP", TS))
+CUSTOMER_LOAD = _struct(
+    ("CUSTOMER_ID", L), ("FIRST_NAME", S), ("LAST_NAME", S), ("FULL_NAME", S), ("EMAIL", S), ("EMAIL_DOMAIN", S),
+    ("PHONE", S), ("ADDRESS", S), ("CITY", S), ("STATE", S), ("ZIP_CODE", S), ("COUNTRY_CODE", S),
+    ("COUNTRY_NAME", S), ("REGION", S), ("CURRENCY_CODE", S), ("CUSTOMER_TYPE", S), ("CREDIT_LIMIT", MONEY),
+    ("ACCOUNT_BALANCE", MONEY), ("CREDIT_UTILIZATION_PCT", PERCENT), ("RISK_CATEGORY", S),
+    ("REGISTRATION_DATE", TS), ("LAST_PURCHASE_DATE", D), ("REGISTRATION_DATE_KEY", TS),
+    ("DAYS_SINCE_LAST_PURCHASE", L), ("LIFECYCLE_STATUS", S), ("CUSTOMER_TENURE_MONTHS", L),
+    ("CREATED_DATE", TS), ("UPDATED_DATE", TS), ("DW_LOAD_TIMESTAMP", TS), ("DW_RECORD_KEY", S))
+VALIDATION_STAGE = T.StructType([T.StructField("DATA_SRC_VAL_STAGE_ID", S), *DATA_SRC_VAL.fields, T.StructField("LOAD_TS", TS)])
+
+EMP_LOAD_COLS, STG_EMPLOYEE_COLS = EMP_LOAD.names, STG_EMPLOYEE.names
+CUSTOMER_DATA_LOAD_COLS, CUSTOMER_LOAD_COLS = CUSTOMER_DATA_LOAD.names, CUSTOMER_LOAD.names
+VALIDATION_STAGE_COLS = VALIDATION_STAGE.names
+
+
+def as_target(df: DataFrame, target: T.StructType) -> DataFrame:
+    """The target's columns in its order and types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+
 
 KEYS = {"customer_data_load": ["CUSTOMER_ID"], "customer_load": ["CUSTOMER_ID"],
         "validation_stage": ["DATA_SRC_VAL_STAGE_ID"]}

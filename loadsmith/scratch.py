@@ -25,6 +25,26 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Scratch tables of one run, removed when it ends:  ``with Scratch(spark) as keep: ...``"""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self):
+        return self.table
+
+    def table(self, df: DataFrame, name: str = "table") -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *failure) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder (any file system that Spark can write to)."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

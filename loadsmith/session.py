@@ -19,10 +19,9 @@ RECOMMENDED_CONF = {
     # Hot join keys (one key holding a large share of rows, or many null
     # lookup keys) are split into several tasks at runtime.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what is proven small: explicit hints after a size proof
-    # (loadsmith.operators._sizing), or AQE from measured shuffle sizes.  The
-    # planner's file-size estimates are not proof (Parquet expands in memory).
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Catalyst broadcasts a side whose files hold at most this much (Parquet expands in
+    # memory, so the bound is low); AQE one whose measured shuffle output does.
+    "spark.sql.autoBroadcastJoinThreshold": "4m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # AQE splits skewed partitions of REBALANCE (bucketed writes).
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

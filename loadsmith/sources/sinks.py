@@ -10,6 +10,9 @@ the operator's retention job.
 ``upsert_table_buckets`` is the scale option: the target is partitioned by a
 hash bucket of the key and only the buckets the batch touches are rewritten
 (dynamic partition overwrite).
+
+Nothing is published before it fits: an upsert casts the batch to the table's own
+types and fails on a value that a cast would change; a rebuild replaces the schema.
 """
 
 from __future__ import annotations
@@ -19,11 +22,12 @@ import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loadsmith.operators._sizing import materialize
-from loadsmith.operators.checks import assert_same_schema, not_null_violations
-from loadsmith.operators.upsert import upsert_frame
+from loadsmith.operators._sizing import key_facts, not_null
+from loadsmith.operators.checks import DataCheckError, assert_same_schema
+from loadsmith.operators.upsert import assert_keyed, upsert_frame
+from loadsmith.scratch import Scratch
+from loadsmith.sources.tables import read_lossless
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -65,28 +69,60 @@ def write_snapshot(df: DataFrame, table: str, root: str, run_id: str | None = No
             table_location(spark, table).rstrip("/").endswith(path.rstrip("/").split("/")[-1]):
         raise ValueError(f"{path} is the current version of {table}")
     df.write.mode("overwrite" if replace_version else "errorifexists").parquet(path)
-    if table_exists(spark, table):
+    if table_exists(spark, table) and _shape(spark.table(table)) == _shape(df):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {table}")
-    else:
-        spark.catalog.createTable(table, path=path, source="parquet")
+        return path
+    if table_exists(spark, table):          # another schema: the table follows its new version
+        spark.sql(f"DROP TABLE {table}")    # external: its files stay
+    spark.catalog.createTable(table, path=path, source="parquet")
     return path
 
 
+def _shape(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def fitted(batch: DataFrame, target: DataFrame) -> DataFrame:
+    """``batch`` with the columns and types of ``target``: refused when a column is missing or
+    extra; the write fails on a value that does not fit its type unchanged."""
+    if set(batch.columns) != set(target.columns):
+        raise DataCheckError(f"schema change: target has {_shape(target)}, new rows have {_shape(batch)}")
+    return batch.select(*[read_lossless(f.name, batch.schema[f.name].dataType, f.dataType).alias(f.name)
+                          for f in target.schema.fields])
+
+
 WATERMARK_PROPERTY = "loadsmith.watermark."
+BUCKETS_PROPERTY = "loadsmith.buckets"
+BUCKET_COL = "_key_bucket"
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
 def stored_watermark(spark: SparkSession, table: str, wm: str) -> str | None:
-    """The high-water mark of ``wm`` recorded by the last load, if any."""
+    """The high-water mark of ``wm`` recorded by the last load, if it is of the version that
+    the table points at now; a table that was pointed elsewhere has none."""
     if not table_exists(spark, table):
         return None
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    props = _properties(spark, table)
+    if props.get(f"{WATERMARK_PROPERTY}{wm}.version") != table_location(spark, table):
+        return None
     return props.get(WATERMARK_PROPERTY + wm)
 
 
 def record_watermark(spark: SparkSession, table: str, wm: str, value: str | None) -> None:
     if value is not None:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{WATERMARK_PROPERTY}{wm}' = '{value}')")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{WATERMARK_PROPERTY}{wm}' = '{value}', "
+                  f"'{WATERMARK_PROPERTY}{wm}.version' = '{table_location(spark, table)}')")
+
+
+def advance_watermark(batch: DataFrame, table: str, wm: str, previous: str | None) -> None:
+    """Record the larger of the previous mark and the (small) batch's maximum, compared in the column's type."""
+    known = F.lit(previous).cast(batch.schema[wm].dataType)
+    newest = batch.agg(F.greatest(F.max(F.col(wm)), known).cast("string").alias("m")).first()["m"]
+    record_watermark(batch.sparkSession, table, wm, newest)
 
 
 MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
@@ -116,98 +152,134 @@ def merge_into(batch: DataFrame, table: str, keys) -> None:
         spark.catalog.dropTempView(view)
 
 
+def _checked(batch: DataFrame, table: str, keys: list[str], require_keys: bool):
+    """Key facts of a stored batch, after the key checks."""
+    facts = key_facts(batch, keys)
+    assert_keyed(batch, keys, facts)
+    if facts.null_rows and require_keys:
+        raise DataCheckError(f"batch for {table} has {facts.null_rows} rows with a null key {keys}")
+    if facts.null_rows:
+        warnings.warn(f"batch for {table} has rows with a null key {keys}; they never match "
+                      f"and are appended on every run", stacklevel=3)
+    return facts
+
+
 def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema: bool = False,
-                 run_id: str | None = None, watermark: str | None = None,
-                 method: str = "auto") -> str:
+                 run_id: str | None = None, watermark: str | None = None, method: str = "auto",
+                 require_keys: bool = False, check=None) -> str:
     """Apply ``batch`` to ``table`` keyed on ``keys``; create it on the first run.
 
     ``method``: ``"merge"`` (MERGE INTO, for formats that support it),
     ``"snapshot"`` (new version folder + repoint, for plain Parquet) or
     ``"auto"`` (merge when the table's provider supports it).
-    The batch is written once under the shared ``spark.checkpoint.dir`` so the
-    checks, the key probe and the write read it without recomputing the scan.
-    With ``watermark``, the new high-water mark (the larger of the recorded one
-    and the batch's own maximum, read from the small batch) is recorded as a
-    table property, so the next run need not scan the target for it.
+    The batch is written once to a scratch table, which is removed at the end; checks,
+    key statistics and the write read it.  ``check_schema`` refuses any other schema than
+    the table's, else the batch is cast to it and a value that does not fit fails the write.
+    ``require_keys`` refuses null keys; ``check`` is called with the stored batch before
+    anything is published.  With ``watermark``, the new high-water mark (the larger of the
+    recorded one and the batch's maximum) is recorded with the version that holds it.
     """
     spark = batch.sparkSession
-    batch = materialize(batch, "batch")
-    key_list = [keys] if isinstance(keys, str) else list(keys)
-    if not not_null_violations(batch, key_list).isEmpty():
-        warnings.warn(f"batch for {table} has rows with a null key {key_list}; they never match "
-                      f"and are appended on every run", stacklevel=2)
+    keys = [keys] if isinstance(keys, str) else list(keys)
     exists = table_exists(spark, table)
-    if exists and batch.isEmpty():
-        return table_location(spark, table)      # nothing new: no rewrite of the target
     target = spark.table(table) if exists else None
-    if check_schema:
+    if exists and check_schema:
         assert_same_schema(batch, target)
     previous = stored_watermark(spark, table, watermark) if watermark and exists else None
-    if method == "auto":
-        method = "merge" if exists and table_provider(spark, table) in MERGE_PROVIDERS else "snapshot"
-    if method == "merge":
-        upsert_frame(None, batch, keys)          # the batch-key check only
-        merge_into(batch, table, keys)
-        path = table_location(spark, table)
-    elif method == "snapshot":
-        result = upsert_frame(target, batch, keys)
-        path = write_snapshot(result, table, root, run_id)
-    else:
-        raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
-    if watermark:
-        advance_watermark(batch, table, watermark, previous)
-    return path
-
-
-def advance_watermark(batch: DataFrame, table: str, watermark: str, previous: str | None) -> None:
-    """Record the larger of the previous mark and the (small) batch's maximum."""
-    batch_max = batch.agg(F.max(F.col(watermark)).cast("string").alias("m")).first()["m"]
-    candidates = [v for v in (previous, batch_max) if v is not None]
-    if candidates:
-        numeric = isinstance(batch.schema[watermark].dataType, T.NumericType)
-        newest = max(candidates, key=float if numeric else str)  # ISO text sorts by time
-        record_watermark(batch.sparkSession, table, watermark, newest)
+    if exists and watermark and previous is None:
+        previous = target.agg(F.max(watermark).cast("string")).first()[0]
+    with Scratch(spark) as keep:
+        batch = keep(batch if target is None else fitted(batch, target), "batch")
+        facts = _checked(batch, table, keys, require_keys)
+        if check is not None:
+            check(batch)
+        if exists and not facts.rows:
+            return table_location(spark, table)      # nothing new: no rewrite of the target
+        if method == "auto":
+            method = "merge" if exists and table_provider(spark, table) in MERGE_PROVIDERS else "snapshot"
+        if method == "merge":
+            merge_into(batch, table, keys)
+            path = table_location(spark, table)
+        elif method == "snapshot":
+            path = write_snapshot(upsert_frame(target, batch, keys, facts=facts), table, root, run_id)
+        else:
+            raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
+        if watermark:
+            advance_watermark(batch, table, watermark, previous)
+        return path
 
 
 def key_bucket(keys, buckets: int):
+    """Bucket of a key: 0 and up by its hash; rows with a null key are dealt over as many
+    buckets below 0, by chance, since they are only ever appended."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    hashed = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
+    loose = -1 - F.floor(F.rand(11) * buckets)
+    return F.when(not_null(keys), hashed).otherwise(loose).cast("int")
 
 
-def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, buckets: int = 1024,
-                         bucket_col: str = "_key_bucket", watermark: str | None = None) -> None:
+def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, buckets: int | None = None,
+                         watermark: str | None = None, check_schema: bool = False,
+                         require_keys: bool = False, check=None) -> None:
     """Upsert that rewrites only the key buckets present in the batch.
 
-    The table is stored partitioned by ``bucket_col = pmod(xxhash64(keys), buckets)``.
-    The set of touched buckets is bounded by ``buckets``; the target read is
-    pruned to them (partition filter), the upsert runs per bucket, and dynamic
-    partition overwrite replaces just those partitions.  All null keys share
-    one bucket.  ``watermark`` as in ``upsert_table``.
+    The table is stored partitioned by ``_key_bucket``, the hash of the key modulo
+    ``buckets``.  That number is given when the table is created (take it so that a bucket
+    is a few hundred MB) and kept as a table property; a later call takes it from there and
+    refuses another one.  The target read is pruned to the touched buckets (a partition
+    filter of at most ``buckets`` values), the upsert runs per bucket, and dynamic partition
+    overwrite replaces just those partitions.  Rows with a null key are appended to buckets
+    of their own and never read or rewritten.  The batch's keyed rows are published in one
+    step, its null-key rows in a second.  Other options as in ``upsert_table``.
     """
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
-    batch = materialize(batch.withColumn(bucket_col, key_bucket(keys, buckets)), "batch")
-    if not table_exists(spark, table):
-        (batch.hint("rebalance", bucket_col).write.partitionBy(bucket_col).format("parquet")
-         .option("path", path).saveAsTable(table))
-        if watermark:
-            advance_watermark(batch, table, watermark, None)
-        return
-    if batch.isEmpty():
-        return                                   # nothing new: no partition rewritten
-    previous = stored_watermark(spark, table, watermark) if watermark else None
-    touched = [r[0] for r in batch.select(bucket_col).distinct().collect()]  # <= buckets values
-    target = spark.table(table).where(F.col(bucket_col).isin(touched))
-    result = upsert_frame(target, batch.select(*target.columns), keys + [bucket_col])
-    result = materialize(result.select(*target.columns), "result")  # never overwrite what is read
+    exists = table_exists(spark, table)
+    if exists:
+        stored = _properties(spark, table).get(BUCKETS_PROPERTY)
+        if stored is None or buckets not in (None, int(stored)):
+            raise ValueError(f"{table} is stored in {stored or 'no'} key buckets, not {buckets}")
+        buckets = int(stored)
+    elif not buckets:
+        raise ValueError("a new table needs its number of key buckets")
+    target = spark.table(table) if exists else None
+    if exists and check_schema:
+        assert_same_schema(batch, target.drop(BUCKET_COL))
+    previous = stored_watermark(spark, table, watermark) if watermark and exists else None
+    if exists and watermark and previous is None:
+        previous = target.agg(F.max(watermark).cast("string")).first()[0]
+    with Scratch(spark) as keep:
+        fit = batch if target is None else fitted(batch, target.drop(BUCKET_COL))
+        batch = keep(fit.withColumn(BUCKET_COL, key_bucket(keys, buckets)), "batch")
+        facts = _checked(batch, table, keys, require_keys)
+        if check is not None:
+            check(batch.drop(BUCKET_COL))
+        if not exists:
+            (batch.hint("rebalance", BUCKET_COL).write.partitionBy(BUCKET_COL).format("parquet")
+             .option("path", path).saveAsTable(table))
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{buckets}')")
+        elif facts.rows:
+            touched = [r[0] for r in batch.where(F.col(BUCKET_COL) >= 0).select(BUCKET_COL).distinct().collect()]
+            if touched:
+                held = target.where(F.col(BUCKET_COL).isin(touched))
+                keyed = batch.where(F.col(BUCKET_COL) >= 0).select(*target.columns)
+                # Stored first: a table must not be overwritten while it is read.
+                result = keep(upsert_frame(held, keyed, [*keys, BUCKET_COL], check_unique=False, facts=facts), "result")
+                _insert(result.select(*target.columns), table, overwrite=True)
+            if facts.null_rows:
+                _insert(batch.where(F.col(BUCKET_COL) < 0).select(*target.columns), table, overwrite=False)
+        if watermark and (facts.rows or not exists):
+            advance_watermark(batch, table, watermark, previous)
+
+
+def _insert(rows: DataFrame, table: str, overwrite: bool) -> None:
+    """Replace or extend only the partitions that ``rows`` has; large ones are split over tasks."""
+    spark = rows.sparkSession
     key = "spark.sql.sources.partitionOverwriteMode"
-    mode_before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")        # replace only the partitions written
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
     try:
-        # Cluster rows by bucket (few files per bucket); AQE splits a hot
-        # bucket (all null keys share one) over several tasks.
-        result.hint("rebalance", bucket_col).write.mode("overwrite").insertInto(table)
+        rows.hint("rebalance", BUCKET_COL).write.mode("overwrite" if overwrite else "append").insertInto(table)
     finally:
-        spark.conf.set(key, mode_before)
-    if watermark:
-        advance_watermark(batch, table, watermark, previous)
+        spark.conf.set(key, before)
+    spark.catalog.refreshTable(table)

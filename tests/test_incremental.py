@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadsmith import schemas
-from loadsmith.operators import DataCheckError, lookup_join, upsert_frame
+from loadsmith.operators import DataCheckError, latest_per_key, lookup_join, upsert_frame
+from loadsmith.operators._sizing import key_facts
 from loadsmith.plans import validation_stage
 from loadsmith.sources import incremental_scan
 from tests.conftest import plan_text
@@ -105,8 +106,10 @@ def test_null_batch_keys_append(spark):
 def test_duplicate_batch_key_fails(spark):
     target = spark.createDataFrame([(1, "a")], "k long, v string")
     batch = spark.createDataFrame([(2, "x"), (2, "y")], "k long, v string")
-    with pytest.raises(DataCheckError):
-        upsert_frame(target, batch, "k")
+    with pytest.raises(Exception, match="batch keys must be unique: key \\(2\\) occurs 2 times"):
+        upsert_frame(target, batch, "k").collect()
+    with pytest.raises(DataCheckError):                     # at once, with the batch's statistics
+        upsert_frame(target, batch, "k", facts=key_facts(batch, "k"))
 
 
 def test_schema_drift_fails(spark):
@@ -123,29 +126,69 @@ def test_lookup_keeps_left_rows_and_rejects_duplicates(spark):
     assert out.count() == 3
     assert sorted(r.NAME for r in out.collect()) == ["NONE", "NONE", "one"]
     dup = spark.createDataFrame([(1, "one"), (1, "uno")], "k long, name string")
-    with pytest.raises(DataCheckError):
-        lookup_join(left, dup, "k", {"NAME": ("name", "NONE")})
+    with pytest.raises(Exception, match="lookup keys must be unique: key \\(1\\)"):
+        lookup_join(left, dup, "k", {"NAME": ("name", "NONE")}).collect()
     assert lookup_join(left, dup, "k", {"NAME": ("name", "NONE")}, on_duplicate="fanout").count() == 4
 
 
-def test_shuffle_paths_salt_null_keys(spark):
-    """Without broadcast, null keys are salted; results equal the broadcast path."""
+@pytest.mark.parametrize("rows", [10, 50_000])
+def test_duplicate_rule_is_the_same_at_every_size(spark, scratch, rows):
+    """Only keys that a left row meets count, in a small lookup as in a large stored one."""
+    lk = spark.range(rows).selectExpr("id AS k", "concat('v', id) AS v").union(
+        spark.createDataFrame([(rows - 1, "dup")], "k long, v string"))
+    lk.write.parquet(f"{scratch}/lk")
+    lk = spark.read.parquet(f"{scratch}/lk")
+    unused = spark.createDataFrame([(1,), (2,), (-5,)], "k long")
+    assert sorted((r.k, r.V) for r in lookup_join(unused, lk, "k", {"V": ("v", "NONE")}).collect()) == \
+        [(-5, "NONE"), (1, "v1"), (2, "v2")]
+    with pytest.raises(Exception, match="must be unique"):
+        lookup_join(spark.createDataFrame([(rows - 1,)], "k long"), lk, "k", {"V": ("v", "NONE")}).collect()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_null_keys_go_around_the_joins(spark, threshold):
+    """Same results with and without broadcast; left columns of any type."""
     from loadsmith.operators import existence_flag
-    from tests.conftest import plan_text
-
-    left = spark.createDataFrame([(i, None if i % 3 == 0 else i % 7) for i in range(300)], "row long, k long")
-    lk = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "k long, name string")
-    shuffled = lookup_join(left, lk, "k", {"NAME": ("name", "NONE")}, broadcast=False, restrict=False)
-    broadcast = lookup_join(left, lk, "k", {"NAME": ("name", "NONE")}, broadcast=True, restrict=False)
-    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, broadcast.collect()))
-    assert "xxhash64" in plan_text(shuffled)
-    flags = existence_flag(left, "k", lk, "k", name="F", probe=None)
-    assert sorted((r.row, r.F) for r in flags.collect()) == \
-        sorted((r.row, "Y" if r.k is not None and r.k < 5 else "N") for r in left.collect())
-    target = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (2, "d")], "k long, v string")
-    batch = spark.createDataFrame([(2, "D"), (3, "e")], "k long, v string")
-    out = upsert_frame(target, batch, "k", broadcast=False, check_unique=False)
-    assert sorted(map(str, out.collect())) == sorted(map(str, upsert_frame(target, batch, "k").collect()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        left = spark.createDataFrame([(i, None if i % 3 == 0 else i % 7) for i in range(300)], "row long, k long") \
+            .withColumn("nested", F.struct(F.create_map(F.lit("a"), F.col("row"))))
+        lk = spark.createDataFrame([(k, f"n{k}") for k in range(5)] + [(None, "null")], "k long, name string")
+        out = lookup_join(left, lk, "k", {"NAME": ("name", "NONE")})
+        expected = {r.row: f"n{r.k}" if r.k is not None and r.k < 5 else "NONE" for r in left.collect()}
+        assert {r.row: r.NAME for r in out.collect()} == expected and out.count() == 300
+        flags = existence_flag(left, "k", lk, "k", name="F")
+        assert {r.row: r.F for r in flags.collect()} == {k: "N" if v == "NONE" else "Y" for k, v in expected.items()}
+        target = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (2, "d")], "k long, v string")
+        batch = spark.createDataFrame([(2, "D"), (3, "e")], "k long, v string")
+        for facts in (None, key_facts(batch, "k")):
+            got = upsert_frame(target, batch, "k", facts=facts)
+            assert sorted(map(str, map(tuple, got.collect()))) == \
+                sorted(map(str, [(None, "a"), (None, "b"), (1, "c"), (2, "D"), (3, "e")]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_key_facts(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("bcd", 2), (None, 3), ("x", None)], "s string, n int")
+    facts = key_facts(df, ["s", "n"])
+    assert (facts.rows, facts.null_rows, facts.keys, facts.top) == (5, 2, 2, 2)
+    assert facts.bytes == (1 + 16 + 64) + (3 + 16 + 64) and facts.fits() and not facts.fits(100)
+    empty = key_facts(df.where("false"), "s")
+    assert (empty.rows, empty.keys, empty.top, empty.bytes) == (0, 0, 0, 0)
+
+
+def test_latest_per_key_keeps_every_row_it_should(spark):
+    ts = TS
+    rows = [(1, None, "only"), (2, None, "old"), (2, ts(2024, 1, 1), "new"), (None, ts(2024, 1, 1), "n1"), (None, None, "n2"),
+            (3, ts(2024, 1, 2), "b"), (3, ts(2024, 1, 2), "a")]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, v string")
+    got = sorted(((r.k, r.v) for r in latest_per_key(df, "k", "t").collect()), key=str)
+    assert got == sorted([(1, "only"), (2, "new"), (None, "n1"), (None, "n2"), (3, "a")], key=str)
+    text = plan_text(latest_per_key(df, "k", "t"))
+    assert "SortAggregate" not in text and "WindowGroupLimit" in text
 
 
 def test_partitioned_source_prunes_partitions(spark, scratch):
@@ -170,12 +213,3 @@ def test_plan_build_with_partitioned_source(spark, scratch):
     batch = validation_stage.build(src, target, RUN2, partition_col="LOAD_DAY")
     assert sorted(r.DATA_SRC_VAL_ID for r in batch.collect()) == [4, 5]
     assert "LOAD_DAY" not in batch.columns
-
-
-def test_spread_only_small_inputs(spark):
-    from loadsmith.sources.tables import spread
-
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 8).rdd.getNumPartitions() == 8
-    many = spark.range(1000).repartition(20)
-    assert spread(many, 64).rdd.getNumPartitions() == 20     # many splits: left alone

@@ -89,20 +89,6 @@ def test_plan_load_two_runs_records_watermark(spark, scratch):
     assert stored_watermark(spark, "t_val", "LAST_UPDT_TS") == "2024-01-05 00:00:00"
 
 
-def test_lookup_restricted_to_batch_keys(spark):
-    """A large lookup is semi-joined to the batch keys; duplicates elsewhere are ignored."""
-    from loadsmith.operators import lookup_join
-
-    lookup = spark.range(0, 2000).selectExpr("id AS k", "concat('v', id) AS v").union(
-        spark.createDataFrame([(1999, "dup")], "k long, v string"))
-    batch = spark.createDataFrame([(1,), (2,), (5000,)], "k long")
-    out = lookup_join(batch, lookup, "k", {"V": ("v", "NONE")}, max_broadcast_rows=100)
-    assert sorted((r.k, r.V) for r in out.collect()) == [(1, "v1"), (2, "v2"), (5000, "NONE")]
-    with pytest.raises(DataCheckError):
-        lookup_join(spark.createDataFrame([(1999,)], "k long"), lookup, "k", {"V": ("v", "NONE")},
-                    max_broadcast_rows=100)
-
-
 def test_merge_is_refused_for_parquet_and_auto_falls_back(spark, scratch):
     from loadsmith.sources.sinks import merge_into, table_provider
 
@@ -137,3 +123,74 @@ def test_bucket_upsert_null_keys_append(spark, scratch):
     spark.catalog.refreshTable("t_bnull")
     rows = sorted((r.k if r.k is not None else -1, r.v) for r in spark.table("t_bnull").collect())
     assert rows == [(-1, "n1"), (-1, "n2"), (-1, "n3"), (1, "A")]
+
+
+def test_bucket_count_is_stored_and_checked(spark, scratch):
+    first = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "k long, v string")
+    with pytest.raises(ValueError, match="number of key buckets"):
+        upsert_table_buckets(first, "t_nb", "k", f"{scratch}/t_nb")
+    upsert_table_buckets(first, "t_nb", "k", f"{scratch}/t_nb", buckets=8)
+    with pytest.raises(ValueError, match="stored in 8"):
+        upsert_table_buckets(first, "t_nb", "k", f"{scratch}/t_nb", buckets=16)
+    upsert_table_buckets(first, "t_nb", "k", f"{scratch}/t_nb")
+    assert spark.table("t_nb").count() == 50
+
+
+def test_first_bucket_load_checks_keys(spark, scratch):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(DataCheckError):
+        upsert_table_buckets(twice, "t_b1", "k", f"{scratch}/t_b1", buckets=4)
+    assert not spark.catalog.tableExists("t_b1")
+
+
+def test_null_keys_are_spread_and_never_rewritten(spark, scratch):
+    import os
+
+    first = spark.range(200).selectExpr("CAST(NULL AS LONG) AS k", "id AS v")
+    upsert_table_buckets(first, "t_bn", "k", f"{scratch}/t_bn", buckets=8)
+    parts = {r[0] for r in spark.table("t_bn").select("_key_bucket").distinct().collect()}
+    assert len(parts) > 3 and max(parts) < 0
+    old = {f for d, _, names in os.walk(f"{scratch}/t_bn") for f in names if f.endswith(".parquet")}
+    upsert_table_buckets(spark.createDataFrame([(None, 1), (5, 2)], "k long, v long"), "t_bn", "k", f"{scratch}/t_bn")
+    new = {f for d, _, names in os.walk(f"{scratch}/t_bn") for f in names if f.endswith(".parquet")}
+    assert old <= new and spark.table("t_bn").count() == 202
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_a_batch_that_does_not_fit_is_never_published(spark, scratch, buckets):
+    """Target int, batch bigint: values that fit are cast, others fail; the table stays readable."""
+    name = f"t_fit{buckets}"
+
+    def write(rows):
+        if buckets:
+            upsert_table_buckets(rows, name, "k", f"{scratch}/{name}", buckets=buckets)
+        else:
+            upsert_table(rows, name, "k", f"{scratch}/{name}")
+
+    write(spark.createDataFrame([(1, 1)], "k long, v int"))
+    write(spark.createDataFrame([(2, 2)], "k long, v long"))
+    assert sorted((r.k, r.v) for r in spark.table(name).collect()) == [(1, 1), (2, 2)]
+    with pytest.raises(Exception, match="v does not fit int"):
+        write(spark.createDataFrame([(3, 2 ** 40)], "k long, v long"))
+    with pytest.raises(DataCheckError, match="schema change"):
+        write(spark.createDataFrame([(3, 3, 3)], "k long, v int, w int"))
+    assert dict(spark.table(name).dtypes)["v"] == "int" and spark.table(name).count() == 2
+
+
+def test_rebuild_replaces_the_schema(spark, scratch):
+    write_full(spark.createDataFrame([(1, "a")], "k long, v string"), "t_reb", f"{scratch}/t_reb")
+    write_full(spark.createDataFrame([(1, "a", 2.0)], "k long, v string, w double"), "t_reb", f"{scratch}/t_reb")
+    assert spark.table("t_reb").columns == ["k", "v", "w"] and spark.table("t_reb").first().w == 2.0
+
+
+def test_sources_are_checked_and_cast(spark):
+    from loadsmith import schemas
+
+    text = spark.createDataFrame([("10", "Sales", "X")], "DEPTNO string, DNAME string, LOC string")
+    assert typed_source(text, schemas.DEPT).schema == schemas.DEPT and typed_source(text, schemas.DEPT).first().DEPTNO == 10
+    bad = spark.createDataFrame([("ten", "Sales", "X")], "DEPTNO string, DNAME string, LOC string")
+    with pytest.raises(Exception, match="DEPTNO does not fit bigint"):
+        typed_source(bad, schemas.DEPT).collect()
+    path = spark.createDataFrame([(10.5, "a", "b")], "DEPTNO double, DNAME string, LOC string")
+    with pytest.raises(Exception, match="DEPTNO does not fit bigint"):
+        typed_source(path, schemas.DEPT).collect()
