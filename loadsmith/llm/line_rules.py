@@ -97,11 +97,10 @@ def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", h
     hosts = src.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     often = holders.where(F.col("n") > least_docs).join(hosts, "host") \
         .where(F.col("n") > F.greatest(F.lit(float(least_docs)), F.lit(share) * F.col("docs"))).select("host", "h1", "h2", "n")
-    # Rows equal in id and text count as one document here (each would add its lines again).
-    per_line = lines.groupBy("doc", "text_hash", "host", "h1", "h2").agg(F.sum("words").alias("words"), F.count("*").alias("lines"))
+    # Rows equal in id, text and host meet here; each line of theirs counts once a row below.
     rows = src.groupBy("doc", "text_hash", "host").agg(F.count("*").alias("rows"))
-    hit = per_line.join(often.select("h1", "h2", F.lit(True).alias("often")), ["h1", "h2"]) \
-        .groupBy("doc", "text_hash", "host").agg(F.sum("words").alias("words"), F.sum("lines").alias("lines"),
+    hit = lines.join(often.select("h1", "h2"), ["h1", "h2"]) \
+        .groupBy("doc", "text_hash", "host").agg(F.sum("words").alias("words"), F.count("*").alias("lines"),
                                                  F.collect_set(F.struct("h1", "h2")).alias("hashes"))
     hit = hit.join(rows, (hit.doc.eqNullSafe(rows.doc)) & (hit.text_hash == rows.text_hash) & (hit.host == rows.host)).select(
         hit.doc.alias("_doc"), hit.text_hash.alias("_hash"), hit.host.alias("_host"),
