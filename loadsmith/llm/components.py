@@ -9,7 +9,7 @@ from loadsmith.scratch import remove, scratch_path
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node that has an edge; root is the smallest node reachable.
+    """(node, root) of every node that reaches a smaller one; root is the smallest of these.
 
     Alternating star operations: large stars link each larger neighbour to the smallest
     one, small stars the smaller ones, until nothing changes (a few rounds; each halves

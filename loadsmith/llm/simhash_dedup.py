@@ -205,7 +205,10 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     keepers = materialize(keepers.groupBy(F.col(id_col).alias("_keeper"), F.col("text_hash").alias("_hash"))
                           .agg(F.count("*").alias("_copies")), "keepers")
     same = docs[id_col].cast("long").eqNullSafe(keepers["_keeper"]) & (F.xxhash64(docs[text_col]) == keepers["_hash"])
-    kept = docs.join(keepers, same)
-    once = kept.where("_copies = 1").select(*[docs[c] for c in docs.columns])
-    again = kept.where("_copies > 1").dropDuplicates(["_keeper", "_hash"]).select(*[docs[c] for c in docs.columns])
+    columns = [docs[c] for c in docs.columns]
+    repeated = keepers.where("_copies > 1")
+    if repeated.isEmpty():
+        return docs.join(keepers, same, "left_semi")
+    once = docs.join(keepers.where("_copies = 1"), same, "left_semi")
+    again = docs.join(repeated, same).dropDuplicates(["_keeper", "_hash"]).select(*columns)
     return once.unionByName(again)
