@@ -83,15 +83,30 @@ def main():
          snapshot_sec=timed(lambda: upsert_table(few, "bench_snap", "K", f"{scratch}/snap",
                                                  run_id=str(next(runs)))),
          buckets_sec=timed(lambda: upsert_table_buckets(few, "bench_bkt1k", "K",
-                                                         f"{scratch}/bkt1k", buckets=1024)))
+                                                         f"{scratch}/bkt1k")))
 
-    # 3. existence flag: proven-small broadcast vs shuffle join.
+    # bytes that the bucket upsert writes, for batches of growing size
+    import pathlib
+
+    for step in (60_000, 6_000, 600, 60):
+        part = rows.where(F.col("l_orderkey") % step == 0).withColumn("l_quantity", F.col("l_quantity") + 3)
+        began = time.time()
+        upsert_table_buckets(part, "bench_bkt1k", "K", f"{scratch}/bkt1k")
+        files = [f for f in pathlib.Path(f"{scratch}/bkt1k").rglob("*.parquet")]
+        emit("bucket_upsert_bytes", batch_rows=part.count(), written=sum(f.stat().st_size for f in files if f.stat().st_mtime >= began),
+             table=sum(f.stat().st_size for f in files))
+
+    # 3. existence flag: broadcast by file size vs shuffle join.
     emp = si.employees(si.table(spark, sf, "orders"))
-    emit("existence_flag",
-         broadcast_sec=timed(lambda: noop(existence_flag(emp, "EMPLOYEE_ID", emp, "MANAGER_ID",
-                                                         name="M", probe="other"))),
-         shuffle_sec=timed(lambda: noop(existence_flag(emp, "EMPLOYEE_ID", emp, "MANAGER_ID",
-                                                       name="M", probe=None))))
+
+    def flag(threshold):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+        return timed(lambda: noop(existence_flag(emp, "EMPLOYEE_ID", emp, "MANAGER_ID", name="M")))
+
+    emit("existence_flag", broadcast_sec=flag("64m"), shuffle_sec=flag("-1"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4m")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
 
     # 4. wide projection: label filter only vs label + pushable raw filter, stored source.
     emp_path = f"{scratch}/employees"
@@ -100,12 +115,12 @@ def main():
     today = run_date(si.RUN_STD)
 
     def label_only():
-        full = stg_employee.build(stored, si.RUN_STD, keep_invalid=True)
+        full = stg_employee.build(stored, si.RUN_STD, keep_invalid=True, cast=False)
         return full.where((F.col("EMPLOYEE_STATUS") == "ACTIVE") & (F.col("DATA_QUALITY_FLAG") == "VALID"))
 
     emit("wide_projection", rows=stored.count(),
          label_filter_sec=timed(lambda: noop(label_only())),
-         pushable_filter_sec=timed(lambda: noop(stg_employee.build(stored, si.RUN_STD))),
+         pushable_filter_sec=timed(lambda: noop(stg_employee.build(stored, si.RUN_STD, cast=False))),
          pushable_rows=stored.where(rules.active_valid_pushable(today=today)).count())
     spark.stop()
 

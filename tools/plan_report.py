@@ -23,12 +23,12 @@ by `tools/plan_report.py`.  Only the plan tree and the scan lines are kept.
 
 How to read them for scale:
 
-* `BroadcastHashJoin ... BuildRight` over a `BroadcastQueryStage`: the small side
-  was proven small first (key statistics or a bounded probe) or measured by
-  AQE; the other side is not shuffled.
-* `Exchange` right above a scan of a one-file test table: the round-robin
-  spread of small inputs (`sources.tables.spread`); absent when a source has
-  at least as many splits as there are cores, i.e. at any real scale.
+* Only the query's last plan is shown.  Queries that load twice (the incremental plans, the
+  `*_roundtrip` and `change_tag` queries) write scratch or target tables before it; the
+  jobs that made those are not in this file.
+* `BroadcastHashJoin`: a side whose files hold less than `autoBroadcastJoinThreshold`, or
+  that AQE measured as small; the other side is not shuffled (in the first case).
+* `Union` under a lookup, flag or upsert: rows with a null key go around the join.
 * `Scan parquet` of a `loadsmith-*` folder: data written once under
   `spark.checkpoint.dir` (a batch, a first-run target, a key set) and read back.
 * `PushedFilters` / `ReadSchema`: predicates and columns that reach the Parquet
