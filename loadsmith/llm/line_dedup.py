@@ -172,10 +172,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "cuts")
     cuts = materialize(cuts, "cuts")
     same = docs[id_col].cast("long").eqNullSafe(cuts["_doc"]) & (F.xxhash64(docs[text_col]) == cuts["_hash"])
-    joined = docs.join(cuts, same, "left")
+    # Always by a shuffle: what is cut grows with the documents, so no size of it is broadcast.
+    joined = docs.join(cuts.hint("merge"), same, "left")
     names = docs.columns
     cut = F.expr(f"transform(array(cast(the_text as binary)), raw -> {_CUT})[0]")
-    held = joined.select(F.struct(*[docs[c] for c in names]).alias("row"), docs[text_col].alias("the_text"), "cuts")
+    held = joined.select(F.struct(*[docs[c] for c in names]).alias("row"), docs[text_col].alias("the_text"), cuts["cuts"].alias("cuts"))
     text = F.when(F.col("cuts").isNull(), F.col("the_text")).otherwise(cut)
     extra = [F.coalesce(F.size("cuts"), F.lit(0)).alias(removed_col)] if removed_col else []
     return held.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in names], *extra)
