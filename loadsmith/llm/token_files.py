@@ -37,17 +37,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadsmith.scratch import materialize
+
 MAGIC = b"TOKBLK01"
 HEAD = struct.Struct("<8s32sII")
 # The dictionary: its bytes, and the sample it is trained on (documents of at most so many
-# characters, the smallest hashes of their ids).
+# characters, picked by a hash of their ids).
 DICT_BYTES = 64 * 1024
 SAMPLE_DOCS = 1_000
 SAMPLE_CHARS = 20_000
+RATE_STEPS = 10_000_000
 LEVEL = 3
 # A block closes at so many compressed bytes or documents.
 BLOCK_BYTES = 2_000_000
 BLOCK_DOCS = 4_096
+# Starts of so many shards (16 bytes each) are sent to the readers; more are joined by a shuffle.
+BROADCAST_SHARDS = 1_000_000
 
 BLOCKS = T.StructType([
     T.StructField("shard", T.IntegerType()), T.StructField("shard_start", T.LongType()),
@@ -73,10 +78,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, *, id_col: st
 
     from loadsmith.llm._tokens import SegmentEncoder
 
-    sample = (docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", F.lit(17)).alias("h"))
-              .where((F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS))
-              .orderBy("h", "text").limit(SAMPLE_DOCS))
-    texts = [r.text for r in sample.select("text").collect()]
+    src = docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", F.lit(17)).alias("h"))
+    # About SAMPLE_DOCS documents: a share of the hashes, known from the number of rows.
+    share = min(RATE_STEPS, max(1, round(RATE_STEPS * SAMPLE_DOCS / max(1, docs.count()))))
+    sample = src.where((F.pmod("h", F.lit(RATE_STEPS)) < share) & F.length("text").between(1, SAMPLE_CHARS))
+    texts = sorted(r.text for r in sample.select("text").collect())
     if len(texts) < 16:
         return b""
     kind = f"<u{id_width(tokenizer)}"
@@ -131,7 +137,8 @@ def _write_task(tokenizer: str, end_id: int, dictionary: bytes, width: int):
 
         def closed():
             block = pack_block(digest, width, docs, counts, frames)
-            row = [shard, start, docs[0], docs[-1], len(docs), sum(counts), block]
+            known = [d for d in docs if d is not None]
+            row = [shard, start, known[0] if known else None, known[-1] if known else None, len(docs), sum(counts), block]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(row, [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(),
                                                         pa.int64(), pa.binary()], strict=True)], names=BLOCKS.names)
@@ -209,6 +216,9 @@ def read_token_files(spark: SparkSession, path: str, doc_ids=None) -> DataFrame:
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")) \
         .select("shard", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
+    shards = materialize(shards, "shards")
+    if shards.count() <= BROADCAST_SHARDS:
+        shards = F.broadcast(shards)
     wanted = None
     if doc_ids is not None:
         wanted = frozenset(doc_ids)
