@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -33,11 +34,15 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 _WS = "\t-\r \x85\xa0  -     　"
 _LEAD = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 
-# Segments kept by one worker in each of two generations, and twice as many pre-tokens (about
-# 200 bytes each).
-CACHE_SEGMENTS = 250_000
-# Longer segments are encoded but not kept, so the cache is bounded in bytes too.
+# Segments and pre-tokens kept by one worker, in each of two generations (about 200 bytes each).
+CACHE_SEGMENTS = 200_000
+CACHE_PIECES = 500_000
+# Longer ones are encoded but not kept, so the caches are bounded in bytes too.
 CACHE_CHARS = 64
+# Up to here all characters have long been assigned (Latin and combining marks).
+OLD_LETTERS = "\u036f"
+# A mark at the end of a word, which is a pre-token of its own in both families.
+_END_MARKS = frozenset(".,!?:;|)")
 
 
 def _rule(spec: dict) -> str:
@@ -55,30 +60,26 @@ def _rule(spec: dict) -> str:
     return ""
 
 
-class TwoGenerations:
-    """A bounded cache: when the young dict is full it becomes the old one, and what is
+class Cache:
+    """A bounded dict of short strings: when ``young`` is full it becomes ``old``, and what is
     still in use moves back."""
 
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def known(self, keys, found: dict) -> list:
-        """Put what is cached into ``found``; the rest is returned."""
-        young, old, rest = self.young, self.old, []
-        for k in keys:
-            v = young.get(k)
-            if v is None:
-                v = old.get(k)
-            if v is None:
-                rest.append(k)
-            else:
-                found[k] = v
-        return rest
+    def older(self, keys: set) -> dict:
+        """What the old generation has of ``keys`` (which the young one lacks); it moves back."""
+        old = self.old
+        found = {k: old[k] for k in keys if k in old}
+        self.keep(found)
+        return found
 
     def keep(self, items: dict) -> None:
         if len(self.young) + len(items) > self.size:
             self.old, self.young = self.young, {}
-        self.young.update((k, v) for k, v in items.items() if len(k) <= CACHE_CHARS)
+        if max(map(len, items), default=0) > CACHE_CHARS:
+            items = {k: v for k, v in items.items() if len(k) <= CACHE_CHARS}
+        self.young.update(items)
 
 
 class SegmentEncoder:
@@ -88,7 +89,7 @@ class SegmentEncoder:
     pattern in its file), so that ``word`` and ``word,`` share one library call.
     """
 
-    def __init__(self, path: str, cache: int = CACHE_SEGMENTS):
+    def __init__(self, path: str, segments: int = CACHE_SEGMENTS, pieces: int = CACHE_PIECES):
         import regex
         from tokenizers import Tokenizer
 
@@ -98,34 +99,52 @@ class SegmentEncoder:
         self.pieces_of = regex.compile(WORD_PATTERN if self.rule == "drop" else BYTE_PATTERN).findall
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
-        self.segments, self.pieces = TwoGenerations(cache), TwoGenerations(2 * cache)
+        self.segments, self.pieces = Cache(segments), Cache(pieces)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, seg: str) -> list[str]:
+        """The pre-tokens of a segment; letters with a mark at the end need no pattern.
+
+        Beyond OLD_LETTERS what counts as a letter depends on the Unicode version, so there
+        a segment is left to the library as it is.
+        """
+        if seg and max(seg) > OLD_LETTERS:
+            return [seg]
         if self.rule == "drop":
             low = seg.lower()
             if not seg.isascii() and ("\u03a3" in seg or not is_normalized("NFC", seg)
                                       or not is_normalized("NFC", low)):
                 return [seg]                        # lower-casing or composing needs the whole segment
-            seg = low
+            seg = word = low
+        else:
+            word = seg[1:] if seg[:1] == " " else seg
+        if word.isalpha():
+            return [seg]
+        if word[-1:] in _END_MARKS and word[:-1].isalpha():
+            return [seg[:-1], seg[-1]]
         return self.pieces_of(seg)
 
-    def _learn(self, words) -> dict[str, bytes]:
-        """Ids of segments that the young generation lacks."""
-        got: dict[str, bytes] = {}
-        new = self.segments.known(words, got)
-        parts = [self._pieces(w) for w in new]
-        ids: dict[str, bytes] = {}
-        unknown = self.pieces.known(set().union(*parts), ids)
+    def _learn(self, missing: set) -> dict[str, bytes]:
+        """Ids of segments that the young generation lacks.  Only a segment whose pre-tokens were
+        all seen before is kept: most of the others never come again."""
+        got = self.segments.older(missing)
+        words = list(missing.difference(got))
+        parts = list(map(self._pieces, words))
+        needed = set(chain.from_iterable(parts))
+        absent = needed.difference(self.pieces.young)
+        ids = {p: self.pieces.young[p] for p in needed.difference(absent)}
+        ids |= self.pieces.older(absent)
+        unknown = list(absent.difference(ids))
         fresh = dict(zip(unknown, self._library(unknown), strict=True))
         self.pieces.keep(fresh)
-        ids.update(fresh)
-        got.update((w, b"".join([ids[p] for p in x])) for w, x in zip(new, parts, strict=True))
-        self.segments.keep(got)
-        return got
+        ids |= fresh
+        made = {w: ids[x[0]] if len(x) == 1 else b"".join([ids[p] for p in x])
+                for w, x in zip(words, parts, strict=True)}
+        self.segments.keep({w: made[w] for w, x in zip(words, parts, strict=True) if fresh.keys().isdisjoint(x)})
+        return got | made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.rule:
@@ -136,7 +155,7 @@ class SegmentEncoder:
             cut = [_LEAD.findall(t) for t in texts]
         get = self.segments.young.get
         found = [list(map(get, segs)) for segs in cut]
-        lacks = [None in ids for ids in found]
+        lacks = [not all(ids) for ids in found]     # a segment is unknown, or has no ids
         missing = {s for segs, ids, lack in zip(cut, found, lacks, strict=True) if lack
                    for s, i in zip(segs, ids, strict=True) if i is None}
         extra = self._learn(missing) if missing else {}

@@ -37,7 +37,7 @@ class PieceModel:
         import ahocorasick
         from sentencepiece import sentencepiece_model_pb2 as pb
 
-        from loadsmith.llm._tokens import TwoGenerations, CACHE_SEGMENTS
+        from loadsmith.llm._tokens import CACHE_SEGMENTS, Cache
 
         proto = pb.ModelProto()
         with open(path, "rb") as f:
@@ -66,7 +66,7 @@ class PieceModel:
         self.unknown_score = lowest - UNKNOWN_PENALTY
         self.words = None if crossing else re.compile(
             f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if "\n" not in alphabet else f"{MARK}*[^{MARK}]+|{MARK}+").findall
-        self.cache = TwoGenerations(CACHE_SEGMENTS)
+        self.cache = Cache(CACHE_SEGMENTS)
 
     def _unknown_ids(self, char: str) -> list[int]:
         if len(self.bytes) < 256:
@@ -107,12 +107,16 @@ class PieceModel:
         if self.words is None:
             return [np.asarray(self.segment(t), "<u4").tobytes() for t in marked]
         cut = [self.words(t) for t in marked]
-        ids: dict[str, bytes] = {}
-        new = self.cache.known(set().union(*cut), ids)
-        fresh = {w: np.asarray(self.segment(w), "<u4").tobytes() for w in new}
-        self.cache.keep(fresh)
-        ids.update(fresh)
-        return [b"".join(map(ids.__getitem__, words)) for words in cut]
+        get = self.cache.young.get
+        found = [list(map(get, words)) for words in cut]
+        missing = {w for words, ids in zip(cut, found, strict=True) if not all(ids)
+                   for w, i in zip(words, ids, strict=True) if i is None}
+        fresh = self.cache.older(missing)
+        made = {w: np.asarray(self.segment(w), "<u4").tobytes() for w in missing.difference(fresh)}
+        self.cache.keep(made)
+        fresh |= made
+        return [b"".join(ids if all(ids) else [fresh[w] if i is None else i for w, i in zip(words, ids, strict=True)])
+                for words, ids in zip(cut, found, strict=True)]
 
     def decode(self, rows: list[bytes]) -> list[str]:
         """Texts of ids: byte pieces are joined to characters, marks become spaces."""
