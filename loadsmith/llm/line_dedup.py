@@ -1,24 +1,27 @@
-"""Removal of globally repeated multi-line chunks.
-
-A text's lines are hashed; a rolling hash over the last ``WINDOW`` line hashes closes a
-chunk where it is 0 modulo ``DIVISOR``, so boundaries depend on the lines around them and
-come back after an insertion or removal elsewhere.  A line of ``LONG_LINE`` words is a chunk
-by itself, and ``MOST_LINES`` lines close one in any case.  Chunks that occur more than
-once anywhere are compared byte by byte with their first occurrence (smallest document
-id, then position), and the equal ones are removed.
-
-Only chunks of ``LONG_LINE`` words, or of two lines with words and ``FEWEST_WORDS`` words,
-are removed: a shared short line alone is left to the line-frequency rules.
-
-The jobs: chunk hashes of all texts (small rows, written once); which occur twice; a
-Bloom filter of these of fixed size; a second pass that gives the bytes of the chunks it
-lets through; comparison in a join; one join that takes the removed ranges back to the
-documents.  A chunk shared by a third of all documents is one pre-aggregated group and a
-skewed join side with a single row opposite.
-
-Defined results: null text stays null; a text of removed chunks only becomes empty (the
-row stays); rows equal in id and text are one document and get the same text; a null id
-comes after all others; other columns are kept as they are.
+"""Removal of runs of lines that occurred before, anywhere in the documents.
+
+A run of lines may go if it has ``LONG_LINE`` words, or two lines with words and
+``FEWEST_WORDS`` words: a shared short line alone is left to the line-frequency rules.
+Every such run that also stands at an earlier place (smallest document id, then position)
+is removed, whatever its neighbours are.
+
+Windows find them: from each line with words the shortest such run that begins there, and
+the shortest that ends there.  Any longer run is covered by the windows inside it, so a
+repeated run goes whole exactly if the repeated windows go.  A line lies in at most 2 *
+FEWEST_WORDS windows (each of their lines has a word).  Windows that occur more than
+once are compared byte by byte with their first occurrence, and the equal ones are
+removed, except one that overlaps its own first occurrence.
+
+The jobs: hashes of all windows, of which a Bloom filter of fixed size takes those that
+occur twice; a second pass that gives the bytes of the windows it lets through;
+comparison in a join; one join that takes the removed ranges back to the documents.  A
+passage shared by a third of all documents is one pre-aggregated group and a skewed join
+side with a single row opposite.
+
+Defined results: null text stays null; lines without words that are left between removed
+runs, or beside one at an end of the text, go with them; a text of removed runs only
+becomes empty (the row stays); rows equal in id and text are one document and get the
+same text; a null id comes after all others; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -31,59 +34,68 @@ from pyspark.sql import functions as F
 
 from loadsmith.scratch import materialize
 
-WINDOW = 2
-DIVISOR = 2
-MOST_LINES = 32
 LONG_LINE = 50
 FEWEST_WORDS = 10
 # Bits of the filter (8 MB) that the second pass uses; Spark's bitmaps hold 32768 each.
 FILTER_BITS = 1 << 26
 BITMAP = 1 << 15
 
-CHUNKS = "doc long, text_hash long, start long, size long, h1 long, h2 long"
+WINDOWS = "doc long, text_hash long, start long, size long, h1 long, h2 long"
 
 
 def chunks(raw: bytes) -> list[tuple[int, int]]:
-    """(start, size) in bytes of each chunk; the line end between two belongs to neither."""
+    """(start, size) in bytes of each line; the line end between two belongs to neither."""
     return [(start, size) for start, size, _ in _chunks(raw)]
 
 
 def _chunks(raw: bytes) -> list[tuple[int, int, bool]]:
-    """Chunks, and whether each may be removed."""
-    from xxhash import xxh3_64_intdigest
-
-    out = []
-    start = at = 0                                  # of the open chunk, of the line
-    lines = worded = words = 0
-    recent = [0] * WINDOW
-
-    def close(end: int) -> None:
-        nonlocal start, lines, worded, words
-        if lines:
-            out.append((start, end - start, words >= LONG_LINE or worded > 1 and words >= FEWEST_WORDS))
-        start, lines, worded, words = end + 1, 0, 0, 0
-
+    """Lines, and whether each lies in a run that may be removed."""
+    out, spans, at, k = [], windows(raw), 0, 0
     for line in raw.split(b"\n"):
-        n = len(line.split())
-        if n >= LONG_LINE:
-            close(at - 1)
-            start = at
-        lines += 1
-        worded += n > 0
-        words += n
-        recent = [*recent[1:], xxh3_64_intdigest(line)]
-        rolled = 0
-        for h in recent:
-            rolled = (rolled * 0x9E3779B97F4A7C15 + h) & 0xFFFFFFFFFFFFFFFF
+        while k < len(spans) and sum(spans[k]) < at + len(line):     # their ends ascend too
+            k += 1
+        out.append((at, len(line), k < len(spans) and spans[k][0] <= at))
         at += len(line) + 1
-        if n >= LONG_LINE or lines >= MOST_LINES or (rolled >> 32) % DIVISOR == 0:
-            close(at - 1)
-    close(at - 1)
     return out
 
 
-def _chunk_task(bitmap: bytes | None):
-    """Hashes of the removable chunks; with a filter, also the bytes of those it lets through."""
+def windows(raw: bytes) -> list[tuple[int, int]]:
+    """(start, size) in bytes of the shortest runs that may be removed, ascending."""
+    starts, ends, words = [], [], []                # of the lines with words
+    at = 0
+    for line in raw.split(b"\n"):
+        if n := len(line.split()):
+            starts.append(at)
+            ends.append(at + len(line))
+            words.append(n)
+        at += len(line) + 1
+
+    def enough(n: int, lines: int) -> bool:
+        return n >= LONG_LINE or lines > 1 and n >= FEWEST_WORDS
+
+    out = set()
+    end = total = 0
+    for i, n in enumerate(words):                   # the shortest from line i on
+        while end < len(words) and not enough(total, end - i):
+            total += words[end]
+            end += 1
+        if not enough(total, end - i):
+            break
+        out.add((starts[i], ends[end - 1] - starts[i]))
+        total -= n
+    first = total = 0
+    for j, n in enumerate(words):                   # the shortest up to line j
+        total += n
+        while enough(total - words[first], j - first):
+            total -= words[first]
+            first += 1
+        if enough(total, j - first + 1):
+            out.add((starts[first], ends[j] - starts[first]))
+    return sorted(out)
+
+
+def _window_task(bitmap: bytes | None):
+    """Hashes of the windows; with a filter, also the bytes of those it lets through."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from xxhash import xxh3_128_digest
@@ -100,21 +112,21 @@ def _chunk_task(bitmap: bytes | None):
 
             for doc, text_hash, raw in zip(batch.column("doc").to_pylist(), batch.column("text_hash").to_pylist(),
                                            (v.as_py() for v in batch.column("raw")), strict=True):
-                for start, size, removable in _chunks(raw):
-                    if not removable:
-                        continue
-                    part = raw[start:start + size]
-                    h1, h2 = np.frombuffer(xxh3_128_digest(part), "<i8").tolist()
-                    if bits is not None:
-                        bit = h1 % FILTER_BITS
-                        if not bits[bit >> 3] >> (bit & 7) & 1:
-                            continue
-                        held += size
-                    for col, v in zip(rows, (doc, text_hash, start, size, h1, h2, part), strict=False):
+                spans = windows(raw)
+                parts = [raw[start:start + size] for start, size in spans]
+                hashes = np.frombuffer(b"".join(map(xxh3_128_digest, parts)), "<i8").reshape(-1, 2)
+                take = range(len(spans))
+                if bits is not None:
+                    bit = hashes[:, 0] % FILTER_BITS
+                    take = np.flatnonzero(bits[bit >> 3] >> (bit & 7) & 1).tolist()
+                hashes = hashes.tolist()
+                for i in take:
+                    held += 48 + (spans[i][1] if bits is not None else 0)
+                    for col, v in zip(rows, (doc, text_hash, *spans[i], *hashes[i], parts[i]), strict=False):
                         col.append(v)
-                if held > 16_000_000:
-                    yield made()
-                    rows, held = [[] for _ in names], 0
+                    if held > 16_000_000:
+                        yield made()
+                        rows, held = [[] for _ in names], 0
             if rows[0]:
                 yield made()
 
@@ -133,40 +145,52 @@ def _filter_of(hashes: DataFrame) -> bytes:
 
 
 def repeated_ranges(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, text_hash, start, size) of every removed chunk, proven equal to its first occurrence."""
+    """(doc, text_hash, start, size) of every removed window, proven equal to its first occurrence.
+
+    They may overlap; sorted by start and size, their ends ascend too."""
     text = F.col(f"`{text_col}`")
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(text).alias("text_hash"),
                       text.cast("binary").alias("raw")).where("raw is not null")
-    hashes = materialize(src.mapInArrow(_chunk_task(None), CHUNKS), "chunks")
-    # Repeated rows are one document: their chunks count once.
+    hashes = src.mapInArrow(_window_task(None), WINDOWS)
+    # Repeated rows are one document: their windows count once.
     once = hashes.groupBy("h1", "h2", "size").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last"))
     bitmap = _filter_of(once.where("first != last"))
-    found = materialize(src.mapInArrow(_chunk_task(bitmap), CHUNKS + ", bytes binary"), "repeated")
+    found = materialize(src.mapInArrow(_window_task(bitmap), WINDOWS + ", bytes binary"), "repeated")
     firsts = found.groupBy("h1", "h2", "size").agg(
         F.min(_place()).alias("first"), F.max(_place()).alias("last"), F.min_by("bytes", _place()).alias("model")) \
         .where("first != last").select("h1", "h2", "size", "first", "model")
-    return found.join(firsts, ["h1", "h2", "size"]).where((F.col("bytes") == F.col("model")) & (_place() != F.col("first"))) \
+    # In the first occurrence's own document only what lies behind it: "a a a" holds "a a" once.
+    apart = ~(_place().dropFields("start") == F.col("first").dropFields("start")) \
+        | (F.col("start") > F.col("first.start") + F.col("size"))
+    return found.join(firsts, ["h1", "h2", "size"]).where((F.col("bytes") == F.col("model")) & apart) \
         .select("doc", "text_hash", "start", "size").distinct()
 
 
 def _place() -> Column:
-    """Where a chunk stands; the smallest is its first occurrence."""
+    """Where a window stands; the smallest is its first occurrence."""
     return F.struct(F.col("doc").isNull().alias("none"), F.coalesce("doc", F.lit(0)).alias("doc"), "text_hash", "start")
 
 
-# The text without the removed ranges: the pieces between them, joined by line ends again.
+# The text without the removed ranges: the pieces between them that hold a word, joined by line ends again.
 _CUT = """
-  array_join(transform(
+  array_join(filter(transform(
     filter(zip_with(concat(array(-1L), transform(cuts, c -> c.start + c.size)),
                     concat(transform(cuts, c -> c.start), array(octet_length(the_text) + 1L)),
                     (e, s) -> struct(e + 2 as a, s - e - 2 as n)), p -> p.n >= 0),
-    p -> decode(substring(raw, cast(p.a as int), cast(p.n as int)), 'UTF-8')), '\n')
+    p -> decode(substring(raw, cast(p.a as int), cast(p.n as int)), 'UTF-8')),
+    t -> t rlike '[^ \\\\t\\\\n\\\\u000B\\\\f\\\\r]'), '\n')
+"""
+# How many runs the ranges make: a run begins where a line lies between a range and the one before.
+_RUNS = """
+  size(filter(zip_with(transform(cuts, c -> c.start),
+                       concat(array(-2L), transform(slice(cuts, 1, size(cuts) - 1), c -> c.start + c.size)),
+                       (s, e) -> s > e + 1), x -> x))
 """
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 removed_col: str | None = None) -> DataFrame:
-    """``docs`` with the repeated chunks cut out of the text; ``removed_col`` adds how many."""
+    """``docs`` with the repeated runs cut out of the text; ``removed_col`` adds how many."""
     cuts = repeated_ranges(docs, id_col=id_col, text_col=text_col)
     cuts = cuts.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("cuts")) \
         .select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "cuts")
@@ -178,5 +202,5 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     cut = F.expr(f"transform(array(cast(the_text as binary)), raw -> {_CUT})[0]")
     held = joined.select(F.struct(*[docs[c] for c in names]).alias("row"), docs[text_col].alias("the_text"), cuts["cuts"].alias("cuts"))
     text = F.when(F.col("cuts").isNull(), F.col("the_text")).otherwise(cut)
-    extra = [F.coalesce(F.size("cuts"), F.lit(0)).alias(removed_col)] if removed_col else []
+    extra = [F.when(F.col("cuts").isNull(), 0).otherwise(F.expr(_RUNS)).alias(removed_col)] if removed_col else []
     return held.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in names], *extra)

@@ -128,6 +128,64 @@ def test_line_dedup_against_plain_python(spark):
     assert line_dedup.dedup_lines(docs.where("false")).count() == 0
 
 
+def without_repeated_runs(rows):
+    """Brute force over all runs of lines of 50 words, or of two lines with words and ten words: every
+    later one goes, then what is left without a word beside a removed line."""
+    texts = sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    seen, out = {}, {}
+    for doc, text in texts:
+        lines = text.split("\n")
+        n = [len(x.encode().split()) for x in lines]
+        gone = set()
+        for a, b in ((a, b) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1) if n[a] and n[b - 1]):
+            if sum(n[a:b]) >= 50 or sum(map(bool, n[a:b])) > 1 and sum(n[a:b]) >= 10:
+                first = seen.setdefault("\n".join(lines[a:b]), (doc, text, a, b))
+                if first[:2] != (doc, text) or a >= first[3]:
+                    gone.update(range(a, b))
+        left, piece = [], []
+        for i in range(len(lines) + 1):
+            if i < len(lines) and i not in gone:
+                piece.append(i)
+            else:
+                left += piece if not gone or any(n[k] for k in piece) else []
+                piece = []
+        out[doc, text] = "\n".join(lines[i] for i in left)
+    return [(doc, text if text is None else out[doc, text]) for doc, text in rows]
+
+
+def test_shared_passages_of_any_length_go_whole(spark):
+    """Between different neighbours, over 50 words, in 1 to 40 lines."""
+    rows = []
+    for n in (1, 2, 3, 4, 5, 6, 12, 40):
+        for k in range(6):
+            passage = "\n".join(" ".join(f"p{n}x{k}w{i}x{j}" for j in range(60 // n + 1)) for i in range(n))
+            rows += [(100 * n + 10 * k + c, f"intro {n} {k} {c}\n{passage}\noutro {n} {k} {c}") for c in range(2)]
+    got = dict(map(tuple, line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == dict(without_repeated_runs(rows))
+    assert {got[100 * n + 10 * k + 1] for n in (1, 2, 3, 4, 5, 6, 12, 40) for k in range(6)} \
+        == {f"intro {n} {k} 1\noutro {n} {k} 1" for n in (1, 2, 3, 4, 5, 6, 12, 40) for k in range(6)}
+
+
+def test_line_dedup_against_all_runs(spark):
+    rng = np.random.default_rng(3)
+    pool = ["", "", " \t", "\u000b", "a", "one two", "x y z", "four words in it", "six words are in this line",
+            "é ñ ü ö ä\u00a0b c d", "ten words or so are in this line of the text", LONG, LONG + " more"]
+    rows = []
+    for i in range(150):
+        lines = [pool[k] for k in rng.integers(0, len(pool), rng.integers(0, 9))]
+        if i % 3 == 0:
+            lines[len(lines) // 2:len(lines) // 2] = [f"own line {i}"]
+        rows.append((int(rng.integers(0, 120)) if i % 10 else None, "\n".join(lines)))
+    rows += [(200, None), (201, "a b c d e f\n" * 5), (202, "\n\n" + "a b c d e f\n" * 5 + "\n"), rows[4]]
+    # places in one document of different texts are ordered by a hash: ids with one text only
+    one = {d: t for d, t in rows}
+    rows = [(d, t) for d, t in rows if one[d] == t]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = line_dedup.dedup_lines(docs, removed_col="n").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(without_repeated_runs(rows), key=str)
+    assert {r.n > 0 for r in got if r.doc_id == 202} == {True} and all(r.text == t for r, t in ((r, one[r.doc_id]) for r in got) if r.n == 0)
+
+
 # ---------------------------------------------------------------- SimHash
 
 def plain_fingerprint(text):
