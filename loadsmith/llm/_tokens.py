@@ -12,8 +12,8 @@ segments' ids.  The cut rules:
   space leaves its last character to the next segment when that is a space; every
   other run of white space is a segment of its own.
 
-Which rule fits is read from the tokenizer file; a file with other pre-tokenizers is
-encoded text by text.
+Which rule fits is read from the tokenizer file; a file with other pre-tokenizers, and a
+text that holds an added token's content, is encoded text by text.
 """
 
 from __future__ import annotations
@@ -98,7 +98,12 @@ class SegmentEncoder:
         self.rule = _rule(spec)
         self.pieces_of = regex.compile(WORD_PATTERN if self.rule == "drop" else BYTE_PATTERN).findall
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
+        # The library takes these out of a text before anything else, inside a word too.
+        added = [t["content"].lower() for t in spec.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # A file with other kinds of them is left to the library.
+        if not all(t.isascii() and not set(t) & set(_WS) for t in added):
+            self.rule = ""
         self.segments, self.pieces = Cache(segments), Cache(pieces)
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -149,6 +154,16 @@ class SegmentEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.rule:
             return self._library(texts)
+        # A text that holds an added token, in any case, goes to the library whole.
+        whole = [i for i, t in enumerate(texts) if self.added.search(t.lower())]
+        if whole:
+            apart = dict(zip(whole, self._library([texts[i] for i in whole]), strict=True))
+            rest = iter(self._cut([t for i, t in enumerate(texts) if i not in apart]))
+            return [apart[i] if i in apart else next(rest) for i in range(len(texts))]
+        return self._cut(texts)
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without an added token, segment by segment."""
         if self.rule == "drop":
             cut = [t.replace("\n", " ").split(" ") for t in texts]
         else:

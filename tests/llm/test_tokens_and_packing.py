@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from loadsmith.llm import packing, token_files
 from loadsmith.llm._tokens import SegmentEncoder, text_batches, tokenizer_path
@@ -32,6 +33,54 @@ def test_odd_texts_encode_as_the_library_does(enc):
     assert enc.encode(ODD) == library(enc, ODD)         # now from a cache that had to forget
 
 
+FRESH: dict = {}
+
+
+def fresh_library(file, texts):
+    """By the contract: the file as it is, no flag changed, nothing added at the ends."""
+    if file not in FRESH:
+        FRESH[file] = Tokenizer.from_file(tokenizer_path(file))
+    tok = FRESH[file]
+    return [np.asarray(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "in<|endoftext|>side", "one\n<|startoftext|>\ntwo", "<|EndOfText|> x",
+           "<|endoftext|><|endoftext|>", " <|endoftext|>", "<|endoftext", "|>", "It's <|endoftext|>'s É\u0301", "plain words",
+           "<|endoftext|>\u0338 <|startoftext|>\u00e9", "<|endo\u0130ftext|>"]
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_special_tokens_in_a_text_have_their_own_ids(file):
+    e = SegmentEncoder(tokenizer_path(file))
+    assert e.rule
+    assert e.encode(SPECIAL + ODD) == fresh_library(file, SPECIAL + ODD)
+    assert e.encode(SPECIAL) == fresh_library(file, SPECIAL)
+    assert np.frombuffer(e.encode([SPECIAL[0]])[0], "<u4").tolist() == {
+        FILES[0]: [320, 49407, 321], FILES[1]: [64, 220, 50256, 275]}[file]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(" \n.,Nédn|<>"), max_size=8), min_size=1, max_size=4), st.sampled_from(SPECIAL))
+def test_special_tokens_between_any_texts(parts, special):
+    texts = [special.join(parts), *parts]
+    for f in FILES:
+        if f not in ENCODERS:
+            ENCODERS[f] = SegmentEncoder(tokenizer_path(f), segments=200, pieces=200)
+        assert ENCODERS[f].encode(texts) == fresh_library(f, texts)
+
+
+def test_special_tokens_in_token_files_and_packing(spark, scratch):
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    path = token_files.write_token_files(docs, f"{scratch}/t", tokenizer_path(FILES[0]), 2)
+    got = {r.doc: bytes(r.ids) for r in token_files.read_token_files(spark, path).collect()}
+    end = [np.asarray([x], "<u4").tobytes() for x in (2, 1)]
+    assert got == {i: x + end[0] for i, x in enumerate(fresh_library(FILES[0], SPECIAL))}
+    packed = {}
+    for r in sorted(packing.pack(docs, tokenizer_path(FILES[1]), 1).collect(), key=lambda r: r.start):
+        packed[r.doc_id] = packed.get(r.doc_id, b"") + bytes(r.ids)
+    assert packed == {i: x + end[1] for i, x in enumerate(fresh_library(FILES[1], SPECIAL))}
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t'sdtreNÉéİΣς.,|̸́\xa0\x1c")), st.characters(codec="utf-8")),
                         max_size=30), max_size=4))
