@@ -47,3 +47,16 @@ def test_near_duplicates_leave_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     kept = dict(corpus_pipeline.STAGES)["near-duplicates"](spark, docs, SF)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 9]
+
+
+def test_planted_copies_leave_one_document(spark, scratch):
+    """Of exact copies, stages 3 and 4 keep one document with text, whatever their lines' lengths are."""
+    def text(g):
+        return "\n".join(" ".join(f"g{g}l{i}w{j}" for j in range(5 + (g + i) % 9)) for i in range(2 + g)) + "\n\n" * (g % 2)
+    texts = {g: text(g) for g in range(8, 20)}
+    rows = [(100 * c + g, t, "en", "s", len(t)) for g, t in texts.items() for c in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    for i, name in enumerate(("line dedup", "near-duplicates")):
+        dict(corpus_pipeline.STAGES)[name](spark, docs, SF).write.parquet(f"{scratch}/{i}")
+        docs = spark.read.parquet(f"{scratch}/{i}")
+    assert {r.doc_id: r.text for r in docs.where("n_chars > 0").collect()} == texts
