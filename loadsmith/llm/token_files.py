@@ -42,7 +42,7 @@ from loadsmith.scratch import materialize
 MAGIC = b"TOKBLK01"
 HEAD = struct.Struct("<8s32sII")
 # The dictionary: its bytes, and the sample it is trained on (documents of at most so many
-# characters, picked by a hash of their ids).
+# characters, picked by a hash of their ids and texts).
 DICT_BYTES = 64 * 1024
 SAMPLE_DOCS = 1_000
 SAMPLE_CHARS = 20_000
@@ -78,11 +78,12 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, *, id_col: st
 
     from loadsmith.llm._tokens import SegmentEncoder
 
-    src = docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", F.lit(17)).alias("h"))
+    src = docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", f"`{text_col}`", F.lit(17)).alias("h"))
     # About SAMPLE_DOCS documents: a share of the hashes, known from the number of rows.
     share = min(RATE_STEPS, max(1, round(RATE_STEPS * SAMPLE_DOCS / max(1, docs.count()))))
     sample = src.where((F.pmod("h", F.lit(RATE_STEPS)) < share) & F.length("text").between(1, SAMPLE_CHARS))
-    texts = sorted(r.text for r in sample.select("text").collect())
+    # Equal rows are picked together but taken once, and never more than twice the number wanted.
+    texts = sorted(r.text for r in sample.dropDuplicates(["h"]).orderBy("h").limit(2 * SAMPLE_DOCS).collect())
     if len(texts) < 16:
         return b""
     kind = f"<u{id_width(tokenizer)}"

@@ -134,6 +134,23 @@ def test_token_files_with_a_trained_dictionary(spark, scratch):
         token_files.open_block(block, b"\0" * 32)
 
 
+# Ids whose hash alone falls under a share of 20 in 400 rows.
+ONES = [15, 16]
+
+
+@pytest.mark.parametrize("text", ["'the same text'", "concat('text number ', id)"])
+def test_dictionary_sample_is_bounded_for_one_id(spark, monkeypatch, text):
+    """Most rows have one id; the driver takes neither all of them nor a row twice."""
+    taken = []
+    monkeypatch.setattr(token_files, "SAMPLE_DOCS", 20)
+    monkeypatch.setattr(SegmentEncoder, "encode", lambda self, texts: taken.extend(texts) or [b"\1\0\0\0" * 50 for _ in texts])
+    for one in ONES:
+        docs = spark.range(400).selectExpr(f"cast({one if one is not None else 'null'} as long) as doc_id", f"{text} as text")
+        before = len(taken)
+        token_files.train_dictionary(docs, tokenizer_path(FILES[0]), 2, id_col="doc_id", text_col="text")
+        assert len(taken) - before <= 40 and len(set(taken[before:])) == len(taken[before:])
+
+
 def test_empty_table_of_tokens(spark, scratch):
     docs = spark.createDataFrame([], SCHEMA)
     path = token_files.write_token_files(docs, f"{scratch}/t", tokenizer_path(FILES[0]), 2)
