@@ -102,13 +102,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").select("id", "y")
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"))
     if learn is not None:
-        texts = texts.where(learn)
-    texts = texts.where(F.length("text").between(1, SAMPLE_CHARS)).withColumnRenamed("id", "doc")
+        texts, known = texts.where(learn), known.where(learn)
+    texts = texts.where(F.length("text").between(1, SAMPLE_CHARS))
+    # Only labels that may be learned from, of documents that can be.
+    known = known.join(texts.select("id"), "id", "left_semi")
+    texts = texts.withColumnRenamed("id", "doc")
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return QualityModel(b"", b"", 0.0, 0.0)
     # About ``sample_docs`` of each label: a share of the ids by hash, known from the counts.
-    steps = {y: min(RATE_STEPS, max(1, round(1.5 * RATE_STEPS * sample_docs / n))) for y, n in counts.items()}
+    steps = {y: min(RATE_STEPS, max(1, round(RATE_STEPS * sample_docs / n))) for y, n in counts.items()}
     rate = F.when(F.col("y") == 1, steps.get(1, 0)).otherwise(steps.get(0, 0))
     picked = known.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(RATE_STEPS)) < rate)
     rows = texts.join(F.broadcast(picked), texts.doc == picked.id).select("doc", "text", "y").dropDuplicates(["doc"]) \
@@ -128,7 +131,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     good, bad = dictionary(parts[1, 0] or parts[1, 1]), dictionary(parts[0, 0] or parts[0, 1])
     held = [(t, y) for y in (0, 1) for t in (parts[y, 1] or parts[y, 0])]
     diffs, _ = QualityModel(good, bad, 1.0, 0.0).scorer()([t for t, _ in held])
-    # Weights give the labels the shares that they have among all labelled rows.
+    # Weights give the labels the shares that they have among all documents to learn from.
     size = {y: sum(1 for _, l in held if l == y) for y in (0, 1)}
     slope, intercept = fit_curve(diffs, [y for _, y in held], [counts[y] / size[y] for _, y in held])
     return QualityModel(good, bad, slope, intercept)

@@ -94,6 +94,28 @@ def test_quality_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def quality_rows(n, long=0):
+    """(doc, text, label): even ids are good; ``long`` adds words to the good ones."""
+    rng = np.random.default_rng(5)
+    words = [[f"{x}{k}" for k in range(60)] for x in ("bad", "good")]
+    return [(i, " ".join(rng.choice(words[1 - i % 2] if rng.random() < 0.8 else words[i % 2], 120 + (1 - i % 2) * long)), 1 - i % 2)
+            for i in range(n)]
+
+
+def test_labels_that_teach_nothing_move_no_score(spark):
+    """Those held out, and those of no document."""
+    rows = quality_rows(120)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    known = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    learn = F.col("id") < 80
+    model = compression_quality.fit_quality(docs, known.where("doc_id < 80"), learn=learn)
+    assert model.good and model.bad
+    strangers = spark.range(1000, 1900).selectExpr("id as doc_id", "1 as quality")
+    flipped = known.selectExpr("doc_id", "if(doc_id < 80, quality, 1) as quality")
+    for labels in (known, flipped, known.union(strangers)):
+        assert compression_quality.fit_quality(docs, labels, learn=learn) == model
+
+
 def test_quality_of_odd_rows(spark):
     good = [(i, f"The quiet river number {i} ran past the old mill and the green hills of the north. " * 3) for i in range(60)]
     bad = [(100 + i, f"BUY!! NOW!! {i} CHEAP!! $$$ CLICK!! " * 6) for i in range(60)]
