@@ -7,8 +7,8 @@ text's bytes, is the one feature; a logistic curve fitted on other labelled docu
 turns it into the probability of label 1.
 
 The fit uses a bounded sample of the labelled rows: about ``SAMPLE_DOCS`` of each label,
-picked by a hash of their id, of at most ``SAMPLE_CHARS`` characters; half train the
-dictionaries, half the curve.  Scoring covers every whole text and sees nothing else of a row.
+picked by a hash of their id; of a text beyond ``SAMPLE_CHARS`` characters so many in
+``SAMPLE_PARTS`` parts spread over it; half train the dictionaries, half the curve.  Scoring covers every whole text and sees nothing else of a row.
 
 Defined results: null text counts as empty; an empty text has difference 0 and so the
 curve's value there; an id with two different labels, a null id or a null label teaches
@@ -29,9 +29,18 @@ LEVEL = 3
 DICT_BYTES = 110 * 1024
 SAMPLE_DOCS = 2_000
 SAMPLE_CHARS = 16_000
+SAMPLE_PARTS = 16
 RATE_STEPS = 1_000_000
 
 
+# A text, or the parts of a long one.
+_SAMPLE = f"""
+  if(length(text) <= {SAMPLE_CHARS}, text, array_join(transform(sequence(0, {SAMPLE_PARTS - 1}), i -> substring(text,
+    cast(1 + i * cast(length(text) - {SAMPLE_CHARS // SAMPLE_PARTS} as long) div {SAMPLE_PARTS - 1} as int),
+    {SAMPLE_CHARS // SAMPLE_PARTS})), ''))
+"""
+
+
 @dataclass(frozen=True)
 class QualityModel:
     good: bytes
@@ -103,7 +112,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"))
     if learn is not None:
         texts, known = texts.where(learn), known.where(learn)
-    texts = texts.where(F.length("text").between(1, SAMPLE_CHARS))
+    texts = texts.where(F.length("text") > 0)
     # Only labels that may be learned from, of documents that can be.
     known = known.join(texts.select("id"), "id", "left_semi")
     texts = texts.withColumnRenamed("id", "doc")
@@ -115,7 +124,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     rate = F.when(F.col("y") == 1, steps.get(1, 0)).otherwise(steps.get(0, 0))
     picked = known.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(RATE_STEPS)) < rate)
     rows = texts.join(F.broadcast(picked), texts.doc == picked.id).select("doc", "text", "y").dropDuplicates(["doc"]) \
-        .select("text", "y", F.pmod(F.xxhash64("doc", F.lit(31)), F.lit(2)).alias("half")).collect()
+        .select(F.expr(_SAMPLE).alias("text"), "y", F.pmod(F.xxhash64("doc", F.lit(31)), F.lit(2)).alias("half")).collect()
     parts = {(y, h): sorted(r.text for r in rows if r.y == y and r.half == h) for y in (0, 1) for h in (0, 1)}
     n1, n0 = (len(parts[y, 0]) + len(parts[y, 1]) for y in (1, 0))
     if not n1 or not n0:

@@ -116,6 +116,16 @@ def test_labels_that_teach_nothing_move_no_score(spark):
         assert compression_quality.fit_quality(docs, labels, learn=learn) == model
 
 
+def test_a_label_of_long_texts_only_is_learned(spark):
+    rows = quality_rows(120, long=4_000)
+    assert min(len(t) for _, t, y in rows if y) > compression_quality.SAMPLE_CHARS > max(len(t) for _, t, y in rows if not y)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = compression_quality.fit_quality(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int"))
+    fresh = spark.createDataFrame([(0, quality_rows(2)[0][1]), (1, rows[1][1]), (2, rows[0][1])], "doc_id long, text string")
+    by = {r.doc_id: r.score for r in compression_quality.score_quality(fresh, model).collect()}
+    assert by[0] >= 0.5 and by[2] >= 0.5 > by[1]            # what the query predicts by
+
+
 def test_quality_of_odd_rows(spark):
     good = [(i, f"The quiet river number {i} ran past the old mill and the green hills of the north. " * 3) for i in range(60)]
     bad = [(100 + i, f"BUY!! NOW!! {i} CHEAP!! $$$ CLICK!! " * 6) for i in range(60)]
