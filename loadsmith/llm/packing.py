@@ -119,7 +119,7 @@ def _pack_task(tokenizer: str, end_id: int, window: int, tiers, group_tokens: in
 
         from loadsmith.llm._tokens import encoder, text_batches
 
-        encode = encoder(tokenizer).encode
+        tokenize = encoder(tokenizer)
         base = TaskContext.get().partitionId() << TASK_BITS
         end = np.asarray([end_id], "<u4").tobytes()
         given = {"sequences": 0, "steps": 0}
@@ -150,7 +150,7 @@ def _pack_task(tokenizer: str, end_id: int, window: int, tiers, group_tokens: in
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = batch.column("doc").to_pylist()
             for a, b in text_batches(texts):
-                for key, x in zip(keys[a:b], encode(texts[a:b]), strict=True):
+                for key, x in zip(keys[a:b], tokenize.encode(texts[a:b]), strict=True):
                     docs.append(key)
                     ids.append(x + end)
                     tokens += len(x) // 4 + 1
@@ -159,6 +159,7 @@ def _pack_task(tokenizer: str, end_id: int, window: int, tiers, group_tokens: in
                     docs, ids, tokens = [], [], 0
         if docs:
             yield from packed(docs, ids)
+        tokenize.clear()
 
     return run
 

@@ -131,7 +131,7 @@ def _write_task(tokenizer: str, end_id: int, dictionary: bytes, width: int):
 
         from loadsmith.llm._tokens import encoder, text_batches
 
-        encode, shard = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        tokens, shard = encoder(tokenizer), TaskContext.get().partitionId()
         compress, digest = _codec(dictionary)[0].compress, hashlib.sha256(dictionary).digest()
         end, start = np.asarray([end_id], "<u4").tobytes(), 0
         docs, counts, frames, size = [], [], [], 0
@@ -148,7 +148,7 @@ def _write_task(tokenizer: str, end_id: int, dictionary: bytes, width: int):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = batch.column("doc").to_pylist()
             for a, b in text_batches(texts):
-                for key, x in zip(keys[a:b], encode(texts[a:b]), strict=True):
+                for key, x in zip(keys[a:b], tokens.encode(texts[a:b]), strict=True):
                     ids = np.frombuffer(x + end, "<u4")
                     frame = compress(ids.astype(f"<u{width}").tobytes())
                     docs.append(key)
@@ -161,6 +161,7 @@ def _write_task(tokenizer: str, end_id: int, dictionary: bytes, width: int):
                         docs, counts, frames, size = [], [], [], 0
         if docs:
             yield closed()
+        tokens.clear()
 
     return run
 
@@ -172,10 +173,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
     dictionary = train_dictionary(docs, tokenizer, end_id, id_col=id_col, text_col=text_col)
     spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), dictionary)], "hash string, bytes binary") \
         .coalesce(1).write.parquet(f"{path}/dictionary")
-    # Range partitions of (id, hash of the text): ordered, and one id can't fill a task.
+    # Range partitions of (id, hash of the text, row): ordered, and neither one id nor equal rows can fill a task.
+    order = ["doc", "tie", "row"]
     src = (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-           .withColumn("tie", F.xxhash64("text"))
-           .repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie").select("doc", "text"))
+           .withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+           .repartitionByRange(*order).sortWithinPartitions(*order).select("doc", "text"))
     blocks = src.mapInArrow(_write_task(tokenizer, end_id, dictionary, id_width(tokenizer)), BLOCKS)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
     return path

@@ -1,5 +1,7 @@
 """Token files and packing: exact round trips against the tokenizers library."""
 
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -8,19 +10,19 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from loadsmith.llm import packing, token_files
+from loadsmith.llm import _tokens, packing, token_files
 from loadsmith.llm._tokens import SegmentEncoder, text_batches, tokenizer_path
 
 FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 ODD = ["", " ", "\n\n", "a", "It's  THE end.\r\n\tx ", "İ̸ Σς é é ", " 　﻿", "\x1c\x85\xa0x", "<|endoftext|> b",
-       "word " * 30_000, "x" * 5_000, "中文ه😀 'll 12345"]
+       "word " * 30_000, "x" * 5_000, "中文ه😀 'll 12345", "中文 漢字。 한국어 Слово ёж ΣΟΦΟΣ σοφος ª²½ Ǆ‒—“quoted”…", "a\u00a0b a\u2009b \x0b\x0c", "I'LL you're 's's"]
 SCHEMA = "doc_id long, text string, ids int, start string"
 ROWS = [(i, t, 1, "s") for i, t in enumerate(ODD)] + [(None, "no id", 2, "s"), (3, "a", 3, None), (3, "a", 3, None), (99, None, 4, "x")]
 
 
 @pytest.fixture(scope="module", params=FILES)
 def enc(request):
-    return SegmentEncoder(tokenizer_path(request.param), segments=50, pieces=50)
+    return SegmentEncoder(tokenizer_path(request.param), pieces=50)
 
 
 def library(enc, texts):
@@ -33,6 +35,17 @@ def test_odd_texts_encode_as_the_library_does(enc):
     assert enc.encode(ODD) == library(enc, ODD)         # now from a cache that had to forget
 
 
+def test_known_characters_are_alike_everywhere():
+    """Lower case stays among them and needs no context; composing changes none; classes are as in Unicode."""
+    letter, mark = re.compile(f"[{_tokens.LETTERS}]").fullmatch, re.compile(f"[{_tokens.MARKS}]").fullmatch
+    for c in map(chr, (*range(0xD800), *range(0xE000, 0x11000))):
+        if letter(c):
+            assert unicodedata.category(c)[0] == "L" and letter(c.lower()) and unicodedata.is_normalized("NFC", c)
+        if mark(c):
+            assert unicodedata.category(c)[0] not in "LNZM" and not c.isspace() and c.lower() == c
+            assert unicodedata.is_normalized("NFC", c)
+
+
 FRESH: dict = {}
 
 
@@ -65,7 +78,7 @@ def test_special_tokens_between_any_texts(parts, special):
     texts = [special.join(parts), *parts]
     for f in FILES:
         if f not in ENCODERS:
-            ENCODERS[f] = SegmentEncoder(tokenizer_path(f), segments=200, pieces=200)
+            ENCODERS[f] = SegmentEncoder(tokenizer_path(f), pieces=200)
         assert ENCODERS[f].encode(texts) == fresh_library(f, texts)
 
 
@@ -86,7 +99,7 @@ def test_special_tokens_in_token_files_and_packing(spark, scratch):
                         max_size=30), max_size=4))
 def test_any_text_encodes_as_the_library_does(texts):
     for f in FILES:
-        e = ENCODERS.setdefault(f, SegmentEncoder(tokenizer_path(f), segments=200, pieces=200))
+        e = ENCODERS.get(f) or ENCODERS.setdefault(f, SegmentEncoder(tokenizer_path(f), pieces=200))
         assert e.encode(texts) == library(e, texts)
 
 
