@@ -114,6 +114,29 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url_verdict").alias("verdict"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.conversation_trie import ordered_turns, prefix_trie, rebuilt
+
+    turns = ordered_turns(_table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    turns, convs = rebuilt(turns, heads=_fold(conv, 6), base=conv - F.pmod(conv, F.lit(100)), most=5)
+    return prefix_trie(turns, convs).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                                            "saved_tokens", "ends_sha256")
+
+
+def op12_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.grouped_packing import pack_best_fit
+
+    pieces = pack_best_fit(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), end_id=1, with_ids=False)
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.filter_audit import audit
+
+    return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_compression_quality": op2_compression_quality,
@@ -125,4 +148,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_grouped_packing": op12_grouped_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
