@@ -7,19 +7,18 @@ the confidence is the softmax of that mean over the languages, sharpened by the
 words up to ``SHARP_WORDS``.
 
 The fit uses a bounded sample of the labelled rows: about ``SAMPLE_DOCS`` documents of
-each language, picked by a hash of their id, whole texts; of their words the
-``MODEL_WORDS`` most frequent of each language are kept (ties by the word), and the
-n-grams of these.  Prediction covers every whole text and sees nothing else of a row.
+each language, picked by a hash of their id; every word of their whole texts is kept, and
+every n-gram of these.  Prediction covers every whole text and sees nothing else of a row.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; ties go to
 the first language by name; nothing learned means ``und`` for all; rows with a null
-language or id teach nothing.
+language or id teach nothing; a column of more than ``MOST_LANGUAGES`` languages is refused.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 SAMPLE_DOCS = 1_500
-MODEL_WORDS = 20_000
+MOST_LANGUAGES = 500
 LONGEST_GRAM = 4
 SMOOTH = 0.5
 SHARP_WORDS = 30
@@ -55,29 +54,42 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i:i + n] for i in range(len(padded) - n + 1)] if n > 1 else list(word)
 
 
+class _LogTable:
+    """Log frequencies of words or n-grams in each language: a row number for each, and one matrix."""
+
+    def __init__(self, counts: list[Counter]):
+        names = sorted(set().union(*counts))
+        self.at = {name: i for i, name in enumerate(names)}
+        table = np.zeros((len(names), len(counts)))
+        for j, of in enumerate(counts):
+            for name, n in of.items():
+                table[self.at[name], j] = n
+        self.logs = np.log((table + SMOOTH) / (table.sum(0) + SMOOTH * max(1, len(table))))
+
+    def get(self, name: str) -> np.ndarray | None:
+        i = self.at.get(name)
+        return None if i is None else self.logs[i]
+
+
 class _Scorer:
     def __init__(self, model: LanguageModel):
-        self.langs, n = model.languages, len(model.languages)
-        words: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
-        tables: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(n)) for _ in range(LONGEST_GRAM)]
-        for at, lang in enumerate(self.langs):
-            for word, count in model.words[lang].items():
-                words[word][at] += count
-                for size in range(1, LONGEST_GRAM + 1):
+        self.langs = model.languages
+        per_lang = [model.words[lang] for lang in self.langs]
+        self.words = _LogTable(per_lang)
+        self.tables = []
+        for size in range(1, LONGEST_GRAM + 1):
+            counts: list[Counter] = [Counter() for _ in self.langs]
+            for of, words in zip(counts, per_lang, strict=True):
+                for word, n in words.items():
                     for g in grams(word, size):
-                        tables[size - 1][g][at] += count
-        self.words = self._logs(words)
-        self.tables = [self._logs(t) for t in tables]
-        self.rows: dict[str, int] = {}
-        self.scores = np.zeros((1024, n))
+                        of[g] += n
+            self.tables.append(_LogTable(counts))
+        self.forget()
 
-    @staticmethod
-    def _logs(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        if not counts:
-            return {}
-        table = np.array(list(counts.values()))
-        logs = np.log((table + SMOOTH) / (table.sum(0) + SMOOTH * len(table)))
-        return dict(zip(counts, logs, strict=True))
+    def forget(self) -> None:
+        """Drop the scores kept of words seen so far."""
+        self.rows: dict[str, int] = {}
+        self.scores = np.zeros((1024, len(self.langs)))
 
     def word(self, word: str) -> np.ndarray:
         """Log frequency in each language, of the word or of its longest known n-grams."""
@@ -85,9 +97,10 @@ class _Scorer:
         if known is not None:
             return known
         for size in range(LONGEST_GRAM, 0, -1):
-            found = [v for v in map(self.tables[size - 1].get, grams(word, size)) if v is not None]
+            table = self.tables[size - 1]
+            found = [i for i in map(table.at.get, grams(word, size)) if i is not None]
             if found:
-                return np.mean(found, axis=0)
+                return table.logs[found].mean(0)
         return np.zeros(len(self.langs))            # no character of it was ever seen
 
     def _total(self, words: list[str]) -> np.ndarray:
@@ -120,14 +133,15 @@ class _Scorer:
 
 
 def fit_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  learn: Column | None = None, sample_docs: int = SAMPLE_DOCS,
-                  model_words: int = MODEL_WORDS) -> LanguageModel:
+                  learn: Column | None = None, sample_docs: int = SAMPLE_DOCS) -> LanguageModel:
     """Fit on the documents with a language for which ``learn`` (a condition on the id) holds."""
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"),
                       F.col(f"`{text_col}`").alias("text")).where("id is not null and lang is not null")
     if learn is not None:
         src = src.where(learn)
-    counts = {r.lang: r.n for r in src.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r.lang: r.n for r in src.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MOST_LANGUAGES} languages")
     if not counts:
         return LanguageModel((), {})
     rate = F.lit(0)
@@ -136,29 +150,32 @@ def fit_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     words = (src.where(F.pmod(F.xxhash64("id", F.lit(37)), F.lit(RATE_STEPS)) < rate)
              .select("lang", F.explode(F.split(F.lower("text"), r"\P{L}+")).alias("word")).where("word != ''")
              .groupBy("lang", "word").agg(F.count("*").alias("n")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = words.withColumn("rank", rank).where(F.col("rank") <= model_words)
-    table: dict[str, Counter] = {lang: Counter() for lang in counts}
-    for r in top.collect():                         # at most model_words a language
+    table: dict[str, dict[str, int]] = {lang: {} for lang in counts}
+    for r in words.collect():                       # the distinct words of the sample
         table[r.lang][r.word] = r.n
-    return LanguageModel(tuple(sorted(table)), {k: dict(v) for k, v in table.items()})
+    return LanguageModel(tuple(sorted(table)), table)
 
 
 def _scored(docs: DataFrame, model: LanguageModel, text_col: str) -> DataFrame:
     """Columns c0, c1, ... of ``docs``, then ``lang_pred`` and ``score``; numbered, so that no name clashes."""
     src = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     text = f"c{docs.columns.index(text_col)}"
-    shared = docs.sparkSession.sparkContext.broadcast(model)    # MODEL_WORDS a language
+    # Tables of the words and n-grams of SAMPLE_DOCS documents a language, made once.
+    shared = docs.sparkSession.sparkContext.broadcast(model.scorer())
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        predict = shared.value.scorer().predict
+        from loadsmith.llm._tokens import release_memory
+
+        scorer = shared.value
         for batch in batches:
-            made = [predict(v.as_py()) for v in batch.column(text)]
+            made = [scorer.predict(v.as_py()) for v in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m[0] for m in made], pa.string()),
                                               pa.array([m[1] for m in made], pa.float64())],
                                              names=[*batch.schema.names, "lang_pred", "score"])
+        scorer.forget()
+        release_memory()
 
     unset = [F.lit(None).cast(t).alias(n) for n, t in (("lang_pred", "string"), ("score", "double"))]
     return src.mapInArrow(run, src.select("*", *unset).schema)

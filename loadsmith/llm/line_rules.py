@@ -11,7 +11,8 @@ A line's documents are counted after repeats inside a text and copies of a text
 with map-side sums, so a line that a third of all rows share costs one row per task.
 
 Defined results: null text has no words and fails the base rules; a null host is the
-empty host; rows equal in id and text get the same verdict.
+empty host; rows equal in id and text get the same verdict; other columns of ``docs`` may have
+any name.
 """
 
 from __future__ import annotations
@@ -121,16 +122,17 @@ def clean_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     **limits) -> DataFrame:
     """The documents that pass, all columns, without their boilerplate lines."""
     verdicts, _ = judged(docs, id_col=id_col, text_col=text_col, host_col=host_col, **limits)
-    passed = verdicts.where("kept").groupBy(F.col(id_col).alias("_doc"), F.col("text_hash").alias("_hash"),
-                                            F.col("host_name").alias("_host")).agg(F.first("hashes").alias("_hashes"))
-    host = F.coalesce(docs[host_col].cast("string"), F.lit(""))
-    joined = docs.join(passed, docs[id_col].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
-                       & (host == F.col("_host")))
+    passed = verdicts.where("kept").groupBy(F.col(id_col).alias("passed_id"), F.col("text_hash").alias("passed_hash"),
+                                            F.col("host_name").alias("passed_host")).agg(F.first("hashes").alias("boilerplate"))
+    # Numbered columns, so that no name of the documents clashes with these.
+    at = {name: F.col(f"c{i}") for i, name in enumerate(docs.columns)}
+    raw, host = at[text_col], F.coalesce(at[host_col].cast("string"), F.lit(""))
+    joined = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).join(
+        passed, at[id_col].eqNullSafe(F.col("passed_id")) & (F.xxhash64(raw) == F.col("passed_hash")) & (host == F.col("passed_host")))
 
     def stays(line: Column) -> Column:
-        return _with(_normal(line), lambda x: ~F.array_contains(F.col("_hashes"), F.struct(
+        return _with(_normal(line), lambda x: ~F.array_contains(F.col("boilerplate"), F.struct(
             F.xxhash64(host, x).alias("h1"), F.xxhash64(x, host, F.lit(7)).alias("h2"))))
 
-    text = F.when(F.col("_hashes").isNull(), docs[text_col]).otherwise(
-        F.array_join(F.filter(F.split(docs[text_col], "\n"), stays), "\n"))
-    return joined.select(*[(text if c == text_col else docs[c]).alias(c) for c in docs.columns])
+    text = F.when(F.col("boilerplate").isNull(), raw).otherwise(F.array_join(F.filter(F.split(raw, "\n"), stays), "\n"))
+    return joined.select(*[(text if name == text_col else column).alias(name) for name, column in at.items()])

@@ -2,9 +2,10 @@
 
 A rule is a host with a path, such as ``example.net/en/``; it fits its host and all
 subdomains when the url's path starts with the rule's.  Each distinct url is expanded into
-every (host suffix, path prefix) expression a rule could have: suffixes at dots, prefixes
-at slashes, and prefixes of those lengths that rules without a last slash have.  The
-expressions' SHA-256 are joined with the rules' on a short prefix (an equi-join on an
+every (host suffix, path prefix) expression that a rule could have: suffixes at dots of the
+lengths of the rules' hosts, prefixes of the lengths of their paths (at a slash where all
+rules of that length end with one).  So a url of any length gives a bounded number of
+expressions, each as short as a rule.  The expressions' SHA-256 are joined with the rules' on a short prefix (an equi-join on an
 integer), then the full digests are compared.  The longest rule wins; of equally long ones
 the longer host, then block.
 
@@ -14,7 +15,7 @@ url that a third of all pages share is one row.
 
 Defined results: a null url, or one without ``://``, has empty host and path and no rule; a
 url that no rule fits is allowed; null rules and rules with an unknown verdict are an error;
-repeated pages are all returned.
+repeated pages are all returned; columns of the pages named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ SHORT = 8
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 4_000_000
 
+RESULTS = ("url_host", "url_path", "url_rule", "url_verdict")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,20 +43,23 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), F.regexp_extract(F.substring(rest, F.length(host) + 1, F.length(rest)), "^[^?#]*", 0)
 
 
-def _suffixes(host: Column) -> Column:
-    labels = F.split(host, "\\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def _lengths(lengths: list[int]) -> Column:
+    return F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
 
 
-def _prefixes(path: Column, lengths: list[int]) -> Column:
-    parts = F.split(path, "/")
-    at_slash = F.when(F.size(parts) > 1, F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))) \
-        .otherwise(F.array().cast("array<string>"))
-    if not lengths:
-        return at_slash
-    given = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
-    return F.array_distinct(F.concat(at_slash, F.transform(given, lambda n: F.substring(path, F.lit(1), n))))
+def _suffixes(host: Column, lengths: list[int]) -> Column:
+    """The suffixes of a host, at its dots, that have one of these lengths."""
+    size = F.length(host)
+    fits = F.filter(_lengths(lengths), lambda n: (n == size) | (n < size) & (F.substring(host, size - n, F.lit(1)) == "."))
+    return F.transform(fits, lambda n: F.substring(host, size - n + 1, n))
+
+
+def _prefixes(path: Column, lengths: list[int], at_slash: list[int]) -> Column:
+    """The prefixes of a path that have one of these lengths; those of ``at_slash`` end with a slash."""
+    size = F.length(path)
+    fits = F.concat(F.filter(_lengths(lengths), lambda n: n <= size),
+                    F.filter(_lengths(at_slash), lambda n: (n <= size) & (F.substring(path, n, F.lit(1)) == "/")))
+    return F.transform(fits, lambda n: F.substring(path, F.lit(1), n))
 
 
 def _digest(host: Column, path: Column) -> Column:
@@ -66,7 +71,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url") -> D
     facts = rules.agg(
         F.count("*").alias("n"), F.sum(F.length("host") + F.length("path")).alias("bytes"),
         F.count_if(F.col("host").isNull() | F.col("path").isNull() | ~F.coalesce(F.col("verdict").isin("allow", "block"), F.lit(False))).alias("bad"),
-        F.collect_set(F.when(~F.col("path").endswith("/"), F.length("path"))).alias("lengths")).first()
+        F.collect_set(F.length("host")).alias("hosts"),
+        F.collect_set(F.when(~F.col("path").endswith("/"), F.length("path"))).alias("any_end"),
+        F.collect_set(F.when(F.col("path").endswith("/"), F.length("path"))).alias("slashes")).first()
     if facts.bad:
         raise ValueError("every rule needs a host, a path and a verdict, allow or block")
     known = rules.select(
@@ -78,21 +85,25 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url") -> D
     host, path = host_and_path(F.col("the_url"))
     urls = pages.select(F.col(f"`{url_col}`").alias("the_url")).where(F.col("the_url").contains("://")).distinct() \
         .select("the_url", host.alias("host"), path.alias("path"))
-    tried = urls.select("the_url", F.explode(_suffixes(F.col("host"))).alias("host"),
-                        _prefixes(F.col("path"), sorted(facts.lengths)).alias("paths")) \
+    slashes = sorted(set(facts.slashes) - set(facts.any_end))
+    tried = urls.select("the_url", F.explode(_suffixes(F.col("host"), sorted(facts.hosts))).alias("host"),
+                        _prefixes(F.col("path"), sorted(facts.any_end), slashes).alias("paths")) \
         .select("the_url", "host", F.explode("paths").alias("path")) \
         .select("the_url", _digest(F.col("host"), F.col("path")).alias("digest"))
     fits = tried.withColumn("short", F.substring("digest", 1, SHORT)).join(known, "short").where("digest = rule_digest")
     best = fits.groupBy("the_url").agg(F.max(F.struct(
         F.length("rule").alias("length"), "host_length", F.col("verdict").alias("verdict"), "rule")).alias("best")) \
-        .select(F.col("the_url").alias("_url"), F.col("best.rule").alias("url_rule"), F.col("best.verdict").alias("_verdict"))
-    own_host, own_path = host_and_path(pages[url_col])
+        .select("the_url", "best.rule", "best.verdict")
+    # Numbered columns, so that no name of the pages clashes with these.
+    at = {name: F.col(f"c{i}") for i, name in enumerate(pages.columns)}
+    numbered, url = pages.toDF(*[f"c{i}" for i in range(len(pages.columns))]), at[url_col]
+    own_host, own_path = host_and_path(url)
+    kept = [column.alias(name) for name, column in at.items() if name not in RESULTS]
     # Rows without a rule-bearing url can't match: their null keys must not meet in one task.
-    key = F.when(pages[url_col].contains("://"), pages[url_col])
-    usable, rest = pages.where(key.isNotNull()), pages.where(key.isNull())
-    shown = usable.join(best, usable[url_col] == best["_url"], "left").select(
-        *[usable[c] for c in pages.columns], own_host.alias("url_host"), own_path.alias("url_path"), "url_rule",
-        F.coalesce("_verdict", F.lit(DEFAULT_VERDICT)).alias("url_verdict"))
-    blank = rest.select(*[rest[c] for c in pages.columns], F.lit("").alias("url_host"), F.lit("").alias("url_path"),
-                        F.lit(None).cast("string").alias("url_rule"), F.lit(DEFAULT_VERDICT).alias("url_verdict"))
+    usable = F.coalesce(url.contains("://"), F.lit(False))
+    shown = numbered.where(usable).join(best, url == F.col("the_url"), "left").select(
+        *kept, own_host.alias("url_host"), own_path.alias("url_path"), F.col("rule").alias("url_rule"),
+        F.coalesce("verdict", F.lit(DEFAULT_VERDICT)).alias("url_verdict"))
+    blank = numbered.where(~usable).select(*kept, F.lit("").alias("url_host"), F.lit("").alias("url_path"),
+                                           F.lit(None).cast("string").alias("url_rule"), F.lit(DEFAULT_VERDICT).alias("url_verdict"))
     return shown.unionByName(blank)

@@ -353,3 +353,32 @@ def test_urls_with_shuffled_rules(spark, monkeypatch):
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     got = url_filters.judge_urls(pages, rules).select("page_id", "url_host", "url_path", "url_rule", "url_verdict")
     assert sorted(map(tuple, got.collect())) == [(i, *plain_verdict(u)) for i, u in enumerate(URLS)]
+
+
+def test_url_columns_may_have_any_name(spark):
+    rows = [("http://a.net/x", "r", "v", 1, "u"), ("https://example.net/en/1", "r", "v", 2, "u"), (None, "r", "v", 3, "u")]
+    pages = spark.createDataFrame(rows, "url string, url_rule string, _verdict string, c0 int, the_url string")
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow")], "host string, path string, verdict string")
+    got = url_filters.judge_urls(pages, rules).collect()
+    assert sorted((r.c0, r._verdict, r.the_url, r.url_rule, r.url_verdict) for r in got) == [
+        (1, "v", "u", "net/", "block"), (2, "v", "u", "example.net/en/", "allow"), (3, "v", "u", None, "allow")]
+
+
+@pytest.mark.parametrize("middle", ["/" * 100_000, "/a" * 50_000, "." * 100_000])
+def test_very_long_urls(spark, middle):
+    """Slashes and dots without end: the expressions are as many and as long as the rules allow."""
+    url = f"http://{'w.' * 20_000}example.net/en{middle}" if middle[0] == "/" else f"http://x{middle}net/en/"
+    pages = spark.createDataFrame([(url,), ("http://other.org/",)], "url string")
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow"), ("net", "/e", "allow")],
+                                  "host string, path string, verdict string")
+    got = {len(r.url) > 100: (r.url_rule, r.url_verdict) for r in url_filters.judge_urls(pages, rules).collect()}
+    assert got == {True: ("example.net/en/", "allow") if middle[0] == "/" else ("net/e", "allow"), False: (None, "allow")}
+
+
+def test_kept_documents_may_have_any_columns(spark):
+    text = " ".join("plain" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(70))
+    rows = [(1, text, "a", 5, "h", 1, "x"), (2, "short", "a", 6, "h", 2, "y"), (None, text + " more", None, 7, "h", 3, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _hashes int, _doc string, c0 int, passed_id string")
+    got = line_rules.clean_documents(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.where("doc_id is not null").collect()) == [rows[0]] and got.count() == 2

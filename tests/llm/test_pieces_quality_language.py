@@ -1,5 +1,7 @@
 """Sentence pieces against a plain dynamic program; classifiers on held-out rows."""
 
+import re
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -178,6 +180,76 @@ def test_backoff_is_word_then_shorter_grams():
     assert np.allclose(s.word("qq"), 0)
 
 
+def test_language_model_is_as_restated(spark):
+    """Fit and scores by a plain restatement: every word of the labelled rows counts, rare ones too."""
+    words = {"en": ["river", "stone", "the", "and", "house"], "de": ["fluss", "stein", "und", "das", "haus"], "fr": ["fleuve", "pierre", "et", "la", "maison"]}
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(words[lang], 30)) + f" rare{lang}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}", lang)
+            for i, lang in enumerate(["en", "de", "fr"] * 60)]
+    docs = spark.createDataFrame([*rows, (None, "never seen", "en"), (500, "nor this", None)], "doc_id long, text string, lang string")
+    model = language_id.fit_languages(docs)
+    langs = sorted(words)
+    counts = {lang: {} for lang in langs}
+    for _, text, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            counts[lang][w] = counts[lang].get(w, 0) + 1
+    assert model.languages == tuple(langs) and model.words == counts
+    tables = []
+    for size in range(5):                           # 0: whole words
+        table = {}
+        for j, lang in enumerate(langs):
+            for w, n in counts[lang].items():
+                for g in [w] if not size else [f"<{w}>"[i:i + size] for i in range(len(w) + 3 - size)] if size > 1 else list(w):
+                    table.setdefault(g, [0, 0, 0])[j] += n
+        total = np.sum(list(table.values()), 0)
+        tables.append({g: np.log((np.array(n) + 0.5) / (total + 0.5 * len(table))) for g, n in table.items()})
+
+    def score(word):
+        if word in tables[0]:
+            return tables[0][word]
+        for size in (4, 3, 2, 1):
+            found = [tables[size][g] for g in language_id.grams(word, size) if g in tables[size]]
+            if found:
+                return np.mean(found, 0)
+        return np.zeros(3)
+
+    texts = ["the river and the house", "rareenak stones housed", "das fleuvex xyz", "une maison", "q", "pierres " * 50]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language_id.predict_languages(asked, model).collect():
+        of = texts[r.doc_id].split()
+        mean = np.mean([score(w) for w in of], 0)
+        odds = np.exp((mean - mean.max()) * min(len(of), 30))
+        assert r.lang_pred == langs[int(np.argmax(mean))] and r.score == pytest.approx(odds.max() / odds.sum())
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 3)
+    docs = spark.range(8).selectExpr("id as doc_id", "'some text' as text", "concat('l', id) as lang")
+    with pytest.raises(ValueError):
+        language_id.fit_languages(docs)
+
+
+def test_quality_score_is_as_restated(spark):
+    """Chunks of 1 KB, both dictionaries, the difference over all bytes, the logistic curve."""
+    import zstandard
+
+    rows = quality_rows(120)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = compression_quality.fit_quality(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int"))
+
+    def size(raw, content):
+        shared = zstandard.ZstdCompressionDict(content)
+        shared.precompute_compress(level=3)
+        make = zstandard.ZstdCompressor(dict_data=shared, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return sum(len(make.compress(raw[i:i + 1024])) for i in range(0, len(raw), 1024))
+
+    for r in compression_quality.score_quality(docs, model).collect():
+        raw = rows[r.doc_id][1].encode()
+        difference = (size(raw, model.bad) - size(raw, model.good)) / len(raw)
+        assert r.size_difference == pytest.approx(difference)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(model.slope * difference + model.intercept))))
+
+
 def test_language_of_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "12 34 ²½ !!", "c"), (4, "the thing " * 40_000, "d"), (None, "und das", "e"), (5, "das²und", "f")]
     docs = spark.createDataFrame(rows + [rows[4]], "doc_id long, text string, score string").withColumn("lang_pred", F.lit(7))
