@@ -86,34 +86,43 @@ def test_line_rules_run_no_python(spark):
 
 # ---------------------------------------------------------------- line dedup
 
-def deduplicated(rows):
-    """In order of id: a removable chunk that was seen before goes; rows equal in id and text are one document."""
-    seen, out = {}, []
-    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        if text is None:
-            out.append((doc, None))
-            continue
-        raw, keep = text.encode(), []
-        for start, size, removable in line_dedup._chunks(raw):
-            place = (doc, text, start)
-            part = raw[start:start + size]
-            if not removable or seen.setdefault(part, place) == place:
-                keep.append(part)
-        out.append((doc, b"\n".join(keep).decode()))
-    return out
-
-
-def test_chunks_cover_the_text():
-    for text in ("", "\n", "a\n\nb", LONG, f"x\n{LONG}\ny", "\n".join(map(str, range(500)))):
-        raw = text.encode()
-        assert b"\n".join(raw[a:a + n] for a, n in line_dedup.chunks(raw)) == raw
-
-
 def test_boundaries_resist_shifts():
-    lines = [f"line number {i} of the passage" for i in range(200)]
-    plain = {"\n".join(lines).encode()[a:a + n] for a, n in line_dedup.chunks("\n".join(lines).encode())}
-    moved = "\n".join(["something new", *lines[:100], "inserted", *lines[100:]]).encode()
-    assert len({moved[a:a + n] for a, n in line_dedup.chunks(moved)} - plain) <= 5
+    """Chunks of an edited text are those of the plain one, but near the edits; and several lines long."""
+    lines = [f"line number {i} of the passage, which has words" for i in range(400)]
+    raw = "\n".join(lines).encode()
+    plain = {raw[a:a + n] for a, n in line_dedup.chunks(raw)}
+    assert 15 <= len(plain) <= 120
+    for moved in (["something new in front", *lines], [*lines[:100], "inserted here", *lines[100:]], [*lines[:200], *lines[205:]],
+                  ["", *lines[:300], " ", *lines[300:], "the end"]):
+        raw = "\n".join(moved).encode()
+        new = [raw[a:a + n] for a, n in line_dedup.chunks(raw)]
+        assert len(set(new) - plain) <= 3 and len(plain - set(new)) <= 4
+
+
+def test_chunks_are_apart_and_may_be_removed():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        raw = "\n".join(" ".join(["w"] * rng.integers(0, 12)) + str(rng.integers(0, 9)) * rng.integers(0, 2) for _ in range(60)).encode()
+        spans = line_dedup.chunks(raw)
+        assert all(a + n < b for (a, n), (b, _) in zip(spans, spans[1:], strict=False))
+        for a, n in spans:
+            part = raw[a:a + n]
+            filled = [x for x in part.split(b"\n") if x.split()]
+            assert (a == 0 or raw[a - 1:a] == b"\n") and raw[a + n:a + n + 1] in (b"", b"\n") and part.split(b"\n")[0].split()
+            assert len(part.split()) >= 50 or len(filled) > 1 and len(part.split()) >= 10
+    assert line_dedup.chunks(b"") == line_dedup.chunks(b"\n \n") == []
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 20])
+def test_full_filters_change_nothing(spark, monkeypatch, bits):
+    """Filters too small to tell anything apart only send more to the comparison."""
+    monkeypatch.setattr(line_dedup, "LEAST_BITS", bits)
+    monkeypatch.setattr(line_dedup, "FILTER_BITS", bits)
+    passage = [f"passage line {i} with some words" for i in range(60)]
+    rows = [(i, "\n".join([f"own {i} line", *passage[i % 7:50 + i % 9], f"more {i}"])) for i in range(40)]
+    rows += [(100 + i, f"text {i} has only\nlines of its own {i * i}\nand number {i}") for i in range(600)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(map(tuple, got.collect())) == sorted(without_repeated_runs(rows))
 
 
 def test_line_dedup_against_plain_python(spark):
@@ -124,7 +133,7 @@ def test_line_dedup_against_plain_python(spark):
     docs = spark.createDataFrame([(*r, "s", 5) for r in rows], "doc_id long, text string, cuts string, removed int").repartition(4)
     got = line_dedup.dedup_lines(docs)
     assert got.columns == docs.columns
-    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(deduplicated(rows), key=str)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(without_repeated_runs(rows), key=str)
     assert line_dedup.dedup_lines(docs.where("false")).count() == 0
 
 
