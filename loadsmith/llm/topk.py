@@ -12,14 +12,19 @@ plus their sum.  With dimensions in ascending order of bound:
 * the non-essential ones are probed, largest bound first, only for vectors that are still
   competitive: partial sum plus the bounds left is not below the threshold.
 
-The threshold rises from block to block of a shard; shards' results are merged by a ranked
-window.  Ties go to the smaller id, so a vector that equals the threshold stays in.
-
-Query blocks are sent to every shard through an equi-join on the shard's number; nothing is
-broadcast.  Defined results: vectors that are null, or hold a null, NaN or infinite
-component, take no part, nor do null ids; vectors of different lengths compare over the
-dimensions that both have (missing ones count 0); a query with fewer than k candidates gets
-them all; repeated rows are candidates each on their own, and a query row is never its own.
+The threshold rises from block to block of a shard.  Each query first searches one shard, which
+the hash of its row picks; the k-th best score there is the threshold that it takes to all
+other shards.  Shards' results are merged by a ranked window.  Ties go to the smaller id, so a
+vector that equals the threshold stays in.
+
+Shards stay in place: a task gets the vectors of a shard, once, and then the queries stream past
+them in Arrow batches.  So what is shuffled is the table twice (for the first shards, and for the
+others) and the queries once for each shard; nothing is broadcast.
+
+Defined results: vectors that are null, or hold a null, NaN or infinite component, take no part,
+nor do null ids; vectors of different lengths compare over the dimensions that both have (missing
+ones count 0); a query with fewer than k candidates gets them all; repeated rows are candidates
+each on their own, and a query row is never its own.
 """
 
 from __future__ import annotations
@@ -34,7 +39,8 @@ from loadsmith.scratch import materialize
 
 SCALE = 1024
 SHARD_ROWS = 32_768
-QUERY_ROWS = 512
+# A small table is cut into as many shards as there are cores, but not into smaller ones than this.
+LEAST_ROWS = 4_096
 # Vectors of a shard that are scored between two rises of the threshold.
 BLOCK = 4_096
 
@@ -63,8 +69,9 @@ class Shard:
         self.low = self.columns.min(1) if len(ids) else np.zeros(width, np.int64)
         self.high = self.columns.max(1) if len(ids) else np.zeros(width, np.int64)
 
-    def search(self, query: np.ndarray, own_row: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, scores) of the shard's best k, best first; without the query's own row."""
+    def search(self, query: np.ndarray, own_row: int, k: int, least_score: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, scores) of the shard's best k, best first; without the query's own row, nor any
+        below ``least_score``."""
         q = query[:len(self.columns)]
         ends = np.stack([q * self.low[:len(q)], q * self.high[:len(q)]])
         least, bound = ends.min(0), ends.max(0) - ends.min(0)
@@ -73,7 +80,9 @@ class Shard:
         best_at, best = np.empty(0, np.int64), np.empty(0, np.int64)
         for a in range(0, len(self.ids), BLOCK):
             rows = self.columns[:, a:a + BLOCK]
-            floor = int(best[-1]) - base if len(best) == k else 0       # a total below this is out
+            reached = [int(best[-1])] if len(best) == k else []
+            floor = max([s - base for s in reached + ([] if least_score is None else [least_score])], default=0)
+            floor = max(floor, 0)                                       # a total below this is out
             split = min(int(np.searchsorted(reach, floor, "left")), len(order)) - 1 if floor > 0 else 0
             at = np.arange(rows.shape[1])
             total = np.zeros(len(at), np.int64)
@@ -93,39 +102,60 @@ class Shard:
         return best_at, best
 
 
+def _search_task(k: int):
+    """Answers of a shard: its vectors come first (kind 0), then the queries (kind 1)."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        current, held, shard = None, [], None
+        for batch in batches:
+            names, kinds = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
+            edges = [0, *(np.flatnonzero((np.diff(names) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                part = batch.slice(a, b - a)
+                if names[a] != current:
+                    current, held, shard = names[a], [], None
+                if kinds[a] == 0:
+                    held.append(part)
+                    continue
+                if shard is None:                   # all its vectors have come
+                    shard = Shard(*(np.concatenate([p.column(c).to_numpy() for p in held]) if held else np.empty(0, np.int64)
+                                    for c in ("vec_id", "row")), [v for p in held for v in p.column("v").to_pylist()])
+                    held = []
+                out: list[list] = [[], [], [], []]
+                for query_id, row, v, least in zip(*(part.column(c).to_pylist() for c in ("vec_id", "row", "v", "least")), strict=True):
+                    at, score = shard.search(np.asarray(v, np.int64), row, k, least)
+                    for col, x in zip(out, ([query_id] * len(at), shard.ids[at].tolist(), score.tolist(), [row] * len(at)), strict=True):
+                        col.extend(x)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score", "row"])
+
+    return run
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding",
-          shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+          shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where ``is_query`` (a condition on
     ``vec_id``) holds, its k best of all other rows."""
     rows = materialize(quantized(vectors, id_col=id_col, vector_col=vector_col)
                        .withColumn("row", F.monotonically_increasing_id()), "vectors")
-    queries = rows.where(is_query)
-    shards = max(1, -(-rows.count() // shard_rows))
-    blocks = max(1, -(-queries.count() // query_rows))
+    n, cores = rows.count(), vectors.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-n // shard_rows), min(cores, n // LEAST_ROWS))
     # Hashing the unique row numbers deals rows out evenly, whatever the ids are.
-    shard = rows.select(F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), "vec_id", "row", "v")
-    asked = queries.select(F.pmod(F.xxhash64("row", F.lit(3)), F.lit(blocks)).alias("block"),
-                           F.struct("vec_id", "row", "v").alias("q")).groupBy("block").agg(F.collect_list("q").alias("qs"))
-    held = shard.groupBy("shard").agg(F.collect_list(F.struct("vec_id", "row", "v")).alias("vs"))
-    asked = asked.select("block", "qs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    tasks = asked.join(held, "shard").repartition(shards * blocks, "shard", "block")
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                vs, qs = batch.column("vs")[i].values, batch.column("qs")[i].as_py()
-                s = Shard(vs.field("vec_id").to_numpy(), vs.field("row").to_numpy(), vs.field("v").to_pylist())
-                out: list[list] = [[], [], [], []]
-                for q in qs:
-                    at, score = s.search(np.asarray(q["v"], np.int64), q["row"], k)
-                    for col, v in zip(out, ([q["vec_id"]] * len(at), s.ids[at].tolist(), score.tolist(),
-                                            [q["row"]] * len(at)), strict=True):
-                        col.extend(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
-                                                 names=["query_id", "vec_id", "score", "row"])
-
-    found = tasks.select("qs", "vs").mapInArrow(run, RESULT)
+    none = F.lit(None).cast("long")
+    held = rows.select(F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), "vec_id", "row", "v", none.alias("least"))
+    queries = rows.where(is_query).withColumn("first", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(shards)))
+
+    def answers(asked: DataFrame) -> DataFrame:
+        both = held.unionByName(asked.select("shard", F.lit(1).alias("kind"), "vec_id", "row", "v", "least"))
+        dealt = both.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+        return dealt.mapInArrow(_search_task(k), RESULT)
+
+    found = materialize(answers(queries.select(F.col("first").alias("shard"), "vec_id", "row", "v", none.alias("least"))), "first")
+    if shards > 1:
+        reached = found.groupBy(F.col("row").alias("of")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
+        others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")), lambda s: s != F.col("first"))
+        asked = queries.join(reached, F.col("row") == F.col("of"), "left").select(
+            F.explode(others).alias("shard"), "vec_id", "row", "v", F.when(F.col("n") == k, F.col("least")).alias("least"))
+        found = found.unionByName(answers(asked))
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -303,7 +303,7 @@ def test_top_k_against_plain_python(spark, monkeypatch, shard_rows):
     rows += [(200, [0.0] * 6), (201, None), (202, [float("nan")] * 6), (203, [float("inf")] + [0.0] * 5), (204, [None] + [1.0] * 5),
              (None, [1.0] * 6), (10, rows[10][1]), (205, rows[20][1]), (210, []), (206, [2.0, -1.0]), (220, [1.0] * 9)]
     vectors = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, score int").repartition(3)
-    got = topk.top_k(vectors, F.col("vec_id") % 10 == 0, 5, shard_rows=shard_rows, query_rows=4)
+    got = topk.top_k(vectors, F.col("vec_id") % 10 == 0, 5, shard_rows=shard_rows)
     assert sorted(map(tuple, got.collect())) == sorted(plain_top_k(rows, 5))
     assert topk.top_k(vectors.where("false"), F.col("vec_id") % 10 == 0, 5).count() == 0
     few = topk.top_k(vectors.where("vec_id in (0, 1)"), F.col("vec_id") % 10 == 0, 5)
