@@ -5,8 +5,10 @@ They are lazy: nothing runs and nothing is written before the result is used.  C
 broadcasts a side whose files are small (``spark.sql.autoBroadcastJoinThreshold``); else
 the join shuffles, AQE may still broadcast a side it has measured, and splits hot keys.
 
-Left rows with a null key cannot match.  They go around the join and come back by a
-union, with the defaults, so a large block of them is never shuffled.
+Each side is read once and exchanged at most once: a lookup is reduced to one row a key
+(with the number of its rows) by an aggregation whose partitioning the join reuses.  Left
+rows with a null key cannot match; the left join gives them the defaults, and a partition
+that they fill is split like that of any hot key.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.operators._sizing import fail_on_repeated, mark_repeated, not_null
+from loadsmith.operators._sizing import fail_on_repeated, not_null
 
 
 def _key_pairs(on) -> list[tuple[str, str]]:
@@ -45,8 +47,7 @@ def _values(values) -> list[tuple[str, str, object]]:
     return out
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *, on_duplicate: str = "error",
-                null_keys: bool = True) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *, on_duplicate: str = "error") -> DataFrame:
     """Left-join ``lookup`` and add its columns with defaults for misses.
 
     ``on``: a column name, or pairs ``(left_col, lookup_col)``.
@@ -55,7 +56,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *, on_duplicate: s
     ``on_duplicate``: ``"error"`` fails the query when a left row meets a lookup key
     that occurs more than once (it would multiply the row); keys that no left row uses
     are not looked at, at any size.  ``"fanout"`` keeps plain SQL semantics.
-    Null keys never match; ``null_keys=False`` says that the left side has none.
+    Null keys never match.
     """
     if on_duplicate not in ("error", "fanout"):
         raise ValueError("on_duplicate must be 'error' or 'fanout'")
@@ -67,22 +68,19 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, values, *, on_duplicate: s
     lk = lookup.select(*[F.col(r).alias(n) for (_, r), n in zip(pairs, lk_names, strict=True)],
                        *[F.col(src).alias(n) for (_, src, _), n in zip(vals, lv_names, strict=True)])
     lk = lk.where(not_null(lk_names))
+    if on_duplicate == "error":
+        # One row a key.  Which values it has where a key is repeated never shows: such a match fails.
+        n = F.count(F.lit(1))
+        lk = lk.groupBy(*lk_names).agg(F.when(n > 1, n).alias("__times"), *[F.first(c).alias(c) for c in lv_names])
     cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(n) for l, n in zip(lefts, lk_names, strict=True)])
+    joined = df.join(lk, cond, "left")
+    if on_duplicate == "error":
+        # After the join: only keys that a left row meets count.
+        joined = fail_on_repeated(joined, lefts, "lookup keys must be unique")
     outs = []
     for (name, _, default), n in zip(vals, lv_names, strict=True):
         outs.append((F.col(n) if default is None else F.coalesce(F.col(n), F.lit(default))).alias(name))
-    keyed = df.where(not_null(lefts)) if null_keys else df
-    if on_duplicate == "error":
-        # After the join: only keys that a left row meets count.
-        joined = fail_on_repeated(keyed.join(mark_repeated(lk, lk_names), cond, "left"), lefts, "lookup keys must be unique")
-    else:
-        joined = keyed.join(lk, cond, "left")
-    joined = joined.select(*[F.col(c) for c in df.columns], *outs)
-    if not null_keys:
-        return joined
-    loose = df.where(~not_null(lefts)).select(
-        "*", *[F.lit(None).cast(lk.schema[n].dataType).alias(n) for n in lv_names])
-    return joined.unionByName(loose.select(*[F.col(c) for c in df.columns], *outs))
+    return joined.select(*[F.col(c) for c in df.columns], *outs)
 
 
 def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None, *,
@@ -102,14 +100,11 @@ def existence_flag(df: DataFrame, key: str, other: DataFrame, other_key: str | N
     if probe not in ("other", "left"):
         raise ValueError("probe must be 'other' or 'left'")
     ok = other.select(F.col(other_key or key).alias("__ex_k")).where(F.col("__ex_k").isNotNull())
-    keyed = df.where(F.col(key).isNotNull())
     if probe == "left":
-        ok = ok.join(keyed.select(F.col(key).alias("__ex_k")), "__ex_k", "left_semi")
+        ok = ok.join(df.select(F.col(key).alias("__ex_k")), "__ex_k", "left_semi")
     hits = ok.distinct().withColumn("__ex_hit", F.lit(True))
     flag = F.when(F.col("__ex_hit").isNotNull(), F.lit(yes)).otherwise(F.lit(no))
-    joined = keyed.join(hits, F.col(key) == F.col("__ex_k"), "left").select(*[F.col(c) for c in df.columns], flag.alias(name))
-    loose = df.where(F.col(key).isNull()).select(*[F.col(c) for c in df.columns], F.lit(no).alias(name))
-    return joined.unionByName(loose)
+    return df.join(hits, F.col(key) == F.col("__ex_k"), "left").select(*[F.col(c) for c in df.columns], flag.alias(name))
 
 
 def change_tag(batch: DataFrame, target: DataFrame | None, key: str, *, name: str = "__found") -> DataFrame:

@@ -29,7 +29,7 @@ def build(emp: DataFrame, dept: DataFrame, as_of=None, *, on_duplicate: str = "e
     joined = lookup_join(kept, typed_source(dept, schemas.DEPT, cast=cast), "DEPTNO",
                          {"DEPT_NAME": ("DNAME", rules.UNKNOWN),
                           "DEPT_LOCATION": ("LOC", rules.UNKNOWN)},
-                         on_duplicate=on_duplicate, null_keys=False)
+                         on_duplicate=on_duplicate)
     return schemas.as_target(joined, schemas.EMP_LOAD) if cast else joined.select(*schemas.EMP_LOAD_COLS)
 
 

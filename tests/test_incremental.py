@@ -146,7 +146,7 @@ def test_duplicate_rule_is_the_same_at_every_size(spark, scratch, rows):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
-def test_null_keys_go_around_the_joins(spark, threshold):
+def test_null_keys_match_nothing_in_the_joins(spark, threshold):
     """Same results with and without broadcast; left columns of any type."""
     from loadsmith.operators import existence_flag
 

@@ -65,6 +65,25 @@ def test_no_task_gathers_rows(spark, plans):
         assert "SinglePartition" not in plans[name], name
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookups_read_and_exchange_each_side_once(spark, scratch, threshold):
+    """No second scan for null keys, none for repeated keys; the join takes the aggregation's partitioning."""
+    from loadsmith.operators.lookup import existence_flag, lookup_join
+
+    spark.range(1000).selectExpr("id % 90 as k", "id as v").write.parquet(f"{scratch}/left")
+    spark.range(100).selectExpr("id as k", "concat('n', id) as name").write.parquet(f"{scratch}/lk")
+    left, lk = spark.read.parquet(f"{scratch}/left"), spark.read.parquet(f"{scratch}/lk")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for out in (lookup_join(left, lk, "k", {"NAME": ("name", "NONE")}), existence_flag(left, "k", lk, "k", name="F")):
+            text = plan_text(out, "simple")
+            assert text.count("FileScan") == 2 and "Union" not in text
+            assert text.count("Exchange hashpartitioning") == (2 if threshold == "-1" else 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_no_python_udf(plans):
     for name, text in plans.items():
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
