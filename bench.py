@@ -47,8 +47,6 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
                           app="loadsmith-bench")
-    # The tables are single row groups: without this every scan is one task.
-    spark.conf.set("loadsmith.read.partitions", cpus if cpus.isdigit() else "8")
     registry = queries()
     times = {}
     for name in names:
