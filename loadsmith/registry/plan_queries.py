@@ -23,6 +23,7 @@ from loadsmith.plans import (
     customer_data_load, customer_load, emp_load, stg_employee, validation_stage,
 )
 from loadsmith.plans import standins as si
+from loadsmith.sources.key_groups import GROUP_COL, summary_table
 from loadsmith.sources.sinks import BUCKET_COL, table_location
 
 
@@ -150,6 +151,16 @@ def q_bucket_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, table).drop(BUCKET_COL)
 
 
+def q_file_pruned_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two validation loads into a table of key groups; the second rewrites the groups with matching keys."""
+    table, root = _fresh("valg"), scratch_path(spark, "valg")
+    first, second = _val_inputs(spark, sf)
+    validation_stage.load(first, table, root, si.RUN_VAL_1, rows_per_group=1_000)
+    validation_stage.load(second, table, root, si.RUN_VAL_2)
+    spark.sql(f"DROP TABLE {summary_table(table)}")
+    return _read_back(spark, table).drop(GROUP_COL)
+
+
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
@@ -163,4 +174,5 @@ QUERIES = {
     "first_load_roundtrip": q_first_load_roundtrip,
     "snapshot_upsert_roundtrip": q_snapshot_upsert_roundtrip,
     "bucket_upsert_roundtrip": q_bucket_upsert_roundtrip,
+    "file_pruned_upsert_roundtrip": q_file_pruned_upsert_roundtrip,
 }

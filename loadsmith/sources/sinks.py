@@ -9,7 +9,8 @@ the operator's retention job.
 
 ``upsert_table_buckets`` is the scale option: the target is partitioned by a
 hash bucket of the key and only the buckets the batch touches are rewritten
-(dynamic partition overwrite).
+(dynamic partition overwrite).  ``key_groups.upsert_table_groups`` rewrites only the files
+that hold matching keys.
 
 Nothing is published before it fits: an upsert casts the batch to the table's own
 types and fails on a value that a cast would change; a rebuild replaces the schema.
@@ -152,7 +153,7 @@ def merge_into(batch: DataFrame, table: str, keys) -> None:
         spark.catalog.dropTempView(view)
 
 
-def _checked(batch: DataFrame, table: str, keys: list[str], require_keys: bool):
+def checked_keys(batch: DataFrame, table: str, keys: list[str], require_keys: bool):
     """Key facts of a stored batch, after the key checks."""
     facts = key_facts(batch, keys)
     assert_keyed(batch, keys, facts)
@@ -190,7 +191,7 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
         previous = target.agg(F.max(watermark).cast("string")).first()[0]
     with Scratch(spark) as keep:
         batch = keep(batch if target is None else fitted(batch, target), "batch")
-        facts = _checked(batch, table, keys, require_keys)
+        facts = checked_keys(batch, table, keys, require_keys)
         if check is not None:
             check(batch)
         if exists and not facts.rows:
@@ -251,7 +252,7 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     with Scratch(spark) as keep:
         fit = batch if target is None else fitted(batch, target.drop(BUCKET_COL))
         batch = keep(fit.withColumn(BUCKET_COL, key_bucket(keys, buckets)), "batch")
-        facts = _checked(batch, table, keys, require_keys)
+        facts = checked_keys(batch, table, keys, require_keys)
         if check is not None:
             check(batch.drop(BUCKET_COL))
         if not exists:
