@@ -13,8 +13,9 @@ from loadsmith.operators.upsert import latest_per_key
 from loadsmith.scratch import Scratch
 from loadsmith.sources.key_groups import GROUP_COL, upsert_table_groups
 from loadsmith.sources.sinks import (
-    BUCKET_COL, stored_watermark, table_exists, upsert_table, upsert_table_buckets,
+    BUCKET_COL, finish_publish, stored_watermark, table_exists, upsert_table, upsert_table_buckets,
 )
+from loadsmith.sources.tagged import upsert_tagged
 from loadsmith.sources.tables import as_source, incremental_scan, typed_source, watermark_bound
 
 
@@ -32,16 +33,19 @@ def new_rows(source: DataFrame, schema: T.StructType, target: DataFrame | None,
 def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType, plan: str, keys,
              build: Callable[[DataFrame, DataFrame | None], DataFrame], table: str, root: str, *,
              buckets: int | None = None, rows_per_group: int | None = None, dedupe: bool = False, partition_col: str | None = None,
-             lookback: str | None = None, require_keys: bool = False, references=(), check_schema: bool = False):
+             lookback: str | None = None, require_keys: bool = False, references=(), check_schema: bool = False, tag=None):
     """Scan the rows beyond the table's watermark, build the batch and upsert it.
 
     The scanned rows are stored once, so lookups and tags see their true size.
     ``references``: (column, parent frame, parent column); a row of the new ones whose
     non-null column has no parent fails the load before anything is published.
     ``rows_per_group`` makes a table of key groups, of which only those are rewritten that
-    hold a key of the batch; an existing one is known by its columns.
+    hold a key of the batch; an existing one is known by its columns.  ``tag``: (id column, rows
+    before the tag, rows from them and the tag); a table of versions is then read once for tag
+    and upsert (``sources.tagged``).
     """
     wm = schemas.WATERMARKS[plan]
+    finish_publish(spark, table, root)
     target = spark.table(table).drop(BUCKET_COL, GROUP_COL) if table_exists(spark, table) else None
     bound = stored_watermark(spark, table, wm)
     if target is not None and bound is None:
@@ -53,12 +57,17 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
         rows = keep(rows, "rows")
         for column, parent, parent_column in references:
             assert_relationships(rows, column, parent, parent_column)
-        batch = build(rows, target)
+        options = {"watermark": wm, "require_keys": require_keys, "check_schema": check_schema}
+        columns = spark.table(table).columns if target is not None else []
+        grouped, bucketed = rows_per_group or GROUP_COL in columns, buckets or BUCKET_COL in columns
+        one_read = tag is not None and not grouped and not bucketed
+        batch = tag[1](rows) if one_read else build(rows, target)
         if dedupe:      # keep the newest row per key (by watermark) instead of failing
             batch = latest_per_key(batch, keys, wm)
-        options = {"watermark": wm, "require_keys": require_keys, "check_schema": check_schema}
-        if rows_per_group or table_exists(spark, table) and GROUP_COL in spark.table(table).columns:
+        if one_read:
+            return upsert_tagged(batch, table, keys, tag[0], tag[2], root, **options)
+        if grouped:
             return upsert_table_groups(batch, table, keys, root, **options, **({"rows_per_group": rows_per_group} if rows_per_group else {}))
-        if buckets or table_exists(spark, table) and BUCKET_COL in spark.table(table).columns:
+        if bucketed:
             return upsert_table_buckets(batch, table, keys, root, buckets=buckets, **options)
         return upsert_table(batch, table, keys, root, **options)

@@ -25,31 +25,38 @@ NAME = "validation_stage"
 KEY = "DATA_SRC_VAL_STAGE_ID"
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """The rows with their surrogate key, before the tag."""
+    return rows.select(surrogate_key("DATA_SRC_VAL_ID", "DATA_SRC_ID", "VAL_RULE_ID").alias(KEY), *rows.columns)
+
+
+def finished(tagged: DataFrame, found: str, as_of=None, *, audit: bool = False, cast: bool = True) -> DataFrame:
+    """The target's rows from keyed ones and their tag ``found``."""
+    out = tagged.select(
+        *[c for c in tagged.columns if c != found],
+        rules.load_ts_for(F.col(found), run_ts=run_timestamp(as_of)).alias("LOAD_TS"),
+        rules.strategy_flag(F.col(found)).alias("UPDATE_STRATEGY_FLAG"),
+    )
+    if audit:
+        return out.select(*schemas.VALIDATION_STAGE_COLS, "UPDATE_STRATEGY_FLAG")
+    return schemas.as_target(out, schemas.VALIDATION_STAGE) if cast else out.select(*schemas.VALIDATION_STAGE_COLS)
+
+
 def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None, *,
           bound: str | None = None, partition_col: str | None = None, lookback: str | None = None,
           audit: bool = False, scan: bool = True, cast: bool = True) -> DataFrame:
     """The batch, lazily; ``scan=False`` takes every given row, ``cast=False`` their own types."""
     batch = new_rows(data_src_val, schemas.DATA_SRC_VAL, target, schemas.WATERMARKS[NAME] if scan else None,
                      bound=bound, partition_col=partition_col, lookback=lookback, cast=cast)
-    keyed = batch.select(
-        surrogate_key("DATA_SRC_VAL_ID", "DATA_SRC_ID", "VAL_RULE_ID").alias(KEY), *batch.columns)
-    tagged = change_tag(keyed, target, "DATA_SRC_VAL_ID", name="__found")
-    found = F.col("__found")
-    out = tagged.select(
-        *keyed.columns,
-        rules.load_ts_for(found, run_ts=run_timestamp(as_of)).alias("LOAD_TS"),
-        rules.strategy_flag(found).alias("UPDATE_STRATEGY_FLAG"),
-    )
-    if audit:
-        return out.select(*schemas.VALIDATION_STAGE_COLS, "UPDATE_STRATEGY_FLAG")
-    return schemas.as_target(out, schemas.VALIDATION_STAGE) if cast else out.select(*schemas.VALIDATION_STAGE_COLS)
+    tagged = change_tag(keyed(batch), target, "DATA_SRC_VAL_ID", name="__found")
+    return finished(tagged, "__found", as_of, audit=audit, cast=cast)
 
 
 def load(data_src_val, table: str, root: str, as_of=None, *, buckets: int | None = None, rows_per_group: int | None = None, dedupe: bool = False,
          partition_col: str | None = None, lookback: str | None = None, require_keys: bool = False,
          spark: SparkSession | None = None):
-    """Upsert the rows beyond the watermark into ``table``: a new version under ``root``,
-    or with ``buckets`` a table partitioned by key bucket where only touched buckets are
+    """Upsert the rows beyond the watermark into ``table``: a new version under ``root`` (one read of
+    the target for tag and upsert), or with ``buckets`` a table partitioned by key bucket where only touched buckets are
     rewritten, or with ``rows_per_group`` one of key groups (``sources.key_groups``).  Sources are frames, table names or paths.  A batch holding a key twice
     fails, unless ``dedupe`` keeps the newest row per key (by the watermark column).
     ``partition_col`` names the source's day partition of the watermark, ``lookback`` widens
@@ -57,4 +64,5 @@ def load(data_src_val, table: str, root: str, as_of=None, *, buckets: int | None
     spark = spark or data_src_val.sparkSession
     return run_load(spark, data_src_val, schemas.DATA_SRC_VAL, NAME, [KEY],
                     lambda rows, target: build(rows, target, as_of, scan=False), table, root, buckets=buckets, rows_per_group=rows_per_group,
-                    dedupe=dedupe, partition_col=partition_col, lookback=lookback, require_keys=require_keys)
+                    dedupe=dedupe, partition_col=partition_col, lookback=lookback, require_keys=require_keys,
+                    tag=("DATA_SRC_VAL_ID", keyed, lambda tagged, found: finished(tagged, found, as_of)))

@@ -161,6 +161,15 @@ def q_file_pruned_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, table).drop(GROUP_COL)
 
 
+def q_tagged_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two validation loads by new table versions; the second reads the target once, for tag and upsert."""
+    table, root = _fresh("valt"), scratch_path(spark, "valt")
+    first, second = _val_inputs(spark, sf)
+    validation_stage.load(first, table, root, si.RUN_VAL_1)
+    validation_stage.load(second, table, root, si.RUN_VAL_2)
+    return _read_back(spark, table)
+
+
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
@@ -174,5 +183,6 @@ QUERIES = {
     "first_load_roundtrip": q_first_load_roundtrip,
     "snapshot_upsert_roundtrip": q_snapshot_upsert_roundtrip,
     "bucket_upsert_roundtrip": q_bucket_upsert_roundtrip,
+    "tagged_upsert_roundtrip": q_tagged_upsert_roundtrip,
     "file_pruned_upsert_roundtrip": q_file_pruned_upsert_roundtrip,
 }

@@ -49,3 +49,36 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder (any file system that Spark can write to)."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False if it does."""
+    files, hadoop = _file_system(spark, path)
+    try:
+        out = files.create(hadoop, False)
+    except Exception:
+        if files.exists(hadoop):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    files, hadoop = _file_system(spark, path)
+    if not files.exists(hadoop):
+        return None
+    stream = files.open(hadoop)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -5,7 +5,9 @@ old files are removed before the read finishes).  So an upsert writes the
 new state to a fresh versioned folder and then repoints the catalog table to it:
 readers see the old or the new version, never a half-written one, and a job
 that dies leaves the current version untouched.  Old versions are left for
-the operator's retention job.
+the operator's retention job.  Of two upserts that start from one version the second fails
+(``ConcurrentWriteError``): the catalog has no compare-and-set, so the repointing is done under
+a commit record in ``root``, which a later run finishes when its writer died.
 
 ``upsert_table_buckets`` is the scale option: the target is partitioned by a
 hash bucket of the key and only the buckets the batch touches are rewritten
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from loadsmith.operators._sizing import key_facts, not_null
 from loadsmith.operators.checks import DataCheckError, assert_same_schema
 from loadsmith.operators.upsert import assert_keyed, upsert_frame
-from loadsmith.scratch import Scratch
+from loadsmith.scratch import Scratch, create_file, read_file, remove
 from loadsmith.sources.tables import read_lossless
 
 
@@ -57,12 +59,72 @@ def table_location(spark: SparkSession, table: str) -> str:
     return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another writer changed the table after this one had read it."""
+
+
+ABSENT = ""      # as an expected location: the table must not exist yet
+
+
+def _commit_record(root: str) -> str:
+    return f"{root.rstrip('/')}/_commit"
+
+
+def _repoint(spark: SparkSession, table: str, path: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.sql(f"REFRESH TABLE {table}")
+
+
+def publish(spark: SparkSession, table: str, root: str, path: str, expected: str) -> None:
+    """Point ``table`` at ``path`` if it is still at ``expected``, else fail with ``ConcurrentWriteError``.
+
+    ``expected=ABSENT`` creates the table; the catalog refuses a second one.  Else the commit
+    record, a file that only one writer can create (as far as the store's exclusive create is
+    atomic), covers the comparison and the repointing.
+    """
+    if expected == ABSENT:
+        try:
+            spark.catalog.createTable(table, path=path, source="parquet")
+        except Exception as failure:
+            if table_exists(spark, table):
+                raise ConcurrentWriteError(f"{table} was created by another writer; {path} is not published") from failure
+            raise
+        return
+    record = _commit_record(root)
+    if not create_file(spark, record, f"{expected}\n{path}\n"):
+        raise ConcurrentWriteError(f"another writer is publishing {table} ({record}); {path} is not published")
+    try:
+        now = table_location(spark, table)
+        if now != expected:
+            raise ConcurrentWriteError(f"{table} is at {now}, not at {expected} any more; {path} is not published")
+        _repoint(spark, table, path)
+    finally:
+        remove(spark, record)
+
+
+def finish_publish(spark: SparkSession, table: str, root: str) -> None:
+    """End the commit of a writer that died between its record and the repointing.
+
+    The version it names is whole (it was written before the record), so the table moves on to
+    it; a record that was not written to its end belongs to a version nobody has seen and goes.
+    """
+    text = read_file(spark, _commit_record(root))
+    if text is None:
+        return
+    if text.endswith("\n") and text.count("\n") == 2:
+        expected, path = text.splitlines()
+        if table_exists(spark, table) and table_location(spark, table) == expected:
+            _repoint(spark, table, path)
+    remove(spark, _commit_record(root))
+
+
 def write_snapshot(df: DataFrame, table: str, root: str, run_id: str | None = None, *,
-                   replace_version: bool = False) -> str:
+                   replace_version: bool = False, expected: str | None = None) -> str:
     """Write ``df`` to a new version folder under ``root`` and point ``table`` at it.
 
     ``replace_version`` lets a retried run overwrite its own unfinished version
-    folder (never the one the table points at).
+    folder (never the one the table points at).  With ``expected``, the location that ``df``
+    was made from (or ``ABSENT``), the table is repointed only from there (``publish``).
     """
     spark = df.sparkSession
     path = _version_path(root, run_id)
@@ -70,9 +132,11 @@ def write_snapshot(df: DataFrame, table: str, root: str, run_id: str | None = No
             table_location(spark, table).rstrip("/").endswith(path.rstrip("/").split("/")[-1]):
         raise ValueError(f"{path} is the current version of {table}")
     df.write.mode("overwrite" if replace_version else "errorifexists").parquet(path)
+    if expected is not None:
+        publish(spark, table, root, path, expected)
+        return path
     if table_exists(spark, table) and _shape(spark.table(table)) == _shape(df):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {table}")
+        _repoint(spark, table, path)
         return path
     if table_exists(spark, table):          # another schema: the table follows its new version
         spark.sql(f"DROP TABLE {table}")    # external: its files stay
@@ -179,10 +243,12 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     ``require_keys`` refuses null keys; ``check`` is called with the stored batch before
     anything is published.  With ``watermark``, the new high-water mark (the larger of the
     recorded one and the batch's maximum) is recorded with the version that holds it.
+    Of two writers that start from one version the second fails with ``ConcurrentWriteError``.
     """
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     exists = table_exists(spark, table)
+    base = table_location(spark, table) if exists else ABSENT
     target = spark.table(table) if exists else None
     if exists and check_schema:
         assert_same_schema(batch, target)
@@ -202,7 +268,7 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
             merge_into(batch, table, keys)
             path = table_location(spark, table)
         elif method == "snapshot":
-            path = write_snapshot(upsert_frame(target, batch, keys, facts=facts), table, root, run_id)
+            path = write_snapshot(upsert_frame(target, batch, keys, facts=facts), table, root, run_id, expected=base)
         else:
             raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
         if watermark:

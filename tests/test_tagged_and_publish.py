@@ -1,0 +1,156 @@
+"""Tag and upsert in one read of the target; two writers, and writers that die at the commit."""
+
+import random
+
+import pytest
+from conftest import plan_text
+from pyspark.sql import functions as F
+
+from loadsmith.operators import DataCheckError
+from loadsmith.plans import validation_stage
+from loadsmith.scratch import create_file, read_file
+from loadsmith.sources import sinks, tagged
+from loadsmith.sources.sinks import ConcurrentWriteError, stored_watermark, table_location, upsert_table
+
+SCHEMA = "k string, id long, wm long, v string"
+
+
+def finish(rows, found):
+    return rows.withColumn("v", F.when(F.col(found), F.concat(F.lit("seen "), "v")).otherwise(F.col("v"))).drop(found)
+
+
+def rows_of(spark, table):
+    return sorted((tuple(r) for r in spark.table(table).collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("fits", [True, False])
+def test_many_batches_are_as_a_dictionary(spark, scratch, seed, fits, monkeypatch):
+    """Null ids, null keys, and an id that holds a third of the rows; broadcast and shuffled."""
+    if not fits:
+        monkeypatch.setattr("loadsmith.operators._sizing.KeyFacts.fits", lambda self, limit=0: False)
+    rnd, state, loose, table = random.Random(seed), {}, [], f"t_tag{seed}{fits}"
+    for step in range(3):
+        batch = {}
+        for _ in range(30):
+            i = rnd.choice([7, None, rnd.randint(0, 40)])
+            batch[f"{i}-{rnd.randint(0, 5)}"] = i
+        rows = [(k, i, step, f"{k}@{step}") for k, i in batch.items()]
+        nulls = [(None, rnd.choice([7, None, 99 + step]), step, f"loose {step}")]
+        ids = {r[1] for r in [*state.values(), *loose]} - {None}
+        tag = [(k, i, w, f"seen {v}" if i in ids else v) for k, i, w, v in [*rows, *nulls]]
+        state |= {r[0]: r for r in tag if r[0] is not None}
+        loose += [r for r in tag if r[0] is None]
+        tagged.upsert_tagged(spark.createDataFrame([*rows, *nulls], SCHEMA), table, "k", "id", finish, f"{scratch}/t", watermark="wm")
+        assert rows_of(spark, table) == sorted([*state.values(), *loose], key=str)
+        assert stored_watermark(spark, table, "wm") == str(step)
+
+
+def test_target_is_scanned_once_and_not_shuffled(spark, scratch):
+    spark.range(1000).selectExpr("cast(id as string) k", "id", "id wm", "'x' v").write.parquet(f"{scratch}/target")
+    spark.createDataFrame([("3", 3, 1, "y")], SCHEMA).write.parquet(f"{scratch}/batch")
+    target, batch = spark.read.parquet(f"{scratch}/target"), spark.read.parquet(f"{scratch}/batch")
+    text = plan_text(tagged.split_target(target, batch, ["k"], "id", broadcast_keys=True, broadcast_ids=True))
+    assert text.count(f"Location: InMemoryFileIndex [file:{scratch}/target]") == 1
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin LeftOuter") >= 2
+
+
+def test_the_write_keeps_both_parts_unsorted(spark, scratch):
+    target = spark.range(100).selectExpr("cast(id as string) k", "id", "id wm", "'x' v")
+    batch = spark.createDataFrame([("3", 3, 1, "y"), ("new", 5, 1, "y")], SCHEMA)
+    tagged.write_parts(tagged.split_target(target, batch, ["k"], "id"), f"{scratch}/parts")
+    parts = spark.read.parquet(f"{scratch}/parts").groupBy("part").count().collect()
+    assert {tuple(r) for r in parts} == {("stays", 99), ("found", 2)}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_tagged_batches_are_checked_before_anything_is_published(spark, scratch):
+    first = spark.createDataFrame([("a", 1, 1, "x")], SCHEMA)
+    path = tagged.upsert_tagged(first, "t_tchk", "k", "id", finish, f"{scratch}/t")
+    for bad, options in (([("b", 1, 1, "x"), ("b", 2, 1, "x")], {}), ([(None, 1, 1, "x")], {"require_keys": True})):
+        with pytest.raises(DataCheckError):
+            tagged.upsert_tagged(spark.createDataFrame(bad, SCHEMA), "t_tchk", "k", "id", finish, f"{scratch}/t", **options)
+    with pytest.raises(DataCheckError):
+        tagged.upsert_tagged(first, "t_tchk", "k", "id", lambda rows, found: rows.drop(found).withColumn("w", F.lit(1)), f"{scratch}/t",
+                             check_schema=True)
+
+    def refuse(rows):
+        raise DataCheckError("refused")
+
+    with pytest.raises(DataCheckError):
+        tagged.upsert_tagged(first, "t_tchk", "k", "id", finish, f"{scratch}/t", check=refuse)
+    assert tagged.upsert_tagged(first.limit(0), "t_tchk", "k", "id", finish, f"{scratch}/t").endswith(path)
+    assert rows_of(spark, "t_tchk") == [("a", 1, 1, "x")]
+
+
+def test_the_second_of_two_writers_fails(spark, scratch):
+    def df(*rows):
+        return spark.createDataFrame(list(rows), "k long, v string")
+
+    root = f"{scratch}/two"
+    upsert_table(df((1, "a")), "t_two", "k", root)
+
+    def other_first(batch):
+        upsert_table(df((2, "other")), "t_two", "k", root)
+
+    with pytest.raises(ConcurrentWriteError):
+        upsert_table(df((1, "mine")), "t_two", "k", root, check=other_first)
+    assert rows_of(spark, "t_two") == [(1, "a"), (2, "other")]      # no lost update
+    upsert_table(df((1, "again")), "t_two", "k", root)
+    assert rows_of(spark, "t_two") == [(1, "again"), (2, "other")]
+
+    def created_first(batch):
+        upsert_table(df((5, "other")), "t_two_new", "k", f"{root}/new")
+
+    with pytest.raises(ConcurrentWriteError):
+        upsert_table(df((6, "mine")), "t_two_new", "k", f"{root}/new", check=created_first)
+    assert rows_of(spark, "t_two_new") == [(5, "other")]
+
+
+def test_a_writer_that_died_at_its_commit(spark, scratch, monkeypatch):
+    def df(*rows):
+        return spark.createDataFrame(list(rows), "k long, v string")
+
+    root = f"{scratch}/died"
+    upsert_table(df((1, "a")), "t_cdied", "k", root)
+    old = table_location(spark, "t_cdied")
+
+    class Dead(BaseException):
+        pass
+
+    def die(*a):
+        raise Dead
+
+    with monkeypatch.context() as m:        # the record is written, neither the table nor the record is touched after
+        m.setattr(sinks, "_repoint", die)
+        m.setattr(sinks, "remove", lambda spark, path: None)
+        with pytest.raises(Dead):
+            upsert_table(df((2, "b")), "t_cdied", "k", root)
+    assert table_location(spark, "t_cdied") == old
+    with pytest.raises(ConcurrentWriteError):
+        upsert_table(df((3, "c")), "t_cdied", "k", root)
+    sinks.finish_publish(spark, "t_cdied", root)
+    assert rows_of(spark, "t_cdied") == [(1, "a"), (2, "b")]
+    assert read_file(spark, f"{root}/_commit") is None
+    upsert_table(df((3, "c")), "t_cdied", "k", root)
+    # A record cut off in its writing, and one whose repointing was done: both just go.
+    for text in ("file:/somewhe", f"{old}\n{old}\n"):
+        assert create_file(spark, f"{root}/_commit", text)
+        assert not create_file(spark, f"{root}/_commit", text)
+        sinks.finish_publish(spark, "t_cdied", root)
+        assert read_file(spark, f"{root}/_commit") is None
+        assert rows_of(spark, "t_cdied") == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_load_ends_the_commit_of_a_dead_writer(spark, scratch):
+    from loadsmith import schemas
+
+    empty = spark.createDataFrame([], schemas.DATA_SRC_VAL)
+    root = f"{scratch}/val"
+    validation_stage.load(empty, "t_vdead", root, "2024-01-01 00:00:00")
+    at = table_location(spark, "t_vdead")
+    whole = f"{root}/v=whole"
+    spark.table("t_vdead").write.parquet(whole)
+    create_file(spark, f"{root}/_commit", f"{at}\n{whole}\n")
+    validation_stage.load(empty, "t_vdead", root, "2024-01-01 00:00:00")
+    assert table_location(spark, "t_vdead").endswith("v=whole")
