@@ -12,6 +12,7 @@ from loadsmith.operators.checks import assert_relationships
 from loadsmith.operators.upsert import latest_per_key
 from loadsmith.scratch import Scratch
 from loadsmith.sources.key_groups import GROUP_COL, upsert_table_groups
+from loadsmith.sources.redo import finish_replace
 from loadsmith.sources.sinks import (
     BUCKET_COL, finish_publish, stored_watermark, table_exists, upsert_table, upsert_table_buckets,
 )
@@ -46,6 +47,7 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
     """
     wm = schemas.WATERMARKS[plan]
     finish_publish(spark, table, root)
+    finish_replace(spark, table, root)
     target = spark.table(table).drop(BUCKET_COL, GROUP_COL) if table_exists(spark, table) else None
     bound = stored_watermark(spark, table, wm)
     if target is not None and bound is None:

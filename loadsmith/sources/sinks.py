@@ -162,7 +162,7 @@ BUCKETS_PROPERTY = "loadsmith.buckets"
 BUCKET_COL = "_key_bucket"
 
 
-def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
@@ -171,7 +171,7 @@ def stored_watermark(spark: SparkSession, table: str, wm: str) -> str | None:
     the table points at now; a table that was pointed elsewhere has none."""
     if not table_exists(spark, table):
         return None
-    props = _properties(spark, table)
+    props = properties(spark, table)
     if props.get(f"{WATERMARK_PROPERTY}{wm}.version") != table_location(spark, table):
         return None
     return props.get(WATERMARK_PROPERTY + wm)
@@ -184,10 +184,14 @@ def record_watermark(spark: SparkSession, table: str, wm: str, value: str | None
 
 
 def advance_watermark(batch: DataFrame, table: str, wm: str, previous: str | None) -> None:
-    """Record the larger of the previous mark and the (small) batch's maximum, compared in the column's type."""
+    """Record the larger of the previous mark and the (small) batch's maximum."""
+    record_watermark(batch.sparkSession, table, wm, newest_mark(batch, wm, previous))
+
+
+def newest_mark(batch: DataFrame, wm: str, previous: str | None) -> str | None:
+    """The larger of the previous mark and the batch's maximum, compared in the column's type."""
     known = F.lit(previous).cast(batch.schema[wm].dataType)
-    newest = batch.agg(F.greatest(F.max(F.col(wm)), known).cast("string").alias("m")).first()["m"]
-    record_watermark(batch.sparkSession, table, wm, newest)
+    return batch.agg(F.greatest(F.max(F.col(wm)), known).cast("string").alias("m")).first()["m"]
 
 
 MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
@@ -276,6 +280,9 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
         return path
 
 
+LOOSE_ROWS = 1_000_000      # rows with a null key in a bucket of their own
+
+
 def key_bucket(keys, buckets: int):
     """Bucket of a key: 0 and up by its hash; rows with a null key are dealt over as many
     buckets below 0, by chance, since they are only ever appended."""
@@ -295,15 +302,19 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
     is a few hundred MB) and kept as a table property; a later call takes it from there and
     refuses another one.  The target read is pruned to the touched buckets (a partition
     filter of at most ``buckets`` values), the upsert runs per bucket, and dynamic partition
-    overwrite replaces just those partitions.  Rows with a null key are appended to buckets
-    of their own and never read or rewritten.  The batch's keyed rows are published in one
-    step, its null-key rows in a second.  Other options as in ``upsert_table``.
+    overwrite replaces just those partitions.  Rows with a null key are put into new buckets
+    of their own (below all others) and never read or rewritten.  Keyed and null-key rows and the
+    watermark are one commit (``sources.redo``).  Other options as in ``upsert_table``.
     """
+    from loadsmith.sources import redo
+
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     exists = table_exists(spark, table)
     if exists:
-        stored = _properties(spark, table).get(BUCKETS_PROPERTY)
+        redo.finish_replace(spark, table, path)
+        base = redo.last_commit(spark, table)
+        stored = properties(spark, table).get(BUCKETS_PROPERTY)
         if stored is None or buckets not in (None, int(stored)):
             raise ValueError(f"{table} is stored in {stored or 'no'} key buckets, not {buckets}")
         buckets = int(stored)
@@ -325,28 +336,18 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
             (batch.hint("rebalance", BUCKET_COL).write.partitionBy(BUCKET_COL).format("parquet")
              .option("path", path).saveAsTable(table))
             spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{buckets}')")
+            if watermark:
+                advance_watermark(batch, table, watermark, previous)
         elif facts.rows:
             touched = [r[0] for r in batch.where(F.col(BUCKET_COL) >= 0).select(BUCKET_COL).distinct().collect()]
-            if touched:
-                held = target.where(F.col(BUCKET_COL).isin(touched))
-                keyed = batch.where(F.col(BUCKET_COL) >= 0).select(*target.columns)
-                # Stored first: a table must not be overwritten while it is read.
-                result = keep(upsert_frame(held, keyed, [*keys, BUCKET_COL], check_unique=False, facts=facts), "result")
-                _insert(result.select(*target.columns), table, overwrite=True)
+            held = target.where(F.col(BUCKET_COL).isin(touched))
+            keyed = batch.where(F.col(BUCKET_COL) >= 0).select(*target.columns)
+            result = upsert_frame(held, keyed, [*keys, BUCKET_COL], check_unique=False, facts=facts)
             if facts.null_rows:
-                _insert(batch.where(F.col(BUCKET_COL) < 0).select(*target.columns), table, overwrite=False)
-        if watermark and (facts.rows or not exists):
-            advance_watermark(batch, table, watermark, previous)
-
-
-def _insert(rows: DataFrame, table: str, overwrite: bool) -> None:
-    """Replace or extend only the partitions that ``rows`` has; large ones are split over tasks."""
-    spark = rows.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        rows.hint("rebalance", BUCKET_COL).write.mode("overwrite" if overwrite else "append").insertInto(table)
-    finally:
-        spark.conf.set(key, before)
-    spark.catalog.refreshTable(table)
+                lowest = min([0, *(int(r["partition"].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect())])
+                spread = -(-facts.null_rows // LOOSE_ROWS)
+                loose = batch.where(F.col(BUCKET_COL) < 0).withColumn(
+                    BUCKET_COL, (lowest - 1 - F.floor(F.rand(11) * spread)).cast("int"))
+                result = result.unionByName(loose)
+            redo.replace_partitions(result.select(*target.columns), table, path, expected=base, watermark=watermark,
+                                    mark=newest_mark(batch, watermark, previous) if watermark else None)
