@@ -31,13 +31,15 @@ def assert_keyed(batch: DataFrame, keys, facts: KeyFacts) -> None:
 
 
 def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *, check_unique: bool = True,
-                 check_schema: bool = False, facts: KeyFacts | None = None) -> DataFrame:
+                 check_schema: bool = False, facts: KeyFacts | None = None, gone: DataFrame | None = None) -> DataFrame:
     """The target after applying ``batch``, keyed on ``keys``.
 
     A null key never matches: such target rows stay and such batch rows are
     appended again on every run.  ``check_unique`` fails on a batch that holds
     a non-null key twice (the result would no longer be keyed): at once with
-    ``facts``, else when the result is computed.
+    ``facts``, else when the result is computed.  ``gone`` holds keys (in columns named as
+    ``keys``) whose target rows leave; a batch row under such a key still comes in.  Its keys
+    count in ``facts``.
     """
     keys = _names(keys)
     if check_schema:
@@ -52,6 +54,8 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *, check_uniq
     # No distinct: an anti join ignores duplicate keys on its build side.
     names = [f"__bk{i}" for i in range(len(keys))]
     known = batch.where(not_null(keys)).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    if gone is not None:
+        known = known.unionByName(gone.where(not_null(keys)).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]))
     if facts is not None and facts.fits():
         known = F.broadcast(known)
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(keys, names, strict=True)])
@@ -60,6 +64,28 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame, keys, *, check_uniq
     return kept.unionByName(loose).unionByName(batch.select(*target.columns))
 
 
+def changed_rows(batch: DataFrame, target: DataFrame | None, keys, *, ignore=(), facts: KeyFacts | None = None) -> DataFrame:
+    """The batch's rows that an upsert would not repeat: those whose key the target lacks, and those that
+    differ from the target's row of that key in a column which both have and ``ignore`` does not name.
+
+    Values are compared, not hashes of them; nulls are equal to nulls.  Rows with a null key match nothing and
+    stay.  The target is cut down to the batch's keys before its rows are compared (streamed past them when
+    ``facts`` say that they fit a broadcast).
+    """
+    keys = _names(keys)
+    if target is None:
+        return batch
+    compared = [c for c in batch.columns if c in target.columns and c not in (*keys, *ignore)]
+    asked = batch.where(not_null(keys)).select(*[F.col(k).alias(f"__a{i}") for i, k in enumerate(keys)])
+    if facts is not None and facts.fits():
+        asked = F.broadcast(asked)
+    held = target.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"__v{i}") for i, c in enumerate(compared)]) \
+        .join(asked, [F.col(f"__k{i}") == F.col(f"__a{i}") for i in range(len(keys))], "left_semi")
+    same = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)] + \
+        [F.col(c).eqNullSafe(F.col(f"__v{i}")) for i, c in enumerate(compared)]
+    return batch.join(held, reduce(lambda a, b: a & b, same), "left_anti")
+
+
 def latest_per_key(batch: DataFrame, keys, order_col: str) -> DataFrame:
     """Keep one row per non-null key: the one with the greatest ``order_col``; rows with a
     null key are all kept.

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from loadsmith import schemas
 from loadsmith.operators.checks import assert_relationships
-from loadsmith.operators.upsert import latest_per_key
+from loadsmith.operators._sizing import key_facts
+from loadsmith.operators.upsert import changed_rows, latest_per_key
 from loadsmith.scratch import Scratch
 from loadsmith.sources.key_groups import GROUP_COL, upsert_table_groups
 from loadsmith.sources.redo import finish_replace
@@ -34,7 +35,8 @@ def new_rows(source: DataFrame, schema: T.StructType, target: DataFrame | None,
 def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType, plan: str, keys,
              build: Callable[[DataFrame, DataFrame | None], DataFrame], table: str, root: str, *,
              buckets: int | None = None, rows_per_group: int | None = None, dedupe: bool = False, partition_col: str | None = None,
-             lookback: str | None = None, require_keys: bool = False, references=(), check_schema: bool = False, tag=None):
+             lookback: str | None = None, require_keys: bool = False, references=(), check_schema: bool = False, tag=None,
+             skip_unchanged: str | None = None, invalid=None):
     """Scan the rows beyond the table's watermark, build the batch and upsert it.
 
     The scanned rows are stored once, so lookups and tags see their true size.
@@ -43,7 +45,9 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
     ``rows_per_group`` makes a table of key groups, of which only those are rewritten that
     hold a key of the batch; an existing one is known by its columns.  ``tag``: (id column, rows
     before the tag, rows from them and the tag); a table of versions is then read once for tag
-    and upsert (``sources.tagged``).
+    and upsert (``sources.tagged``).  ``skip_unchanged`` names the load time's column: rows that
+    differ from the target's in nothing else are left out.  ``invalid``: a condition on the scanned rows;
+    the keys of those that meet it leave the target (a table of versions only).
     """
     wm = schemas.WATERMARKS[plan]
     finish_publish(spark, table, root)
@@ -63,9 +67,18 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
         columns = spark.table(table).columns if target is not None else []
         grouped, bucketed = rows_per_group or GROUP_COL in columns, buckets or BUCKET_COL in columns
         one_read = tag is not None and not grouped and not bucketed
+        if invalid is not None:
+            if grouped or bucketed or one_read:
+                raise ValueError("rows that turn invalid leave tables of versions only")
+            if dedupe:      # the newest row of a key says whether it is valid
+                rows = keep(latest_per_key(rows, keys, wm), "newest")
+            options["gone"] = keep(rows.where(invalid).select(*keys), "gone")
         batch = tag[1](rows) if one_read else build(rows, target)
         if dedupe:      # keep the newest row per key (by watermark) instead of failing
             batch = latest_per_key(batch, keys, wm)
+        if skip_unchanged and target is not None:
+            batch = keep(batch, "built")
+            batch = changed_rows(batch, target, keys, ignore=[skip_unchanged], facts=key_facts(batch, keys))
         if one_read:
             return upsert_tagged(batch, table, keys, tag[0], tag[2], root, **options)
         if grouped:

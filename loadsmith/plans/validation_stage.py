@@ -54,15 +54,17 @@ def build(data_src_val: DataFrame, target: DataFrame | None = None, as_of=None,
 
 def load(data_src_val, table: str, root: str, as_of=None, *, buckets: int | None = None, rows_per_group: int | None = None, dedupe: bool = False,
          partition_col: str | None = None, lookback: str | None = None, require_keys: bool = False,
-         spark: SparkSession | None = None):
+         skip_unchanged: bool = False, spark: SparkSession | None = None):
     """Upsert the rows beyond the watermark into ``table``: a new version under ``root`` (one read of
     the target for tag and upsert), or with ``buckets`` a table partitioned by key bucket where only touched buckets are
     rewritten, or with ``rows_per_group`` one of key groups (``sources.key_groups``).  Sources are frames, table names or paths.  A batch holding a key twice
     fails, unless ``dedupe`` keeps the newest row per key (by the watermark column).
     ``partition_col`` names the source's day partition of the watermark, ``lookback`` widens
-    the window for late rows, ``require_keys`` refuses null keys."""
+    the window for late rows, ``require_keys`` refuses null keys, ``skip_unchanged`` leaves rows out that
+    differ from the table's in the load time only."""
     spark = spark or data_src_val.sparkSession
     return run_load(spark, data_src_val, schemas.DATA_SRC_VAL, NAME, [KEY],
-                    lambda rows, target: build(rows, target, as_of, scan=False), table, root, buckets=buckets, rows_per_group=rows_per_group,
+                    lambda rows, target: build(rows, target, as_of, scan=False), table, root,
+                    skip_unchanged="LOAD_TS" if skip_unchanged else None, buckets=buckets, rows_per_group=rows_per_group,
                     dedupe=dedupe, partition_col=partition_col, lookback=lookback, require_keys=require_keys,
                     tag=("DATA_SRC_VAL_ID", keyed, lambda tagged, found: finished(tagged, found, as_of)))

@@ -24,7 +24,8 @@ from loadsmith.plans import (
 )
 from loadsmith.plans import standins as si
 from loadsmith.sources.key_groups import GROUP_COL, summary_table
-from loadsmith.sources.sinks import BUCKET_COL, table_location
+from loadsmith.operators.checks import DataCheckError
+from loadsmith.sources.sinks import BUCKET_COL, table_location, upsert_table
 
 
 def q_emp_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,6 +171,45 @@ def q_tagged_upsert_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, table)
 
 
+def q_skip_unchanged_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two customer master loads; the second scans every row again and writes only those that differ."""
+    table, root = _fresh("cdlu"), scratch_path(spark, "cdlu")
+    first, second, addr = _cdl_inputs(spark, sf)
+    customer_data_load.load(first, addr, table, root, si.RUN_MASTER_1)
+    customer_data_load.load(second, addr, table, root, si.RUN_MASTER_2, lookback="100000 DAYS", skip_unchanged=True)
+    return _read_back(spark, table)
+
+
+def q_delete_invalid_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two customer master loads; customers that were suspended in between leave the table."""
+    table, root = _fresh("cdld"), scratch_path(spark, "cdld")
+    first, second, addr = _cdl_inputs(spark, sf)
+    customer_data_load.load(first, addr, table, root, si.RUN_MASTER_1)
+    customer_data_load.load(second, addr, table, root, si.RUN_MASTER_2, delete_invalid=True)
+    return _read_back(spark, table)
+
+
+def drifted(batch: DataFrame) -> dict[str, DataFrame]:
+    """A batch with each kind of schema change."""
+    return {"added column": batch.withColumn("EXTRA", F.lit(1)), "missing column": batch.drop("EMAIL"),
+            "other name": batch.withColumnRenamed("EMAIL", "MAIL"), "other order": batch.select(*reversed(batch.columns)),
+            "other type": batch.withColumn("CUSTOMER_ID", F.col("CUSTOMER_ID").cast("string"))}
+
+
+def q_schema_drift_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """A customer master load, then batches whose schemas changed: all are refused, the table stays as it was."""
+    table, root = _fresh("cdls"), scratch_path(spark, "cdls")
+    first, second, addr = _cdl_inputs(spark, sf)
+    customer_data_load.load(first, addr, table, root, si.RUN_MASTER_1)
+    batch, refused = customer_data_load.build(second, addr, spark.table(table), si.RUN_MASTER_2), []
+    for change, rows in drifted(batch).items():
+        try:
+            upsert_table(rows, table, schemas.KEYS["customer_data_load"], root, check_schema=True)
+        except DataCheckError:
+            refused.append(change)
+    return _read_back(spark, table).withColumn("REFUSED", F.lit(", ".join(refused)))
+
+
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
@@ -183,6 +223,9 @@ QUERIES = {
     "first_load_roundtrip": q_first_load_roundtrip,
     "snapshot_upsert_roundtrip": q_snapshot_upsert_roundtrip,
     "bucket_upsert_roundtrip": q_bucket_upsert_roundtrip,
+    "skip_unchanged_roundtrip": q_skip_unchanged_roundtrip,
+    "delete_invalid_roundtrip": q_delete_invalid_roundtrip,
+    "schema_drift_refused": q_schema_drift_refused,
     "tagged_upsert_roundtrip": q_tagged_upsert_roundtrip,
     "file_pruned_upsert_roundtrip": q_file_pruned_upsert_roundtrip,
 }

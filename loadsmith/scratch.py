@@ -82,3 +82,11 @@ def read_file(spark: SparkSession, path: str) -> str | None:
         return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+
+
+def list_folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """The folders in a folder and the seconds of their last change."""
+    files, hadoop = _file_system(spark, path)
+    if not files.exists(hadoop):
+        return []
+    return [(x.getPath().toString(), x.getModificationTime() / 1000) for x in files.listStatus(hadoop) if x.isDirectory()]

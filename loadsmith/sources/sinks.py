@@ -20,8 +20,10 @@ types and fails on a value that a cast would change; a rebuild replaces the sche
 
 from __future__ import annotations
 
+import time
 import uuid
 import warnings
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from loadsmith.operators._sizing import key_facts, not_null
 from loadsmith.operators.checks import DataCheckError, assert_same_schema
 from loadsmith.operators.upsert import assert_keyed, upsert_frame
-from loadsmith.scratch import Scratch, create_file, read_file, remove
+from loadsmith.scratch import Scratch, create_file, list_folders, read_file, remove
 from loadsmith.sources.tables import read_lossless
 
 
@@ -148,6 +150,25 @@ def _shape(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
+def remove_old_versions(spark: SparkSession, table: str, root: str, *, keep: int = 1, min_age_hours: float = 24) -> list[str]:
+    """Remove version folders under ``root`` that ``table`` does not point at; returns them.
+
+    A version that was replaced less than ``min_age_hours`` ago stays, since a query that began before
+    may still read it (take the time longer than any query and any load), as do the ``keep`` newest of the
+    others.  A version counts as replaced when the next one was written; folders of writers that
+    failed go by the same rule.
+    """
+    current = table_location(spark, table)
+    versions = sorted((when, path) for path, when in list_folders(spark, root) if path.rsplit("/", 1)[-1].startswith("v="))
+    replaced = [(versions[i + 1][0] if i + 1 < len(versions) else when, path) for i, (when, path) in enumerate(versions)
+                if current != path and not current.startswith(f"{path}/")]
+    edge = time.time() - min_age_hours * 3600
+    old = [path for when, path in replaced[:max(0, len(replaced) - keep)] if when < edge]
+    for path in old:
+        remove(spark, path)
+    return old
+
+
 def fitted(batch: DataFrame, target: DataFrame) -> DataFrame:
     """``batch`` with the columns and types of ``target``: refused when a column is missing or
     extra; the write fails on a value that does not fit its type unchanged."""
@@ -235,7 +256,7 @@ def checked_keys(batch: DataFrame, table: str, keys: list[str], require_keys: bo
 
 def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema: bool = False,
                  run_id: str | None = None, watermark: str | None = None, method: str = "auto",
-                 require_keys: bool = False, check=None) -> str:
+                 require_keys: bool = False, check=None, gone: DataFrame | None = None) -> str:
     """Apply ``batch`` to ``table`` keyed on ``keys``; create it on the first run.
 
     ``method``: ``"merge"`` (MERGE INTO, for formats that support it),
@@ -248,6 +269,7 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
     anything is published.  With ``watermark``, the new high-water mark (the larger of the
     recorded one and the batch's maximum) is recorded with the version that holds it.
     Of two writers that start from one version the second fails with ``ConcurrentWriteError``.
+    ``gone`` (a stored frame of keys) names rows that leave the table (``upsert_frame``).
     """
     spark = batch.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -264,15 +286,20 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
         facts = checked_keys(batch, table, keys, require_keys)
         if check is not None:
             check(batch)
-        if exists and not facts.rows:
+        if gone is not None:
+            leaving = key_facts(gone, keys)
+            gone, facts = (gone, replace(facts, bytes=facts.bytes + leaving.bytes)) if leaving.keys else (None, facts)
+        if exists and not facts.rows and gone is None:
             return table_location(spark, table)      # nothing new: no rewrite of the target
         if method == "auto":
             method = "merge" if exists and table_provider(spark, table) in MERGE_PROVIDERS else "snapshot"
         if method == "merge":
+            if gone is not None:
+                raise ValueError("keys that leave need method='snapshot'")
             merge_into(batch, table, keys)
             path = table_location(spark, table)
         elif method == "snapshot":
-            path = write_snapshot(upsert_frame(target, batch, keys, facts=facts), table, root, run_id, expected=base)
+            path = write_snapshot(upsert_frame(target, batch, keys, facts=facts, gone=gone), table, root, run_id, expected=base)
         else:
             raise ValueError("method must be 'auto', 'merge' or 'snapshot'")
         if watermark:

@@ -33,7 +33,9 @@ BuildBatch = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 def newer_than_table(batch: DataFrame, target: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """Rows whose key the target lacks, or holds with an older (or no) ``order_col``."""
-    held = target.groupBy(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]).agg(
+    asked = batch.select(*[F.col(k).alias(f"__a{i}") for i, k in enumerate(keys)])
+    met = target.join(asked, [F.col(k) == F.col(f"__a{i}") for i, k in enumerate(keys)], "left_semi")
+    held = met.groupBy(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]).agg(
         F.max(order_col).alias("__held"), F.lit(True).alias("__known"))
     same = [F.col(k) == F.col(f"__t{i}") for i, k in enumerate(keys)]
     newer = F.col("__known").isNull() | (F.col(order_col) > F.col("__held")) | \
@@ -63,7 +65,7 @@ def stream_keyed_load(spark: SparkSession, source_path: str, source_schema: T.St
             previous = target.agg(F.max(watermark).cast("string")).first()[0]
         with Scratch(spark) as keep:
             rows = keep(micro, "rows")
-            batch = latest_per_key(build_batch(rows, target), keys, watermark)
+            batch = keep(latest_per_key(build_batch(rows, target), keys, watermark), "latest")
             if target is not None:
                 batch = newer_than_table(fitted(batch, target), target, keys, watermark)
             batch = keep(batch, "batch")

@@ -1,0 +1,153 @@
+"""Unchanged rows, rows that turn invalid, old versions."""
+
+import glob
+import os
+import time
+
+import pytest
+from conftest import plan_text
+from pyspark.sql import functions as F
+
+from loadsmith.operators.upsert import changed_rows, upsert_frame
+from loadsmith.plans import customer_data_load, validation_stage
+from loadsmith.plans import standins as si
+from loadsmith.registry import plan_queries as pq
+from loadsmith.sources.sinks import remove_old_versions, table_location, upsert_table
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_changed_rows(spark):
+    schema = "k long, v string, d double, at long"
+    target = spark.createDataFrame([(1, "a", 1.0, 1), (2, None, None, 1), (3, "c", 0.0, 1), (None, "n", 1.0, 1), (9, "x", 1.0, 1), (9, "y", 1.0, 1)], schema)
+    batch = spark.createDataFrame([
+        (1, "a", 1.0, 2),           # equal but for the ignored column
+        (2, None, None, 2),         # nulls are equal to nulls
+        (3, None, 0.0, 2),          # a value became null
+        (4, "new", 1.0, 2), (None, "n", 1.0, 2), (9, "y", 1.0, 2)], schema)
+    assert rows_of(changed_rows(batch, target, "k", ignore=["at"]).select("k", "v")) == \
+        sorted([(3, None), (4, "new"), (None, "n")], key=str)
+    assert changed_rows(batch, target, "k").count() == 6
+    assert changed_rows(batch, None, "k").count() == 6
+    assert changed_rows(batch, target.limit(0), "k", ignore=["at"]).count() == 6
+    # A column that only one side has is not compared.
+    assert rows_of(changed_rows(batch.drop("v").withColumn("w", F.lit(1)), target, "k", ignore=["at"]).select("k")) == [(4,), (None,)]
+
+
+def test_a_batch_of_unchanged_rows_writes_nothing(spark, scratch):
+    first, second, addr = pq._cdl_inputs(spark, SF)
+    root, cast = f"{scratch}/c", {"lookback": "100000 DAYS", "skip_unchanged": True}
+    customer_data_load.load(first, addr, "t_same", root, si.RUN_MASTER_1)
+    at, files = table_location(spark, "t_same"), sorted(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    customer_data_load.load(first, addr, "t_same", root, si.RUN_MASTER_2, **cast)
+    assert table_location(spark, "t_same") == at
+    assert sorted(glob.glob(f"{root}/**/*.parquet", recursive=True)) == files
+    customer_data_load.load(second, addr, "t_same", root, si.RUN_MASTER_2, **cast)
+    times = {str(r[0]): r[1] for r in spark.table("t_same").groupBy("LOAD_TIMESTAMP").count().collect()}
+    assert set(times) == {si.RUN_MASTER_1, si.RUN_MASTER_2} and min(times.values()) > 0
+
+
+@pytest.mark.parametrize("kind", [{"rows_per_group": 50}, {"buckets": 4}, {}])
+def test_unchanged_results_in_every_kind_of_table(spark, scratch, kind):
+    first, second = pq._val_inputs(spark, SF)
+    table, root = f"t_sameval{len(kind) and list(kind)[0]}", f"{scratch}/v"
+    validation_stage.load(first, table, root, si.RUN_VAL_1, **kind)
+    before = rows_of(spark.table(table))
+    validation_stage.load(first, table, root, si.RUN_VAL_2, lookback="100000 DAYS", skip_unchanged=True, **kind)
+    assert rows_of(spark.table(table)) == before
+
+
+def test_rows_that_turn_invalid_leave(spark, scratch):
+    first, second, addr = pq._cdl_inputs(spark, SF)
+    customer_data_load.load(first, addr, "t_gone", f"{scratch}/g", si.RUN_MASTER_1)
+    before = {r[0] for r in spark.table("t_gone").select("CUSTOMER_ID").collect()}
+    customer_data_load.load(second, addr, "t_gone", f"{scratch}/g", si.RUN_MASTER_2, delete_invalid=True)
+    after = {r[0] for r in spark.table("t_gone").select("CUSTOMER_ID").collect()}
+    gone = before - after
+    status = {r[0]: r[1] for r in second.select("CUSTOMER_ID", "STATUS").collect()}
+    assert gone and {status[k] for k in gone} == {"S"}
+    with pytest.raises(ValueError, match="tables of versions only"):
+        customer_data_load.load(second, addr, "t_gone_b", f"{scratch}/b", si.RUN_MASTER_1, delete_invalid=True, buckets=4)
+
+
+def test_the_newest_row_of_a_key_says_whether_it_is_valid(spark, scratch):
+    from loadsmith import schemas
+
+    def rows(*given):
+        return spark.createDataFrame(
+            [(k, "F", "L", f"{k}@x.com", "5551234567", 1, s, day, day) for k, s, day in given],
+            "CUSTOMER_ID long, FIRST_NAME string, LAST_NAME string, EMAIL string, PHONE string, ADDRESS_ID long, STATUS string, "
+            "r string, m string").select(
+            "CUSTOMER_ID", "FIRST_NAME", "LAST_NAME", "EMAIL", "PHONE", "ADDRESS_ID", "STATUS",
+            F.col("r").cast("timestamp_ntz").alias("REGISTRATION_DATE"), F.col("m").cast("timestamp_ntz").alias("LAST_MODIFIED_DATE"))
+
+    addr = spark.createDataFrame([], schemas.ADDRESS_MASTER)
+    load = {"as_of": "2024-03-01 00:00:00", "dedupe": True, "delete_invalid": True}
+    customer_data_load.load(rows((1, "A", "2024-01-01"), (2, "A", "2024-01-01"), (3, "A", "2024-01-01")), addr, "t_last", f"{scratch}/l", **load)
+    customer_data_load.load(rows((1, "A", "2024-01-02"), (1, "S", "2024-01-03"),       # valid, then not: leaves
+                                 (2, "S", "2024-01-02"), (2, "I", "2024-01-03"),       # not, then valid: stays
+                                 (7, "S", "2024-01-02"), (None, "S", "2024-01-02")),   # never there; no key
+                            addr, "t_last", f"{scratch}/l", **load)
+    assert sorted(r[0] for r in spark.table("t_last").collect()) == [2, 3]
+    # Only rows that leave, none that come.
+    customer_data_load.load(rows((3, "S", "2024-01-09")), addr, "t_last", f"{scratch}/l", **load)
+    assert [r[0] for r in spark.table("t_last").collect()] == [2]
+
+
+def test_keys_that_leave_do_not_shuffle_the_target(spark, scratch):
+    spark.range(1000).selectExpr("id as k", "id as v").write.parquet(f"{scratch}/t")
+    target = spark.read.parquet(f"{scratch}/t")
+    batch, gone = spark.createDataFrame([(1, -1), (None, 5)], "k long, v long"), spark.createDataFrame([(2,), (None,)], "k long")
+    from loadsmith.operators._sizing import key_facts
+
+    out = upsert_frame(target, batch, "k", facts=key_facts(batch, "k"), gone=gone)
+    assert "SortMergeJoin" not in plan_text(out)
+    assert rows_of(out) == sorted([(i, i) for i in range(1000) if i not in (1, 2)] + [(1, -1), (None, 5)], key=str)
+
+
+def test_old_versions_go_but_not_under_a_reader(spark, scratch):
+    root, names = f"{scratch}/old", []
+    for i in range(4):
+        upsert_table(spark.createDataFrame([(1, f"v{i}"), (i + 10, "x")], "k long, v string"), "t_old", "k", root, run_id=str(i))
+        names.append(table_location(spark, "t_old"))
+        if i == 2:
+            reader = spark.read.parquet(names[-1])         # a query that began before the last version
+    now = time.time()
+    for i, hours in enumerate((90, 60, 30, 1)):           # written so many hours ago
+        os.utime(names[i].removeprefix("file:"), (now - hours * 3600,) * 2)
+    # Version 2 was replaced an hour ago, though it was written 30 hours ago: its reader goes on.
+    assert remove_old_versions(spark, "t_old", root, keep=1, min_age_hours=24) == names[:2]
+    assert reader.count() == 4 and spark.table("t_old").count() == 5
+    assert remove_old_versions(spark, "t_old", root, keep=1, min_age_hours=0) == []
+    assert remove_old_versions(spark, "t_old", root, keep=0, min_age_hours=0.5) == names[2:3]
+    assert remove_old_versions(spark, "t_old", f"{scratch}/none") == []
+    assert spark.table("t_old").count() == 5
+
+
+def test_the_current_version_stays_after_a_rollback(spark, scratch):
+    root = f"{scratch}/back"
+    for i in range(3):
+        upsert_table(spark.createDataFrame([(i, "x")], "k long, v string"), "t_back", "k", root, run_id=str(i))
+    first = f"file:{root}/v=0"
+    spark.sql(f"ALTER TABLE t_back SET LOCATION '{first}'")
+    spark.sql("REFRESH TABLE t_back")
+    for f in glob.glob(f"{root}/v=*"):
+        os.utime(f, (time.time() - 360000,) * 2)
+    assert len(remove_old_versions(spark, "t_back", root, keep=0, min_age_hours=24)) == 2
+    assert spark.table("t_back").count() == 1
+
+
+def test_versions_of_a_tagged_load_are_kept_whole(spark, scratch):
+    first, second = pq._val_inputs(spark, SF)
+    root = f"{scratch}/tv"
+    validation_stage.load(first, "t_tv", root, si.RUN_VAL_1)
+    validation_stage.load(second, "t_tv", root, si.RUN_VAL_2)
+    count = spark.table("t_tv").count()
+    for f in glob.glob(f"{root}/v=*"):
+        os.utime(f, (time.time() - 360000,) * 2)
+    assert len(remove_old_versions(spark, "t_tv", root, keep=0, min_age_hours=24)) == 1
+    assert spark.table("t_tv").count() == count > 0
