@@ -12,6 +12,7 @@ from loadsmith.operators.checks import assert_relationships
 from loadsmith.operators._sizing import key_facts
 from loadsmith.operators.upsert import changed_rows, latest_per_key
 from loadsmith.scratch import Scratch
+from loadsmith.sources.file_marks import incremental_files
 from loadsmith.sources.key_groups import GROUP_COL, upsert_table_groups
 from loadsmith.sources.redo import finish_replace
 from loadsmith.sources.sinks import (
@@ -36,7 +37,7 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
              build: Callable[[DataFrame, DataFrame | None], DataFrame], table: str, root: str, *,
              buckets: int | None = None, rows_per_group: int | None = None, dedupe: bool = False, partition_col: str | None = None,
              lookback: str | None = None, require_keys: bool = False, references=(), check_schema: bool = False, tag=None,
-             skip_unchanged: str | None = None, invalid=None):
+             skip_unchanged: str | None = None, invalid=None, file_marks: str | None = None):
     """Scan the rows beyond the table's watermark, build the batch and upsert it.
 
     The scanned rows are stored once, so lookups and tags see their true size.
@@ -47,7 +48,8 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
     before the tag, rows from them and the tag); a table of versions is then read once for tag
     and upsert (``sources.tagged``).  ``skip_unchanged`` names the load time's column: rows that
     differ from the target's in nothing else are left out.  ``invalid``: a condition on the scanned rows;
-    the keys of those that meet it leave the target (a table of versions only).
+    the keys of those that meet it leave the target (a table of versions only).  ``file_marks``: the folder
+    of the source's file marks; the source is a path then, and only files with new rows are opened.
     """
     wm = schemas.WATERMARKS[plan]
     finish_publish(spark, table, root)
@@ -57,8 +59,14 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
     if target is not None and bound is None:
         bound = watermark_bound(target, wm)
     # An empty target has no bound: everything is new.
-    rows = new_rows(as_source(spark, source), schema, target if bound is not None else None, wm, bound=bound,
-                    partition_col=partition_col, lookback=lookback)
+    if file_marks is not None:
+        if not isinstance(source, str) or partition_col:
+            raise ValueError("file marks need a source path, and no partition column")
+        found = incremental_files(spark, source, wm, file_marks, bound=bound, lookback=lookback)
+        rows = typed_source(found, schema)
+    else:
+        rows = new_rows(as_source(spark, source), schema, target if bound is not None else None, wm, bound=bound,
+                        partition_col=partition_col, lookback=lookback)
     with Scratch(spark) as keep:
         rows = keep(rows, "rows")
         for column, parent, parent_column in references:

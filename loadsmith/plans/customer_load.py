@@ -60,19 +60,20 @@ def build(customer_raw: DataFrame, dim_country: DataFrame, target: DataFrame | N
 
 def load(customer_raw, dim_country, table: str, root: str, as_of=None, *, buckets: int | None = None, rows_per_group: int | None = None,
          dedupe: bool = False, partition_col: str | None = None, lookback: str | None = None,
-         require_keys: bool = False, require_countries: bool = False, skip_unchanged: bool = False, spark: SparkSession | None = None):
+         require_keys: bool = False, require_countries: bool = False, skip_unchanged: bool = False, file_marks: str | None = None, spark: SparkSession | None = None):
     """Upsert the rows beyond the watermark into ``table``: a new version under ``root``,
     or with ``buckets`` a table partitioned by key bucket where only touched buckets are
     rewritten, or with ``rows_per_group`` one of key groups (``sources.key_groups``).  Sources are frames, table names or paths.  A batch holding a key twice
     fails, unless ``dedupe`` keeps the newest row per key (by the watermark column).
     ``partition_col`` names the source's day partition of the watermark, ``lookback`` widens
     the window for late rows, ``require_keys`` refuses null keys, ``skip_unchanged`` leaves rows out that
-    differ from the table's in the load time only,
+    differ from the table's in the load time only, ``file_marks`` (a folder) opens only files of
+    the source path that hold new rows (``sources.file_marks``),
     ``require_countries`` a country code without a row in the dimension."""
     spark = spark or customer_raw.sparkSession
     dim = as_source(spark, dim_country)
     return run_load(spark, customer_raw, schemas.CUSTOMER_RAW, NAME, schemas.KEYS[NAME],
                     lambda rows, target: build(rows, dim, target, as_of, scan=False), table, root,
-                    skip_unchanged="DW_LOAD_TIMESTAMP" if skip_unchanged else None,
+                    skip_unchanged="DW_LOAD_TIMESTAMP" if skip_unchanged else None, file_marks=file_marks,
                     buckets=buckets, rows_per_group=rows_per_group, dedupe=dedupe, partition_col=partition_col, lookback=lookback,
                     require_keys=require_keys, references=[("COUNTRY", dim, "COUNTRY_CODE")] if require_countries else [])

@@ -23,9 +23,11 @@ from loadsmith.plans import (
     customer_data_load, customer_load, emp_load, stg_employee, validation_stage,
 )
 from loadsmith.plans import standins as si
+from loadsmith.sources.file_marks import incremental_files
 from loadsmith.sources.key_groups import GROUP_COL, summary_table
 from loadsmith.operators.checks import DataCheckError
 from loadsmith.sources.sinks import BUCKET_COL, table_location, upsert_table
+from loadsmith.sources.tables import watermark_bound
 
 
 def q_emp_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,6 +212,15 @@ def q_schema_drift_refused(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, table).withColumn("REFUSED", F.lit(", ".join(refused)))
 
 
+def q_file_marks_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The events beyond the newest one of the first load, from the files of a folder that hold any."""
+    folder, marks = scratch_path(spark, "events"), scratch_path(spark, "marks")
+    events = si.table(spark, sf, "events")
+    events.repartitionByRange(16, "ts").write.parquet(folder)
+    bound = watermark_bound(events.where(F.col("ts") <= F.lit(si.VAL_CUT).cast("timestamp_ntz")), "ts")
+    return incremental_files(spark, folder, "ts", marks, bound=bound, schema=events.schema)
+
+
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
@@ -226,6 +237,7 @@ QUERIES = {
     "skip_unchanged_roundtrip": q_skip_unchanged_roundtrip,
     "delete_invalid_roundtrip": q_delete_invalid_roundtrip,
     "schema_drift_refused": q_schema_drift_refused,
+    "file_marks_scan": q_file_marks_scan,
     "tagged_upsert_roundtrip": q_tagged_upsert_roundtrip,
     "file_pruned_upsert_roundtrip": q_file_pruned_upsert_roundtrip,
 }
