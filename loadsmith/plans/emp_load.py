@@ -13,7 +13,7 @@ from loadsmith import schemas
 from loadsmith.functions import rules
 from loadsmith.functions.dates import run_timestamp
 from loadsmith.operators.lookup import lookup_join
-from loadsmith.sources.sinks import write_full
+from loadsmith.sources.sinks import write_checked, write_full
 from loadsmith.sources.tables import typed_source
 
 
@@ -33,6 +33,13 @@ def build(emp: DataFrame, dept: DataFrame, as_of=None, *, on_duplicate: str = "e
     return schemas.as_target(joined, schemas.EMP_LOAD) if cast else joined.select(*schemas.EMP_LOAD_COLS)
 
 
-def load(emp: DataFrame, dept: DataFrame, table: str, as_of=None, root: str | None = None) -> None:
-    """Rebuild ``table``; with ``root``, as a new version folder (atomic repoint)."""
+def load(emp: DataFrame, dept: DataFrame, table: str, as_of=None, root: str | None = None,
+         not_null=(), failing=None) -> None:
+    """Rebuild ``table``; with ``root``, as a new version folder (atomic repoint), and with row checks
+    (``not_null`` columns, ``failing`` conditions by name) made in the same pass before it is published."""
+    if not_null or failing:
+        if root is None:
+            raise ValueError("checks before publishing need a root for the new version")
+        write_checked(build(emp, dept, as_of), table, root, not_null=not_null, failing=failing)
+        return
     write_full(build(emp, dept, as_of), table, root)

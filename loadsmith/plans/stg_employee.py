@@ -21,7 +21,7 @@ from loadsmith.functions.text import (
     at_position, concat_strict, email_after_at, prefix, remove_char, text_length,
 )
 from loadsmith.operators.lookup import existence_flag
-from loadsmith.sources.sinks import write_full
+from loadsmith.sources.sinks import write_checked, write_full
 from loadsmith.sources.tables import typed_source
 
 
@@ -82,6 +82,13 @@ def build(employees: DataFrame, as_of=None, *, keep_invalid: bool = False, cast:
     return schemas.as_target(out, schemas.STG_EMPLOYEE) if cast else out.select(*schemas.STG_EMPLOYEE_COLS)
 
 
-def load(employees: DataFrame, table: str, as_of=None, root: str | None = None) -> None:
-    """Rebuild ``table``; with ``root``, as a new version folder (atomic repoint)."""
+def load(employees: DataFrame, table: str, as_of=None, root: str | None = None,
+         not_null=(), failing=None) -> None:
+    """Rebuild ``table``; with ``root``, as a new version folder (atomic repoint), and with row checks
+    (``not_null`` columns, ``failing`` conditions by name) made in the same pass before it is published."""
+    if not_null or failing:
+        if root is None:
+            raise ValueError("checks before publishing need a root for the new version")
+        write_checked(build(employees, as_of), table, root, not_null=not_null, failing=failing)
+        return
     write_full(build(employees, as_of), table, root)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from loadsmith import schemas
 from loadsmith.scratch import materialize, scratch_path
+from loadsmith.operators.lookup import lookup_join
 from loadsmith.operators.upsert import upsert_frame
 from loadsmith.plans import (
     customer_data_load, customer_load, emp_load, stg_employee, validation_stage,
@@ -26,7 +27,7 @@ from loadsmith.plans import standins as si
 from loadsmith.sources.file_marks import incremental_files
 from loadsmith.sources.key_groups import GROUP_COL, summary_table
 from loadsmith.operators.checks import DataCheckError
-from loadsmith.sources.sinks import BUCKET_COL, table_location, upsert_table
+from loadsmith.sources.sinks import BUCKET_COL, table_location, upsert_table, write_bucketed
 from loadsmith.sources.tables import watermark_bound
 
 
@@ -221,6 +222,33 @@ def q_file_marks_scan(spark: SparkSession, sf: str) -> DataFrame:
     return incremental_files(spark, folder, "ts", marks, bound=bound, schema=events.schema)
 
 
+def q_checked_rebuild_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A rebuild of the employee table with its checks in the same pass; a second that fails one changes nothing."""
+    table, root = _fresh("empc"), scratch_path(spark, "empc")
+    employees, dept = si.emp(si.table(spark, sf, "customer")), si.dept(si.table(spark, sf, "nation"))
+    emp_load.load(employees, dept, table, si.RUN_EMP, root=root, not_null=["EMPNO", "DEPTNO", "DEPT_NAME"],
+                  failing={"no department location": F.length("DEPT_LOCATION") == 0})
+    try:
+        emp_load.load(employees, dept, table, si.RUN_STD, root=root, not_null=["COMM"])
+    except DataCheckError:
+        return _read_back(spark, table)
+    raise AssertionError("a load with nulls in COMM was published")
+
+
+def q_bucketed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookup of two tables that were written in buckets of the lookup's key: neither is shuffled."""
+    orders, customers = _fresh("borders"), _fresh("bcustomers")
+    write_bucketed(si.table(spark, sf, "orders"), orders, "o_custkey", 16, scratch_path(spark, "borders"))
+    write_bucketed(si.table(spark, sf, "customer").where("c_custkey % 10 > 0"), customers, "c_custkey", 16, scratch_path(spark, "bcustomers"))
+    found = lookup_join(spark.table(orders), spark.table(customers), [("o_custkey", "c_custkey")],
+                        {"CUSTOMER_NAME": ("c_name", "UNKNOWN"), "SEGMENT": ("c_mktsegment", "NONE")}) \
+        .select(F.col("o_orderkey").alias("ORDER_ID"), F.col("o_custkey").alias("CUSTOMER_ID"), "CUSTOMER_NAME", "SEGMENT")
+    rows = materialize(found, "bucketed")
+    for table in (orders, customers):
+        spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 QUERIES = {
     "emp_load": q_emp_load,
     "stg_employee": q_stg_employee,
@@ -238,6 +266,8 @@ QUERIES = {
     "delete_invalid_roundtrip": q_delete_invalid_roundtrip,
     "schema_drift_refused": q_schema_drift_refused,
     "file_marks_scan": q_file_marks_scan,
+    "checked_rebuild_roundtrip": q_checked_rebuild_roundtrip,
+    "bucketed_lookup": q_bucketed_lookup,
     "tagged_upsert_roundtrip": q_tagged_upsert_roundtrip,
     "file_pruned_upsert_roundtrip": q_file_pruned_upsert_roundtrip,
 }

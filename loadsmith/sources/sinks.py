@@ -25,7 +25,7 @@ import uuid
 import warnings
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith.operators._sizing import key_facts, not_null
@@ -39,6 +39,42 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def write_bucketed(df: DataFrame, table: str, keys, buckets: int, path: str | None = None) -> None:
+    """Full rebuild as a catalog table bucketed and sorted by ``keys``: joins and lookups of two tables
+    with as many buckets on the same keys need no shuffle of either (``df`` must not read the table).
+
+    Rows are dealt by the buckets' own hash first, so that a bucket is one file; null keys are
+    one bucket, as any other key is.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
+def write_checked(df: DataFrame, table: str, root: str, *, not_null=(), failing=None, run_id: str | None = None) -> str:
+    """``write_snapshot`` with row checks in the same pass: not-null columns, and ``failing`` conditions by
+    name that no row may meet (a null condition is not met).
+
+    The counts are metrics of the write itself (``DataFrame.observe``), so nothing is read twice.  A
+    version with a failing row is not published and its folder is removed.
+    """
+    spark, path = df.sparkSession, _version_path(root, run_id)
+    rules = {f"null in {c}": F.col(c).isNull() for c in ([not_null] if isinstance(not_null, str) else not_null)} | dict(failing or {})
+    base = table_location(spark, table) if table_exists(spark, table) else ABSENT
+    if base != ABSENT and _shape(spark.table(table)) != _shape(df):
+        raise DataCheckError(f"schema change: target has {_shape(spark.table(table))}, new rows have {_shape(df)}")
+    names = list(rules)
+    seen = Observation()
+    counts = [F.count_if(rules[name]).alias(f"f{i}") for i, name in enumerate(names)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
+    found = {name: seen.get[f"f{i}"] for i, name in enumerate(names) if seen.get.get(f"f{i}")}
+    if found:
+        remove(spark, path)
+        raise DataCheckError(f"{table} is not published, rows that fail: {found}")
+    publish(spark, table, root, path, base)
+    return path
+
+
 def write_full(df: DataFrame, table: str, root: str | None = None, run_id: str | None = None) -> None:
     """Full rebuild: replace the table with ``df``.
 
