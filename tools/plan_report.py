@@ -28,7 +28,7 @@ How to read them for scale:
   jobs that made those are not in this file.
 * `BroadcastHashJoin`: a side whose files hold less than `autoBroadcastJoinThreshold`, or
   that AQE measured as small; the other side is not shuffled (in the first case).
-* `Union` under a lookup, flag or upsert: rows with a null key go around the join.
+* `Union` under an upsert: target rows with a null key go around the join.
 * `Scan parquet` of a `loadsmith-*` folder: data written once under
   `spark.checkpoint.dir` (a batch, a first-run target, a key set) and read back.
 * `PushedFilters` / `ReadSchema`: predicates and columns that reach the Parquet
