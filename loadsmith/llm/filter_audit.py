@@ -15,7 +15,8 @@ The filters here (words are maximal runs ``[^\\x20\\x09-\\x0D]+``, case-sensitiv
     D  holds one of ``#$%&*|``
     E  the same text as a document with a smaller id, anywhere in the table
 
-Texts are read once, by Arrow batches that give a mask and a SHA-256.  The smallest id of
+Texts are read once, by Arrow batches that give a mask and a SHA-256, which are stored in the
+shared folder.  The smallest id of
 each digest is a map-side minimum; only digests that occur under two ids are joined back, so
 a text that a third of all documents share is a skewed join side with one row opposite.
 
@@ -32,6 +33,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadsmith.scratch import materialize
+
 # The filters and their limits.
 FILTERS = "ABCDE"
 MIN_WORDS = 200
@@ -78,7 +81,8 @@ def masks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", pa
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"),
                       F.coalesce(F.col(f"`{part_col}`").cast("string"), F.lit("")).alias("part"),
                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    seen = src.mapInArrow(_mask_batches, "doc long, part string, mask int, digest binary")
+    # Stored without the texts: the minimum and the join below read some 40 bytes a row.
+    seen = materialize(src.mapInArrow(_mask_batches, "doc long, part string, mask int, digest binary"), "masks")
     # Digests under two ids or more; a digest of one id has no later copy.
     first = seen.where("doc is not null").groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")) \
         .where("first < last").select(F.col("digest").alias("known"), "first")
@@ -95,14 +99,11 @@ def cells(marked: DataFrame, labels: DataFrame, *, id_col: str = "doc_id") -> Da
         return F.coalesce(F.max((F.col(f"`{column}`") == 1).cast("int")), F.lit(0))
 
     known = labels.where(F.col(f"`{id_col}`").isNotNull()).groupBy(key).agg(says("quality").alias("good"), says("toxic").alias("toxic"))
-    # Rows of one id, part and mask are counted before the join, so one id's rows are few.
+    # Rows of one id, part and mask are counted before the join, so one id's rows (null too) are few.
     rows = marked.groupBy("doc", "part", "mask").agg(F.count("*").alias("n"))
-    named = rows.where("doc is not null").join(known, F.col("doc") == F.col("of"), "left") \
-        .select("part", "mask", "n", (F.col("n") * F.coalesce("good", F.lit(0))).alias("good"),
-                (F.col("n") * F.coalesce("toxic", F.lit(0))).alias("toxic"))
-    nameless = rows.where("doc is null").select("part", "mask", "n", F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("toxic"))
-    return named.unionByName(nameless).groupBy("part", "mask") \
-        .agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
+    return rows.join(known, F.col("doc") == F.col("of"), "left") \
+        .select("part", "mask", "n", *[(F.col("n") * F.coalesce(c, F.lit(0))).alias(c) for c in ("good", "toxic")]) \
+        .groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
 
 
 def orders(filters: str = FILTERS) -> list[str]:
