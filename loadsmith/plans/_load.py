@@ -48,7 +48,7 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
     before the tag, rows from them and the tag); a table of versions is then read once for tag
     and upsert (``sources.tagged``).  ``skip_unchanged`` names the load time's column: rows that
     differ from the target's in nothing else are left out.  ``invalid``: a condition on the scanned rows;
-    the keys of those that meet it leave the target (a table of versions only).  ``file_marks``: the folder
+    the keys of those that meet it leave the target, whatever kind of table it is.  ``file_marks``: the folder
     of the source's file marks; the source is a path then, and only files with new rows are opened.
     """
     wm = schemas.WATERMARKS[plan]
@@ -76,8 +76,8 @@ def run_load(spark: SparkSession, source: DataFrame | str, schema: T.StructType,
         grouped, bucketed = rows_per_group or GROUP_COL in columns, buckets or BUCKET_COL in columns
         one_read = tag is not None and not grouped and not bucketed
         if invalid is not None:
-            if grouped or bucketed or one_read:
-                raise ValueError("rows that turn invalid leave tables of versions only")
+            if one_read:
+                raise ValueError("rows that turn invalid do not leave a table that is tagged in the upsert's read")
             if dedupe:      # the newest row of a key says whether it is valid
                 rows = keep(latest_per_key(rows, keys, wm), "newest")
             options["gone"] = keep(rows.where(invalid).select(*keys), "gone")

@@ -25,7 +25,7 @@ from loadsmith.plans import (
 )
 from loadsmith.plans import standins as si
 from loadsmith.sources.file_marks import incremental_files
-from loadsmith.sources.key_groups import GROUP_COL, summary_table
+from loadsmith.sources.key_groups import GROUP_COL, merge_groups, summary_table
 from loadsmith.operators.checks import DataCheckError
 from loadsmith.sources.sinks import BUCKET_COL, table_location, upsert_table, write_bucketed
 from loadsmith.sources.tables import watermark_bound
@@ -199,6 +199,38 @@ def drifted(batch: DataFrame) -> dict[str, DataFrame]:
             "other type": batch.withColumn("CUSTOMER_ID", F.col("CUSTOMER_ID").cast("string"))}
 
 
+def q_delete_invalid_buckets_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``delete_invalid_roundtrip``, in a table of key buckets."""
+    table, root = _fresh("cdlb"), scratch_path(spark, "cdlb")
+    first, second, addr = _cdl_inputs(spark, sf)
+    customer_data_load.load(first, addr, table, root, si.RUN_MASTER_1, buckets=64)
+    customer_data_load.load(second, addr, table, root, si.RUN_MASTER_2, delete_invalid=True)
+    return _read_back(spark, table).drop(BUCKET_COL)
+
+
+def q_delete_invalid_groups_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``delete_invalid_roundtrip``, in a table of key groups that are merged between the loads."""
+    table, root = _fresh("cdlg"), scratch_path(spark, "cdlg")
+    first, second, addr = _cdl_inputs(spark, sf)
+    customer_data_load.load(first, addr, table, root, si.RUN_MASTER_1, rows_per_group=100)
+    merge_groups(spark, table, schemas.KEYS["customer_data_load"], root, rows_per_group=500)
+    customer_data_load.load(second, addr, table, root, si.RUN_MASTER_2, delete_invalid=True, rows_per_group=100)
+    spark.sql(f"DROP TABLE {summary_table(table)}")
+    return _read_back(spark, table).drop(GROUP_COL)
+
+
+def q_merged_groups_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two validation loads into key groups; small groups are merged after each."""
+    table, root = _fresh("valm"), scratch_path(spark, "valm")
+    first, second = _val_inputs(spark, sf)
+    validation_stage.load(first, table, root, si.RUN_VAL_1, rows_per_group=500)
+    merge_groups(spark, table, schemas.KEYS["validation_stage"], root, rows_per_group=4_000, at_once=16)
+    validation_stage.load(second, table, root, si.RUN_VAL_2, rows_per_group=500)
+    merge_groups(spark, table, schemas.KEYS["validation_stage"], root, rows_per_group=4_000, at_once=16)
+    spark.sql(f"DROP TABLE {summary_table(table)}")
+    return _read_back(spark, table).drop(GROUP_COL)
+
+
 def q_schema_drift_refused(spark: SparkSession, sf: str) -> DataFrame:
     """A customer master load, then batches whose schemas changed: all are refused, the table stays as it was."""
     table, root = _fresh("cdls"), scratch_path(spark, "cdls")
@@ -270,4 +302,7 @@ QUERIES = {
     "bucketed_lookup": q_bucketed_lookup,
     "tagged_upsert_roundtrip": q_tagged_upsert_roundtrip,
     "file_pruned_upsert_roundtrip": q_file_pruned_upsert_roundtrip,
+    "delete_invalid_buckets_roundtrip": q_delete_invalid_buckets_roundtrip,
+    "delete_invalid_groups_roundtrip": q_delete_invalid_groups_roundtrip,
+    "merged_groups_roundtrip": q_merged_groups_roundtrip,
 }

@@ -290,6 +290,16 @@ def checked_keys(batch: DataFrame, table: str, keys: list[str], require_keys: bo
     return facts
 
 
+def leaving_keys(gone: DataFrame, target: DataFrame, keys: list[str], facts):
+    """The non-null keys of ``gone`` (None if it has none) in the target's types, and the batch's key facts
+    with their bytes added."""
+    leaving = key_facts(gone, keys)
+    if not leaving.keys:
+        return None, facts
+    typed = [read_lossless(k, gone.schema[k].dataType, target.schema[k].dataType).alias(k) for k in keys]
+    return gone.where(not_null(keys)).select(*typed), replace(facts, bytes=facts.bytes + leaving.bytes)
+
+
 def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema: bool = False,
                  run_id: str | None = None, watermark: str | None = None, method: str = "auto",
                  require_keys: bool = False, check=None, gone: DataFrame | None = None) -> str:
@@ -323,8 +333,7 @@ def upsert_table(batch: DataFrame, table: str, keys, root: str, *, check_schema:
         if check is not None:
             check(batch)
         if gone is not None:
-            leaving = key_facts(gone, keys)
-            gone, facts = (gone, replace(facts, bytes=facts.bytes + leaving.bytes)) if leaving.keys else (None, facts)
+            gone, facts = leaving_keys(gone, batch, keys, facts)
         if exists and not facts.rows and gone is None:
             return table_location(spark, table)      # nothing new: no rewrite of the target
         if method == "auto":
@@ -357,8 +366,8 @@ def key_bucket(keys, buckets: int):
 
 def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, buckets: int | None = None,
                          watermark: str | None = None, check_schema: bool = False,
-                         require_keys: bool = False, check=None) -> None:
-    """Upsert that rewrites only the key buckets present in the batch.
+                         require_keys: bool = False, check=None, gone: DataFrame | None = None) -> None:
+    """Upsert that rewrites only the key buckets present in the batch (and in ``gone``, keys whose rows leave).
 
     The table is stored partitioned by ``_key_bucket``, the hash of the key modulo
     ``buckets``.  That number is given when the table is created (take it so that a bucket
@@ -395,22 +404,29 @@ def upsert_table_buckets(batch: DataFrame, table: str, keys, path: str, *, bucke
         facts = checked_keys(batch, table, keys, require_keys)
         if check is not None:
             check(batch.drop(BUCKET_COL))
+        if gone is not None and exists:
+            gone, facts = leaving_keys(gone, target, keys, facts)
         if not exists:
             (batch.hint("rebalance", BUCKET_COL).write.partitionBy(BUCKET_COL).format("parquet")
              .option("path", path).saveAsTable(table))
             spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{buckets}')")
             if watermark:
                 advance_watermark(batch, table, watermark, previous)
-        elif facts.rows:
-            touched = [r[0] for r in batch.where(F.col(BUCKET_COL) >= 0).select(BUCKET_COL).distinct().collect()]
+        elif facts.rows or gone is not None:
+            at = batch.where(F.col(BUCKET_COL) >= 0).select(BUCKET_COL)
+            if gone is not None:
+                gone = gone.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+                at = at.unionByName(gone.select(BUCKET_COL))
+            touched = sorted(r[0] for r in at.distinct().collect())
             held = target.where(F.col(BUCKET_COL).isin(touched))
             keyed = batch.where(F.col(BUCKET_COL) >= 0).select(*target.columns)
-            result = upsert_frame(held, keyed, [*keys, BUCKET_COL], check_unique=False, facts=facts)
+            result = upsert_frame(held, keyed, [*keys, BUCKET_COL], check_unique=False, facts=facts, gone=gone)
             if facts.null_rows:
-                lowest = min([0, *(int(r["partition"].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect())])
+                lowest = min([0, *redo.partition_ids(spark, table)])
                 spread = -(-facts.null_rows // LOOSE_ROWS)
                 loose = batch.where(F.col(BUCKET_COL) < 0).withColumn(
                     BUCKET_COL, (lowest - 1 - F.floor(F.rand(11) * spread)).cast("int"))
                 result = result.unionByName(loose)
             redo.replace_partitions(result.select(*target.columns), table, path, expected=base, watermark=watermark,
-                                    mark=newest_mark(batch, watermark, previous) if watermark else None)
+                                    mark=newest_mark(batch, watermark, previous) if watermark else None,
+                                    replaced=touched if gone is not None else ())
