@@ -7,19 +7,45 @@ the folder is shared by the cluster.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_collected: ContextVar[list[str] | None] = ContextVar("scratch_folders", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str = "table") -> str:
     """A fresh folder under the session's shared checkpoint folder."""
     from loadsmith.session import ensure_checkpoint_dir
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/loadsmith-{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/loadsmith-{name}-{uuid.uuid4().hex}"
+    if (paths := _collected.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, every folder that ``scratch_path`` (and so ``materialize``) gave out in it.
+
+    Write the result of an operator inside the block; a frame that is computed later would miss them.
+    """
+    paths: list[str] = []
+    outer = _collected.set(paths)
+    try:
+        yield
+    finally:
+        _collected.reset(outer)
+        for path in paths:
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back."""
+    """``df`` written once as Parquet in the shared folder and read back; it stays there unless
+    ``scratch_removed`` stands around the call."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
