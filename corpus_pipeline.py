@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loadsmith.llm import language_id, line_dedup, line_rules, packing, simhash_dedup
 from loadsmith.llm._tokens import tokenizer_path
-from loadsmith.scratch import materialize
+from loadsmith.scratch import remove, scratch_path, scratch_removed
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 1
 
@@ -61,7 +61,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``.  Of the shared folder's tables only the last stage's input is left
+    (the result is computed from it); a stage's own go when it is written, its input after that."""
+    docs, used = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_removed(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if used is not None:
+            remove(spark, used)
+        used = path
     return STAGES[-1][1](spark, docs, sf_dir)

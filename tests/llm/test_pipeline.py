@@ -27,6 +27,21 @@ def test_stages_run_one_after_another(spark, scratch):
     assert run.columns == docs.columns and run.agg(F.sum("length")).first() == docs.agg(F.sum("length")).first()
 
 
+def test_run_leaves_one_scratch_table(spark, scratch):
+    import os
+
+    from loadsmith.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    run = corpus_pipeline.run(spark, SF)
+    left = set(os.listdir(folder)) - before
+    assert [x.split("-")[1:3] for x in left] == [["near", "duplicates"]]
+    run.write.parquet(f"{scratch}/run")
+    assert set(os.listdir(folder)) - before == left
+    assert spark.read.parquet(f"{scratch}/run").count() > 0
+
+
 def test_stages_take_odd_tables(spark, scratch):
     text = " ".join("plain" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(70))     # no word twice
     rows = [(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, None, None, None, None), (3, "", "en", "a", 0),
