@@ -22,8 +22,20 @@ def spark():
 
 
 @pytest.fixture()
-def scratch():
-    return tempfile.mkdtemp(prefix="loadsmith-test-")
+def scratch(request):
+    """A fresh folder.  Tables that the test makes go at its end: names are no one's for the whole session."""
+    if "spark" not in request.fixturenames:
+        yield tempfile.mkdtemp(prefix="loadsmith-test-")
+        return
+    spark = request.getfixturevalue("spark")
+
+    def tables():
+        return {t.name for t in spark.catalog.listTables() if not t.isTemporary}
+
+    before = tables()
+    yield tempfile.mkdtemp(prefix="loadsmith-test-")
+    for name in tables() - before:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def plan_text(df, mode="formatted") -> str:
